@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.workload import ingest, panels  # noqa: F401  (registers its queries)
+from tidemark.workload import features, ingest, panels, samples, streams  # noqa: F401  (they register)
 from tidemark.workload.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
