@@ -11,7 +11,8 @@ def float_text(x: Column) -> Column:
     """Shortest decimal text of a double: positional from 1e-4 up to 1e16, else ``1e-05`` style.
 
     Java prints an exponent below 1e-3 and from 1e7 on; the point store and its readers use the
-    wider positional range.
+    wider positional range. The digits are Java's: they always read back as the same number, but
+    before Java 19 a few numbers get one digit more than needed.
     """
     plain = x.cast("string")
     fixed = F.regexp_replace(x.cast("decimal(38,21)").cast("string"), "0+$", "")

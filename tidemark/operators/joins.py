@@ -8,7 +8,7 @@ from operator import and_
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.session import settle
+from tidemark.session import settle_counted
 
 BROADCAST_ROWS = 200_000
 SALTS = 64
@@ -30,18 +30,16 @@ def lookup_join(
     how: str = "left",
     broadcast_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
-    settled: bool = False,
 ) -> DataFrame:
     """Give every row of ``df`` the row of ``table`` with its keys (one row per key).
 
-    The table is settled and counted (actions). Up to ``broadcast_rows`` rows it is broadcast and
+    The table is written and counted first (an action). Up to ``broadcast_rows`` rows it is broadcast and
     ``df`` is not shuffled. Beyond that both sides are shuffled on (keys, salt): the salt is a
     hash of the whole row, so a key that holds a third of ``df`` spreads over ``salts`` tasks,
     and the table is repeated once per salt.
     """
-    if not settled:
-        table = settle(table)
-    if table.count() <= broadcast_rows:
+    table, rows = settle_counted(table)
+    if rows <= broadcast_rows:
         return null_safe_join(df, F.broadcast(table), keys, how)
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
     repeated = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

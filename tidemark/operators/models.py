@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tidemark.operators.joins import lookup_join
 from tidemark.operators.metrics import window_errors
 
-# (x[batch, seq, features], params per row, pred) -> forecast[batch, pred, features]
-ScoreFn = Callable[[np.ndarray, Sequence[np.ndarray], int], np.ndarray]
-# samples of one shard -> flat parameter vector
+# ({lane: array[batch, rows, columns]}, params per row, pred) -> forecast[batch, pred, features]
+ScoreFn = Callable[[Mapping[str, np.ndarray], Sequence[np.ndarray], int], np.ndarray]
+# samples of one shard -> parameter vector
 FitFn = Callable[[pd.DataFrame], np.ndarray]
 
 HORIZON = T.ArrayType(T.ArrayType(T.DoubleType()))
@@ -108,7 +108,8 @@ def fit_ridge(
 def ridge_score(lags: int) -> ScoreFn:
     """Scoring function of ``fit_ridge``: feed each forecast back as the newest value."""
 
-    def score(x: np.ndarray, params: Sequence[np.ndarray], pred: int) -> np.ndarray:
+    def score(lanes: Mapping[str, np.ndarray], params: Sequence[np.ndarray], pred: int) -> np.ndarray:
+        x = lanes["x"]
         rows, _, features = x.shape
         weights = np.stack([np.asarray(p, dtype=float) for p in params]).reshape(rows, features, lags + 1)
         recent = np.swapaxes(x[:, -lags:, :].astype(float), 1, 2)
@@ -173,25 +174,45 @@ def train_per_symbol(
     )
 
 
+LANES = ("x", "x_mark", "x_dec", "x_mark_dec")
+
+
 def predict_per_symbol(
-    samples: DataFrame, models: DataFrame, score_fn: ScoreFn, keys: Sequence[str], pred: int
+    samples: DataFrame,
+    models: DataFrame,
+    score_fn: ScoreFn,
+    keys: Sequence[str],
+    pred: int,
+    inputs: Sequence[str] = ("x",),
 ) -> DataFrame:
-    """Samples with a ``horizon`` column (runs jobs to size the model lookup).
+    """Samples with a ``horizon`` column in place of their input lanes (runs jobs to size the
+    model lookup).
 
-    Samples of a key without usable parameters are left out.
+    Only the lanes named by ``inputs`` reach Python, flattened to one array per row. Samples of a
+    key without usable parameters are left out.
     """
-    joined = lookup_join(samples, models.select(*keys, "params"), keys, how="inner")
+    kept = [f for f in samples.schema.fields if f.name not in LANES]
+    lanes = {name: f"_{name}" for name in inputs}
+    flat = samples.select(
+        *[f.name for f in kept],
+        *[F.flatten(name).alias(column) for name, column in lanes.items()],
+        *[F.size(name).alias(f"{column}_rows") for name, column in lanes.items()],
+    )
+    joined = lookup_join(flat, models.select(*keys, "params"), keys, how="inner")
     usable = joined.filter(F.col("params").isNotNull())
-    schema = T.StructType([*samples.schema.fields, T.StructField("horizon", HORIZON)])
+    schema = T.StructType([*kept, T.StructField("horizon", HORIZON)])
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if batch.empty:
                 continue
-            x = np.stack([np.stack(rows) for rows in batch["x"]])
-            forecast = score_fn(x, batch["params"].tolist(), pred)
-            out = batch.drop(columns="params")
-            out["horizon"] = [list(map(list, rows)) for rows in np.asarray(forecast, dtype=float)]
+            arrays = {
+                name: np.stack(batch[column]).reshape(len(batch), int(batch[f"{column}_rows"].iloc[0]), -1)
+                for name, column in lanes.items()
+            }
+            forecast = np.asarray(score_fn(arrays, batch["params"].tolist(), pred), dtype=float)
+            out = batch[[f.name for f in kept]].copy()
+            out["horizon"] = [list(rows) for rows in forecast]
             yield out
 
     return usable.mapInPandas(score, schema)

@@ -68,14 +68,16 @@ def scale_attached(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def minmax_transform(
     df: DataFrame, stats: DataFrame, keys: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
-    return scale_attached(attach_stats(df, stats, keys), columns)
+    needed = stats.select(*keys, *_minmax_names(columns))
+    return scale_attached(attach_stats(df, needed, keys), columns)
 
 
 def minmax_inverse(
     df: DataFrame, stats: DataFrame, keys: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
+    needed = stats.select(*keys, *_minmax_names(columns))
     return _replace(
-        attach_stats(df, stats, keys), columns,
+        attach_stats(df, needed, keys), columns,
         lambda c: scaling.minmax_restore(F.col(c), F.col(f"{c}_min"), F.col(f"{c}_max")),
         _minmax_names(columns),
     )

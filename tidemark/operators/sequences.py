@@ -33,9 +33,14 @@ def windows_index(
 def block_windows(
     df: DataFrame, keys: Sequence[str], lanes: Mapping[str, Column], span: int,
     stride: int = 1, position: str = "position", block: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """One row per window of ``span`` rows: keys, sample_id, start_pos, and the lane arrays of the
-    whole block with ``_at``, the 1-based place in them where the window starts."""
+    whole block with ``_at``, the 1-based place in them where the window starts.
+
+    The output is up to ``span`` times the input, so sizing tasks by their input makes them too
+    long: for large spans set ``partitions``, which adaptive execution does not merge.
+    """
     size = block or max(span, MIN_BLOCK)
     if size < span - 1:
         raise ValueError("block must be at least span - 1")
@@ -48,6 +53,8 @@ def block_windows(
         *[column.alias(name) for name, column in lanes.items()],
         F.explode(F.when(reached, F.array(own, own - 1)).otherwise(F.array(own))).alias("_block"),
     )
+    if partitions is not None:
+        rows = rows.repartition(partitions, *keys, "_block")
     grouped = rows.groupBy(*keys, "_block").agg(
         F.sort_array(F.collect_list(F.struct("_pos", *lanes))).alias("_rows")
     )
@@ -93,6 +100,7 @@ def make_windows(
     padding: float = 0.0,
     position: str = "position",
     block: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Encoder/decoder samples: keys, sample_id, start_pos, x, x_mark, x_dec, x_mark_dec, y.
 
@@ -101,7 +109,7 @@ def make_windows(
     """
     label = seq - pred if label is None else label
     lanes = {"_f": float_array(features), "_m": float_array(marks)}
-    windows = block_windows(df, keys, lanes, seq + pred, stride, position, block)
+    windows = block_windows(df, keys, lanes, seq + pred, stride, position, block, partitions)
     at = F.col("_at")
     known = F.slice("_f", at + (seq - label), F.lit(label))
     return windows.select(
@@ -129,6 +137,7 @@ def windows_overlap(
     stride: int = 1,
     position: str = "position",
     block: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Samples whose target overlaps the input by ``label`` rows.
 
@@ -137,7 +146,7 @@ def windows_overlap(
     lanes = {"_f": float_array(scaled), "_m": float_array(marks)}
     if inverse:
         lanes["_r"] = float_array(raw)
-    windows = block_windows(df, keys, lanes, seq + pred, stride, position, block)
+    windows = block_windows(df, keys, lanes, seq + pred, stride, position, block, partitions)
     at = F.col("_at")
     overlap = F.slice("_f", at + (seq - label), F.lit(label))
     horizon = F.slice("_r" if inverse else "_f", at + seq, F.lit(pred))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -56,7 +56,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
+def settle_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """Write ``df`` to the shared folder once and continue from the written table (an action).
+
+    A Parquet table rather than a row checkpoint: it survives lost executors just the same, and
+    later reads load only the columns they need. The row count is taken while writing.
+    """
+    path = scratch_path(df.sparkSession, "settled")
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]
+
+
 def settle(df: DataFrame) -> DataFrame:
-    """Run ``df`` once and continue from its reliable checkpoint (an action)."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return settle_counted(df)[0]

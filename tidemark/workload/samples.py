@@ -288,14 +288,15 @@ def pairs(spark, sf_dir):
     return pos.shifted(placed, ["symbol"], ["true"]).withColumnRenamed("true_before", "pred")
 
 
-_METRICS = """ROUND(AVG(ABS(pred - actual)), 6) AS mae, ROUND(AVG((pred - actual) * (pred - actual)), 6) AS mse,
+_METRICS = """ROUND(AVG(ABS(pred - actual)), 6) AS mae, ROUND(AVG((pred - actual) * (pred - actual)), 3) AS mse,
     ROUND(SQRT(AVG((pred - actual) * (pred - actual))), 6) AS rmse,
     ROUND(AVG(ABS((pred - actual) / nullif(actual, 0))), 6) AS mape,
     ROUND(AVG(((pred - actual) / nullif(actual, 0)) * ((pred - actual) / nullif(actual, 0))), 4) AS mspe"""
 
 
 def _rounded_metrics(df):
-    return df.withColumns({c: F.round(c, 4 if c == "mspe" else 6) for c in ("mae", "mse", "rmse", "mape", "mspe")})
+    digits = {"mae": 6, "mse": 3, "rmse": 6, "mape": 6, "mspe": 4}
+    return df.withColumns({c: F.round(c, d) for c, d in digits.items()})
 
 
 @query("metrics_overall", f"WITH {_PAIRS} SELECT {_METRICS} FROM pairs")
@@ -369,8 +370,9 @@ def validation_loss(spark, sf_dir):
         samples.filter("split = 'train'"), lambda shard: np.ones(len(TICK)), ["symbol"]
     )
 
-    def score(x, params, pred):
-        return np.repeat(x[:, -1:, :].astype(float) * np.stack(params)[:, None, :], pred, axis=1)
+    def score(lanes, params, pred):
+        last = lanes["x"][:, -1:, :].astype(float)
+        return np.repeat(last * np.stack(params)[:, None, :], pred, axis=1)
 
     losses = mod.evaluate(samples.filter("split = 'val'"), repeat_last, score, ["symbol"], _PIPE_PRED)
     return losses.select("symbol", F.round("val_loss", 6).alias("val_loss"))
