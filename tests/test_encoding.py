@@ -54,3 +54,15 @@ def test_last_write_wins(spark):
          ("m", "A", "f", 3.0, datetime(2024, 1, 2), 2)],
         "measurement string, symbol string, field string, value double, time timestamp, seq int")
     assert sorted(r.value for r in upsert_points(rows, "seq").collect()) == [2.0, 3.0]
+
+
+def test_line_with_exponents(spark):
+    rows = spark.createDataFrame(
+        [("A", 1e-5, 123456789.5, datetime(1970, 1, 1)), ("A", 2.5, 1e-5, datetime(1970, 1, 1)),
+         ("A", None, 1e7, datetime(1970, 1, 1))],
+        "symbol string, price double, quantity double, trade_time timestamp")
+    assert [r.line for r in to_line_protocol(rows, "trade").collect()] == [
+        "trade,symbol=A price=1e-05,quantity=123456789.5 0",
+        "trade,symbol=A price=2.5,quantity=1e-05 0",
+        "trade,symbol=A quantity=10000000.0 0",
+    ]

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, functions as F, types as T
 
@@ -38,6 +40,30 @@ def escape_tag(text: Column) -> Column:
     return F.regexp_replace(text, r"([,= ])", r"\\$1")
 
 
+def present(name: str, kind: T.DataType) -> Column:
+    """The field has a value the point store accepts."""
+    value = F.col(name)
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return value.isNotNull() & ~F.isnan(value)
+    return value.isNotNull()
+
+
+def has_fields(fields: Sequence[tuple[str, T.DataType]]) -> Column:
+    return reduce(or_, [present(name, kind) for name, kind in fields])
+
+
+def _exact_exponents(field_set: Column) -> Column:
+    """Rewrite the values that Java printed with an exponent."""
+
+    def rewrite(cell: Column) -> Column:
+        text = F.substring_index(cell, "=", -1)
+        number = F.concat(F.substring_index(cell, "=", 1), F.lit("="), float_text(text.cast("double")))
+        return F.when(F.contains(text, F.lit("E")), number).otherwise(cell)
+
+    careful = F.array_join(F.transform(F.split(field_set, ","), rewrite), ",")
+    return F.when(F.contains(field_set, F.lit("E")), careful).otherwise(field_set)
+
+
 def line_protocol(
     measurement: str,
     symbol: Column,
@@ -47,31 +73,22 @@ def line_protocol(
 ) -> Column:
     """``measurement,symbol=S f1=v1,f2=v2 <epoch ns>``; NULL and NaN fields are left out.
 
+    Filter by ``has_fields`` first: a filter on the line itself would build every line twice.
     ``integer_suffix="i"`` marks whole numbers as integers for the store.
     """
-    # one lambda for all fields: written out per field, the generated code of a wide row would
-    # exceed the size the JVM compiles
-    cells = []
+    values = []
     for name, kind in fields:
         value = F.col(name)
-        real = isinstance(kind, (T.DoubleType, T.FloatType))
-        whole = F.concat(value.cast("string"), F.lit(integer_suffix))
-        cells.append(
-            F.struct(
-                F.lit(name).alias("name"),
-                (value.cast("double") if real else F.lit(None).cast("double")).alias("number"),
-                (F.lit(None).cast("string") if real else whole).alias("text"),
-            )
-        )
-    present = F.filter(
-        F.array(*cells), lambda c: c["text"].isNotNull() | (c["number"].isNotNull() & ~F.isnan(c["number"]))
-    )
-    texts = F.transform(
-        present,
-        lambda c: F.concat(c["name"], F.lit("="), F.coalesce(c["text"], float_text(c["number"]))),
-    )
-    field_set = F.array_join(texts, ",")
-    line = F.concat(
+        if integer_suffix and not isinstance(kind, (T.DoubleType, T.FloatType)):
+            value = F.concat(value.cast("string"), F.lit(integer_suffix))
+        values.append(F.when(present(name, kind), value).alias(name))
+    # The JSON writer skips NULLs and prints all numbers in one small expression; without quotes
+    # and braces its text is the field set. Code written out per field would be too long for the
+    # JVM to compile on wide rows. The lambda binds the text, which is used twice, to a variable.
+    record = F.to_json(F.struct(*values))
+    bare = F.replace(F.replace(record, F.lit('":'), F.lit("=")), F.lit('"'), F.lit(""))
+    field_set = F.transform(F.array(F.btrim(bare, F.lit("{}"))), _exact_exponents)[0]
+    return F.concat(
         F.lit(f"{measurement},symbol="),
         escape_tag(symbol),
         F.lit(" "),
@@ -79,4 +96,3 @@ def line_protocol(
         F.lit(" "),
         (F.unix_micros(time) * F.lit(1000)).cast("string"),
     )
-    return F.when(field_set != "", line)

@@ -57,4 +57,5 @@ def to_line_protocol(
     line = encoding.line_protocol(
         measurement or spec.name, F.col("symbol"), fields, F.col(time or spec.time_column)
     )
-    return df.select(line.alias("line")).filter(F.col("line").isNotNull())
+    usable = df.filter(F.col("symbol").isNotNull() & encoding.has_fields(fields))
+    return usable.select(line.alias("line"))

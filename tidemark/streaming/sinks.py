@@ -10,7 +10,7 @@ from itertools import islice
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.encoding import line_protocol
+from tidemark.functions.encoding import has_fields, line_protocol
 from tidemark.operators.points import to_line_protocol
 from tidemark.schemas import TABLE_SCHEMAS, StreamSpec, stream_spec
 
@@ -123,7 +123,7 @@ def prediction_points(predictions: DataFrame, measurement: str = "ticker") -> Da
     line = line_protocol(
         measurement, F.col("symbol"), fields, F.col("event_time"), integer_suffix="i"
     )
-    return typed.select(line.alias("line")).filter(F.col("line").isNotNull())
+    return typed.filter(F.col("symbol").isNotNull() & has_fields(fields)).select(line.alias("line"))
 
 
 def replace_points(

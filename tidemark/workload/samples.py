@@ -73,6 +73,13 @@ def _windows(spark, sf_dir, padding=0.0, **options):
     )
 
 
+def windows_of(spark, sf_dir, seq: int, pred: int) -> DataFrame:
+    """Materialised samples of the few long series."""
+    rows = fr.tickers(spark, sf_dir).select("symbol", "event_time", "last_trade_id", *TICK)
+    placed = pos.with_position(rows, ["symbol"], ["event_time", "last_trade_id"])
+    return seqs.make_windows(fc.encode_time(placed), ["symbol"], TICK, MARKS, seq, pred)
+
+
 @query(
     "windows_materialized",
     f"WITH {PLACED} {_lane_sql('x', 0, SEQ, TICK)} UNION ALL {_lane_sql('y', SEQ, SPAN, TICK)}",
