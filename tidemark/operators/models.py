@@ -127,11 +127,12 @@ def ridge_score(lags: int) -> ScoreFn:
 
 
 def train_per_symbol(
-    samples: DataFrame, fit_fn: FitFn, keys: Sequence[str], shard_samples: int = 10_000
+    samples: DataFrame, fit_fn: FitFn, keys: Sequence[str], shard_samples: int = 2_000
 ) -> DataFrame:
     """Model table (keys, n, params, error) from a user function.
 
-    ``fit_fn`` gets the samples of one shard: ``shard_samples`` consecutive sample ids of one key.
+    ``fit_fn`` gets the samples of one shard: ``shard_samples`` consecutive sample ids of one key,
+    to be chosen so that they fit in a worker's memory.
     The parameter vectors of a key's shards are averaged, weighted by sample count; a key that
     fits in one shard is fitted exactly. A failing shard is left out; a key whose shards all fail
     has NULL params and the error text, and the other keys are not affected.

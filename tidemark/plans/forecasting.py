@@ -6,14 +6,17 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions.calendar import cyclic_time
+from tidemark.functions.calendar import cyclic_time, time_features, time_marks
 from tidemark.operators.metrics import forecast_metrics, window_errors
 from tidemark.operators.models import ScoreFn, predict_naive, predict_per_symbol
-from tidemark.operators.positions import split_ratio, with_position
-from tidemark.operators.scaling import fit_minmax, minmax_transform, scale_attached
+from tidemark.operators.positions import split_calendar, split_custom, split_ratio, with_position
+from tidemark.operators.scaling import (
+    fit_minmax, fit_standard, minmax_transform, scale_attached, standard_transform,
+)
 from tidemark.operators.selection import dedup
 from tidemark.operators.sequences import (
-    decode_forecast, decoder_padding, float_array, make_windows, prediction_frame,
+    decode_forecast, decoder_padding, feature_mode, float_array, make_windows, prediction_frame,
+    windows_overlap,
 )
 from tidemark.schemas import TICKER_FEATURES, FeatureSpec
 
@@ -150,3 +153,82 @@ def backtest(
     """Errors of a trained model over every sample (runs jobs to size the model lookup)."""
     scored = predict_per_symbol(samples, models, score_fn, keys, pred)
     return forecast_metrics(window_errors(scored, keys, feature), by)
+
+
+# --- regular multivariate series --------------------------------------------------------------
+
+
+def _marks(time: str, freq: str, integer_marks: bool) -> dict:
+    return (time_marks if integer_marks else time_features)(F.col(time), freq)
+
+
+def _scaled_series(df, keys, time, columns, train_rows, scale) -> DataFrame:
+    """Columns scaled by the statistics of ``train_rows``, with the originals as ``{column}_raw``."""
+    raw = df.withColumns({f"{c}_raw": F.col(c) for c in columns})
+    if not scale:
+        return raw
+    return standard_transform(raw, fit_standard(train_rows, columns, keys), columns, keys)
+
+
+def series_dataset(
+    df: DataFrame, time: str, target: str, seq: int, label: int, pred: int, mode: str = "S",
+    columns: Sequence[str] | None = None, keys: Sequence[str] = (), freq: str = "h",
+    rows_per_day: int | None = None, months: tuple[int, int, int] = (12, 4, 4), scale: bool = True,
+    inverse: bool = False, integer_marks: bool = False,
+) -> DataFrame:
+    """Samples with overlapping targets per split of a regular series (runs jobs).
+
+    ``mode`` picks the features (see ``feature_mode``); the target is the last one. The scaler is
+    fitted on the training rows. Splits are 70/10/20 percent, or fixed calendar months when
+    ``rows_per_day`` is given; validation and test start ``seq`` rows early.
+    """
+    keys = list(keys)
+    features = feature_mode(df.drop(*keys), mode, target, columns, time).columns[1:]
+    rows = df.select(*keys, time, *features)
+    placed = with_position(rows, keys, [time], length="series_length")
+    if rows_per_day is None:
+        n_train = F.floor(F.col("series_length") * F.lit(0.7))
+    else:
+        n_train = F.lit(30 * rows_per_day * months[0])
+    scaled = _scaled_series(placed, keys, time, features, placed.filter(F.col("position") < n_train), scale)
+    if rows_per_day is None:
+        split = split_custom(scaled, lookback=seq)
+    else:
+        split = split_calendar(scaled, rows_per_day, months, lookback=seq)
+    marks = _marks(time, freq, integer_marks)
+    return windows_overlap(
+        split.withColumns(marks), [*keys, "split"], features, [f"{f}_raw" for f in features],
+        list(marks), seq, label, pred, inverse, position="split_position",
+    )
+
+
+def series_prediction(
+    df: DataFrame, time: str, target: str, seq: int, label: int, pred: int, mode: str = "S",
+    columns: Sequence[str] | None = None, keys: Sequence[str] = (), freq: str = "15min",
+    scale: bool = True, inverse: bool = False, integer_marks: bool = False,
+) -> DataFrame:
+    """The one sample per key to forecast from: its last ``seq`` rows, the last ``label`` of them
+    as decoder context, and marks up to ``pred`` steps ahead (runs jobs). The scaler is fitted on
+    all rows."""
+    keys = list(keys)
+    features = feature_mode(df.drop(*keys), mode, target, columns, time).columns[1:]
+    placed = with_position(df.select(*keys, time, *features), keys, [time], length="series_length")
+    scaled = _scaled_series(placed, keys, time, features, placed, scale)
+    marks = _marks(time, freq, integer_marks)
+    rows = prediction_frame(scaled, keys, time, seq, pred, freq).withColumns(marks)
+    context = [f"{f}_raw" for f in features] if inverse else features
+    lanes = F.struct(
+        "step", float_array(features).alias("f"), float_array(context).alias("c"),
+        float_array(list(marks)).alias("m"),
+    )
+    grouped = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(lanes)).alias("_rows"))
+    whole = grouped.filter(F.size("_rows") == seq + pred).select(
+        *keys, F.col("_rows.f").alias("_f"), F.col("_rows.c").alias("_c"), F.col("_rows.m").alias("_m")
+    )
+    return whole.select(
+        *keys,
+        F.slice("_f", 1, seq).alias("x"),
+        F.slice("_c", seq - label + 1, label).alias("y"),
+        F.slice("_m", 1, seq).alias("x_mark"),
+        F.slice("_m", seq - label + 1, label + pred).alias("y_mark"),
+    )

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from tidemark.functions.scaling import minmax_scale
 from tidemark.operators.selection import latest, temporal_range
 
 CELL_LIMIT = 10_000
@@ -32,14 +33,16 @@ def heatmap_metric(heatmap: DataFrame, lo=None, hi=None, row_limit: int | None =
     return cells if row_limit is None else cells.orderBy("symbol", "constant").limit(row_limit)
 
 
-def heatmap_normalized(heatmap: DataFrame, lo=None, hi=None) -> DataFrame:
-    """Cell values scaled to [0, 1] across the whole heat map; 0.0 if all cells are equal."""
-    cells = heatmap_metric(heatmap, lo, hi)
+def heatmap_normalized(heatmap: DataFrame, lo=None, hi=None, row_limit: int = CELL_LIMIT) -> DataFrame:
+    """Cell values scaled to [0, 1] across the whole heat map; 0.0 if all cells are equal.
+
+    The chart has at most ``row_limit`` cells, so one window over all of them is small.
+    """
     value = F.col("avg_change")
-    bounds = cells.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
-    low, high = bounds["low"], bounds["high"]
-    scaled = F.when(high != low, (value - low) / (high - low)).otherwise(F.lit(0.0))
-    return cells.withColumn("normalized", scaled)
+    all_cells = Window.partitionBy()
+    low, high = F.min(value).over(all_cells), F.max(value).over(all_cells)
+    cells = heatmap_metric(heatmap, lo, hi, row_limit)
+    return cells.withColumn("normalized", minmax_scale(value, low, high))
 
 
 def scatter_metric(scatter: DataFrame, lo=None, hi=None, row_limit: int = CELL_LIMIT) -> DataFrame:

@@ -439,3 +439,128 @@ def daily_backtest(spark, sf_dir):
     )
     scored = fc.backtest_naive(samples, ["series"], 48, 24, feature=3)
     return scored.select(F.round("mape", 6).alias("mape"))
+
+
+# --- regular multivariate series --------------------------------------------------------------
+
+VECTOR = [*fr.FEATURES, "target"]
+_V_SEQ, _V_LABEL, _V_PRED = 24, 12, 8
+
+
+def _vector_windows(lane: str, lo: int, hi: int, columns: dict[str, str], extra: str = "") -> str:
+    """Cells of one lane of every sample of every split of the vector series."""
+    n_train, n_test = "CAST(FLOOR(n * 0.7::DOUBLE) AS BIGINT)", "CAST(FLOOR(n * 0.2::DOUBLE) AS BIGINT)"
+    borders = {
+        "train": ("0", n_train),
+        "val": (f"{n_train} - {_V_SEQ}", f"n - {n_test}"),
+        "test": (f"n - {n_test} - {_V_SEQ}", "n"),
+    }
+    splits = " UNION ALL ".join(
+        f"SELECT *, '{name}' AS split, position - GREATEST({b}, 0) AS sp, ({e}) - GREATEST({b}, 0) AS sn "
+        f"FROM z WHERE position >= {b} AND position < {e}"
+        for name, (b, e) in borders.items()
+    )
+    stats = ", ".join(f"AVG({c}) AS {c}_mean, stddev_pop({c}) AS {c}_std" for c in VECTOR)
+    scaled = ", ".join(f"({c} - {c}_mean) / {c}_std AS {c}_z" for c in VECTOR)
+    values = ", ".join(f"{expression} AS {name}" for name, expression in columns.items())
+    return f"""WITH {fr.VECTOR_SQL}, st AS (SELECT {stats} FROM vec WHERE position < FLOOR(n * 0.7::DOUBLE)),
+    z AS (SELECT vec.*, {scaled} FROM vec, st), sp AS ({splits})
+    SELECT p.split, CAST(s.sp AS BIGINT) AS sample_id, '{lane}' AS lane,
+    CAST(p.sp - s.sp - {lo} AS INTEGER) AS step, {values} FROM sp s JOIN sp p ON p.split = s.split
+    AND p.sp >= s.sp + {lo} AND p.sp < s.sp + {hi} WHERE s.sp <= s.sn - {_V_SEQ + _V_PRED}"""
+
+
+@query(
+    "series_dataset_m",
+    _vector_windows("y", _V_SEQ - _V_LABEL, _V_SEQ + _V_PRED, {c: _float(f"p.{c}_z") for c in VECTOR}),
+)
+def series_dataset_m(spark, sf_dir):
+    samples = fc.series_dataset(
+        fr.vector_series(spark, sf_dir).drop("series"), "date", "target", _V_SEQ, _V_LABEL, _V_PRED, mode="M"
+    )
+    return cells(samples, ["split", "sample_id"], "y", VECTOR)
+
+
+@query(
+    "series_dataset_s_inverse",
+    _vector_windows(
+        "y", _V_SEQ - _V_LABEL, _V_SEQ + _V_PRED,
+        {"target": f"CASE WHEN p.sp - s.sp < {_V_SEQ} THEN {_float('p.target_z')} ELSE {_float('p.target')} END"},
+    ),
+)
+def series_dataset_s_inverse(spark, sf_dir):
+    samples = fc.series_dataset(
+        fr.vector_series(spark, sf_dir).drop("series"), "date", "target", _V_SEQ, _V_LABEL, _V_PRED,
+        mode="S", inverse=True,
+    )
+    return cells(samples, ["split", "sample_id"], "y", ["target"])
+
+
+@query(
+    "series_dataset_marks",
+    _vector_windows(
+        "y_mark", _V_SEQ - _V_LABEL, _V_SEQ + _V_PRED,
+        {
+            "month": "CAST(month(p.date) AS DOUBLE)", "day": "CAST(day(p.date) AS DOUBLE)",
+            "weekday": "CAST(isodow(p.date) - 1 AS DOUBLE)", "hour": "CAST(hour(p.date) AS DOUBLE)",
+        },
+    ),
+)
+def series_dataset_marks(spark, sf_dir):
+    samples = fc.series_dataset(
+        fr.vector_series(spark, sf_dir).drop("series"), "date", "target", _V_SEQ, _V_LABEL, _V_PRED,
+        mode="MS", columns=["f1", "f2"], integer_marks=True,
+    )
+    return cells(samples, ["split", "sample_id"], "y_mark", ["month", "day", "weekday", "hour"])
+
+
+@query(
+    "series_dataset_calendar",
+    f"""WITH {fr.DAILY_SQL}, st AS (SELECT AVG(price) AS m, stddev_pop(price) AS sd FROM placed WHERE position < 360),
+    z AS (SELECT position, (price - m) / sd AS price FROM placed, st),
+    sp AS (SELECT 'train' AS split, position AS sp, 360 AS sn, price FROM z WHERE position < 360 UNION ALL
+    SELECT 'val', position - 312, 168, price FROM z WHERE position >= 312 AND position < 480 UNION ALL
+    SELECT 'test', position - 432, 168, price FROM z WHERE position >= 432 AND position < 600)
+    SELECT p.split, s.sp AS sample_id, 'x' AS lane, CAST(p.sp - s.sp AS INTEGER) AS step, {_float('p.price')} AS price
+    FROM sp s JOIN sp p ON p.split = s.split AND p.sp >= s.sp AND p.sp < s.sp + 48 WHERE s.sp <= s.sn - 72""",
+)
+def series_dataset_calendar(spark, sf_dir):
+    """Daily series, 12/4/4 months of 30 days, 48 steps in, 24 out."""
+    samples = fc.series_dataset(
+        fr.daily_series(spark, sf_dir).drop("series"), "date", "price", 48, 24, 24, freq="d", rows_per_day=1
+    )
+    return cells(samples, ["split", "sample_id"], "x", ["price"])
+
+
+_LAST_V = f"position >= n - {_V_SEQ}"
+
+
+@query(
+    "series_prediction",
+    f"""WITH {fr.VECTOR_SQL}, st AS (SELECT AVG(target) AS m, stddev_pop(target) AS sd FROM vec)
+    SELECT 'x' AS lane, CAST(position - n + {_V_SEQ} AS INTEGER) AS step, {_float('(target - m) / sd')} AS target
+    FROM vec, st WHERE {_LAST_V} UNION ALL
+    SELECT 'y', CAST(position - n + {_V_LABEL} AS INTEGER), {_float('target')} FROM vec
+    WHERE position >= n - {_V_LABEL}""",
+)
+def series_prediction(spark, sf_dir):
+    sample = fc.series_prediction(
+        fr.vector_series(spark, sf_dir).drop("series"), "date", "target", _V_SEQ, _V_LABEL, _V_PRED,
+        freq="h", inverse=True,
+    )
+    return cells(sample, [], "x", ["target"]).unionByName(cells(sample, [], "y", ["target"]))
+
+
+@query(
+    "series_prediction_marks",
+    f"""WITH {fr.VECTOR_SQL}, f AS (SELECT date, position - n + {_V_LABEL} AS step FROM vec
+    WHERE position >= n - {_V_LABEL} UNION ALL SELECT date + h * INTERVAL 15 MINUTE, {_V_LABEL} + h - 1
+    FROM vec, generate_series(1, {_V_PRED}) g(h) WHERE position = n - 1) SELECT 'y_mark' AS lane,
+    CAST(step AS INTEGER) AS step, ROUND(minute(date) / 59.0::DOUBLE - 0.5, 5) AS minute_of_hour,
+    ROUND(hour(date) / 23.0::DOUBLE - 0.5, 5) AS hour_of_day FROM f""",
+)
+def series_prediction_marks(spark, sf_dir):
+    sample = fc.series_prediction(
+        fr.vector_series(spark, sf_dir).drop("series"), "date", "target", _V_SEQ, _V_LABEL, _V_PRED, mode="M"
+    )
+    return cells(sample, [], "y_mark", ["minute_of_hour", "hour_of_day"])
