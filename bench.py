@@ -16,12 +16,12 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 HEADLINE = [
-    "trade_pipeline", "trade_normalize", "ticker_normalize", "trade_avg_price_5s",
+    "trade_messages_to_prices", "trade_normalize", "ticker_normalize", "trade_avg_price_5s",
     "trade_avg_price_1h_dense", "trade_total_value", "book_spread_pct_window", "book_bid_ask_window",
     "book_avg_spread_daily", "heatmap_view", "heatmap_normalized", "latest_row", "dedup_events",
     "symbol_universe_topk", "point_upsert", "line_protocol_trade", "archive_window_scan", "cyclic_time",
     "minmax_transform", "series_position_long", "split_ratio", "windows_index", "windows_30_10",
-    "feature_pipeline", "metrics_by_symbol", "naive_backtest", "daily_backtest", "ridge_backtest",
+    "feature_samples", "metrics_by_symbol", "naive_backtest", "daily_backtest", "ridge_backtest",
     "stream_avg_price", "stream_archive_roundtrip",
 ]
 

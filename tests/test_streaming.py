@@ -35,21 +35,21 @@ def archived(spark, folder):
     return archive.open_archive(spark, f"{folder}/archive", "trade")
 
 
-def run_pipeline(spark, folder):
-    pipeline = live.start_pipeline(
+def run_stream(spark, folder):
+    started = live.start_stream(
         source(spark, f"{folder}/in"), "trade", f"{folder}/archive", f"{folder}/checkpoints",
         points_path=f"{folder}/points", archive_trigger="available", points_trigger="available")
-    live.drain(pipeline.archive, pipeline.points)
+    live.drain(started.archive, started.points)
 
 
 def test_restart_adds_only_new_messages(spark, folder):
     feed(spark, f"{folder}/in", [message(1), message(2, price=""), "poison", message(3, price="abc")])
-    run_pipeline(spark, folder)
+    run_stream(spark, folder)
     assert archived(spark, folder).count() == 2
-    run_pipeline(spark, folder)
+    run_stream(spark, folder)
     assert archived(spark, folder).count() == 2
     feed(spark, f"{folder}/in", [message(4, seconds=9)])
-    run_pipeline(spark, folder)
+    run_stream(spark, folder)
     assert {r.trade_id for r in archived(spark, folder).collect()} == {1, 3, 4}
     lines = spark.read.option("recursiveFileLookup", "true").text(f"{folder}/points").collect()
     assert len(lines) == 3
@@ -166,3 +166,19 @@ def test_publish_replaces_old_predictions(spark, folder):
                      "1704067200000000000"]
     with pytest.raises(ValueError):
         sinks.replace_points(frame(1))
+
+
+def test_points_reach_a_writer_on_the_executors(spark, folder):
+    import uuid
+
+    feed(spark, f"{folder}/in", [message(1), message(2, symbol="B", seconds=1)])
+    rows = normalize_trade(source(spark, f"{folder}/in"))
+
+    def save(lines):
+        with open(f"{folder}/{uuid.uuid4().hex}.lines", "w") as handle:
+            handle.writelines(line + "\n" for line in lines)
+
+    live.drain(sinks.write_points(rows, "trade", f"{folder}/cp", writer=save, trigger="available"))
+    stored = sorted(r.value for r in spark.read.text(f"{folder}/*.lines").collect())
+    assert stored == ["trade,symbol=A price=1.5,quantity=2.0 1704067200000000000",
+                      "trade,symbol=B price=1.5,quantity=2.0 1704067201000000000"]

@@ -34,13 +34,15 @@ def lookup_join(
     """Give every row of ``df`` the row of ``table`` with its keys (one row per key).
 
     The table is written and counted first (an action). Up to ``broadcast_rows`` rows it is broadcast and
-    ``df`` is not shuffled. Beyond that both sides are shuffled on (keys, salt): the salt is a
-    hash of the whole row, so a key that holds a third of ``df`` spreads over ``salts`` tasks,
-    and the table is repeated once per salt.
+    ``df`` is not shuffled. Beyond that both sides are shuffled on (keys, salt). The salt is a
+    hash of the whole row and its partition number (the same on a retry), so a key that holds a
+    third of ``df``, even as copies of one row, spreads over ``salts`` tasks; the table is
+    repeated once per salt.
     """
     table, rows = settle_counted(table)
     if rows <= broadcast_rows:
         return null_safe_join(df, F.broadcast(table), keys, how)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
+    spread = F.xxhash64(*df.columns, F.spark_partition_id())
+    salted = df.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
     repeated = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return null_safe_join(salted, repeated, [*keys, "_salt"], how).drop("_salt")

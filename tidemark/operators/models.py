@@ -127,17 +127,21 @@ def ridge_score(lags: int) -> ScoreFn:
 
 
 def train_per_symbol(
-    samples: DataFrame, fit_fn: FitFn, keys: Sequence[str], shard_samples: int = 2_000
+    samples: DataFrame, fit_fn: FitFn, keys: Sequence[str], shard_samples: int = 2_000,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Model table (keys, n, params, error) from a user function.
 
     ``fit_fn`` gets the samples of one shard: ``shard_samples`` consecutive sample ids of one key,
-    to be chosen so that they fit in a worker's memory.
+    to be chosen so that they fit in a worker's memory. ``columns`` names what it reads besides
+    the keys and the sample id (default: all); only that is sent to Python.
     The parameter vectors of a key's shards are averaged, weighted by sample count; a key that
     fits in one shard is fitted exactly. A failing shard is left out; a key whose shards all fail
     has NULL params and the error text, and the other keys are not affected.
     """
-    columns = list(samples.columns)
+    if columns is not None:
+        samples = samples.select(*dict.fromkeys([*keys, "sample_id", *columns]))
+    given = list(samples.columns)
     key_fields = [samples.schema[k] for k in keys]
     schema = T.StructType(
         [
@@ -151,7 +155,7 @@ def train_per_symbol(
     def fit_shard(shard: pd.DataFrame) -> pd.DataFrame:
         out = {k: [shard[k].iloc[0]] for k in keys}
         try:
-            params, error = np.asarray(fit_fn(shard[columns]), dtype=float).ravel(), None
+            params, error = np.asarray(fit_fn(shard[given]), dtype=float).ravel(), None
         except Exception as failure:  # one symbol's failure must not stop the others
             params, error = None, f"{type(failure).__name__}: {failure}"
         return pd.DataFrame({**out, "n": [len(shard)], "params": [params], "error": [error]})

@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.quotes import notional, recency, spread, spread_percent, truncate
-from tidemark.operators.points import to_points
 from tidemark.operators.selection import (
     last_interval, latest, limit_series, page, temporal_range,
 )
@@ -114,19 +113,22 @@ def spread_percent_windows(books: DataFrame, every: str, start=None, stop=None)
     )
 
 
-def latest_spread(books: DataFrame, now, interval: str = "1 minute") -> DataFrame:
-    """Spread in percent of the last bid and last ask of each symbol."""
+def _newest_values(books: DataFrame, now, interval: str, fields: dict[str, str]) -> DataFrame:
+    """Last value of each field per symbol, one hash aggregate over the wide rows."""
     recent = last_interval(books, "event_time", now, interval)
     order = recency("event_time", "update_id")
-
-    def newest(column: str):
-        return F.max_by(column, F.when(F.col(column).isNotNull(), order))
-
-    sides = recent.groupBy("symbol").agg(
+    return recent.groupBy("symbol").agg(
         F.max("event_time").alias("event_time"),
-        newest("best_bid_price").alias("bid"),
-        newest("best_ask_price").alias("ask"),
+        *[
+            F.max_by(column, F.when(F.col(column).isNotNull(), order)).alias(name)
+            for name, column in fields.items()
+        ],
     )
+
+
+def latest_spread(books: DataFrame, now, interval: str = "1 minute") -> DataFrame:
+    """Spread in percent of the last bid and last ask of each symbol."""
+    sides = _newest_values(books, now, interval, {"bid": "best_bid_price", "ask": "best_ask_price"})
     both = sides.filter(F.col("bid").isNotNull() & F.col("ask").isNotNull())
     return both.select(
         "symbol", "event_time", spread_percent(F.col("bid"), F.col("ask")).alias("spread_percentage")
@@ -135,12 +137,10 @@ def latest_spread(books: DataFrame, now, interval: str = "1 minute") -> DataFram
 
 def latest_depth(books: DataFrame, now, interval: str = "5 minutes") -> DataFrame:
     """Last bid and ask quantity per (symbol, field)."""
-    recent = last_interval(books, "event_time", now, interval)
-    points = to_points(
-        recent, "bookTicker", ["best_bid_qty", "best_ask_qty"], "event_time", keep=["update_id"]
-    )
-    order = recency("time", "update_id")
-    return points.groupBy("symbol", "field").agg(F.max_by("value", order).alias("value"))
+    fields = ["best_bid_qty", "best_ask_qty"]
+    newest = _newest_values(books, now, interval, {f: f for f in fields})
+    long = newest.select("symbol", *fields).unpivot(["symbol"], fields, "field", "value")
+    return long.filter(F.col("value").isNotNull())
 
 
 def average_spread(

@@ -1,4 +1,4 @@
-"""Long-running queries: live dashboards, deduplication and the per-stream pipelines."""
+"""Long-running queries: live dashboards, deduplication and the per-stream jobs."""
 
 from __future__ import annotations
 
@@ -58,14 +58,14 @@ def write_table(
 
 
 @dataclass(frozen=True)
-class Pipeline:
+class StreamQueries:
     """The two queries of one stream type; they advance independently."""
 
     points: StreamingQuery
     archive: StreamingQuery
 
 
-def start_pipeline(
+def start_stream(
     messages: DataFrame,
     stream: str,
     archive_root: str,
@@ -78,10 +78,10 @@ def start_pipeline(
     archive_trigger: str | None = "60 seconds",
     points_trigger: str | None = None,
     event_time: str | None = None,
-) -> Pipeline:
+) -> StreamQueries:
     """Clean one message stream and feed the archive and the point store from it.
 
-    One pipeline serves all symbols of the stream; each sink has its own checkpoint.
+    One pair of queries serves all symbols of the stream; each sink has its own checkpoint.
     """
     if stream == "bookTicker":
         rows = normalize_book_ticker(messages, strict, symbols, event_time)
@@ -94,7 +94,7 @@ def start_pipeline(
     archive = write_archive(
         rows, archive_root, stream, f"{checkpoint_root}/{stream}/archive", archive_trigger
     )
-    return Pipeline(points, archive)
+    return StreamQueries(points, archive)
 
 
 def await_any(spark: SparkSession, timeout: float | None = None) -> bool | None:

@@ -427,13 +427,13 @@ def subtract_rows_all(spark, sf_dir):
 
 
 @query(
-    "trade_pipeline",
+    "trade_messages_to_prices",
     f"""WITH {fr.EVENTS_MS} SELECT event_type AS symbol, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
     time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
     ROUND(AVG(CASE WHEN event_id % 89 = 0 THEN NULL ELSE value END), 6) AS avg_price FROM ev
     WHERE event_id % 97 <> 0 AND event_id % 83 <> 0 GROUP BY ALL""",
 )
-def trade_pipeline(spark, sf_dir):
+def trade_messages_to_prices(spark, sf_dir):
     """Messages to dashboard: decode, clean, type, average per hour and symbol."""
     trades = normalize_trade(fr.raw_trades(spark, sf_dir))
     return _rounded(d.average_trade_price(trades, "1 hour"), "avg_price")

@@ -221,15 +221,15 @@ def shuffled_batches(spark, sf_dir):
     return seqs.with_batch_id(seqs.shuffle_samples(index, ["symbol"], seed=7), ["symbol"], 16)
 
 
-_PIPE_SEQ, _PIPE_PRED = 6, 2
+_FEW_SEQ, _FEW_PRED = 6, 2
 
 
-def _pipeline_sql(source: str, keys: str, same: str, position: str, length: str) -> str:
-    span = _PIPE_SEQ + _PIPE_PRED
+def _sample_sql(source: str, keys: str, same: str, position: str, length: str) -> str:
+    span = _FEW_SEQ + _FEW_PRED
     values = ", ".join(f"{_float('p.' + c)} AS {c}" for c in [*TICK, *MARKS])
     return f"""SELECT {keys}, s.{position} AS sample_id, CAST(p.{position} - s.{position} AS INTEGER) AS step,
     {values} FROM {source} s JOIN {source} p ON {same} AND p.{position} >= s.{position}
-    AND p.{position} < s.{position} + {_PIPE_SEQ} WHERE s.{position} <= s.{length} - {span}"""
+    AND p.{position} < s.{position} + {_FEW_SEQ} WHERE s.{position} <= s.{length} - {span}"""
 
 
 _SCALE_TICK = ", ".join(
@@ -248,37 +248,37 @@ def _encoded_cells(samples, keys):
 
 
 @query(
-    "feature_pipeline",
+    "feature_samples",
     f"""WITH {SPLIT_SQL}, enc AS (SELECT symbol, split, split_position, split_length, {_SCALE_TICK},
     {_sines('event_time', 12)} FROM split WINDOW w AS (PARTITION BY symbol)) """
-    + _pipeline_sql("enc", "p.symbol, p.split", "p.symbol = s.symbol AND p.split = s.split",
+    + _sample_sql("enc", "p.symbol, p.split", "p.symbol = s.symbol AND p.split = s.split",
                     "split_position", "split_length"),
 )
-def feature_pipeline(spark, sf_dir):
-    samples = fc.prepare_training(fr.tickers(spark, sf_dir, "user_id"), _PIPE_SEQ, _PIPE_PRED)
+def feature_samples(spark, sf_dir):
+    samples = fc.prepare_training(fr.tickers(spark, sf_dir, "user_id"), _FEW_SEQ, _FEW_PRED)
     return _encoded_cells(samples, ["symbol", "split", "sample_id"])
 
 
 @query(
-    "feature_pipeline_train_fit",
+    "feature_frame_train_fit",
     f"""WITH {SPLIT_SQL}, st AS (SELECT symbol, MIN(last_price) AS lo, MAX(last_price) AS hi FROM split
     WHERE split = 'train' GROUP BY symbol) SELECT split.symbol, position,
     ROUND(CASE WHEN hi <> lo THEN (last_price - lo) / (hi - lo) ELSE 0.0 END, 6) AS last_price
     FROM split LEFT JOIN st ON split.symbol = st.symbol""",
 )
-def feature_pipeline_train_fit(spark, sf_dir):
+def feature_frame_train_fit(spark, sf_dir):
     frame = fc.feature_frame(fr.tickers(spark, sf_dir, "user_id"), fit_on="train")
     return frame.select("symbol", "position", F.round("last_price", 6).alias("last_price"))
 
 
 @query(
-    "prediction_pipeline",
+    "prediction_samples",
     f"""WITH {PLACED}, enc AS (SELECT symbol, position, series_length, {_SCALE_TICK}, {_sines('event_time', 12)}
     FROM placed WINDOW w AS (PARTITION BY symbol)) """
-    + _pipeline_sql("enc", "p.symbol", "p.symbol = s.symbol", "position", "series_length"),
+    + _sample_sql("enc", "p.symbol", "p.symbol = s.symbol", "position", "series_length"),
 )
-def prediction_pipeline(spark, sf_dir):
-    samples = fc.prepare_prediction(fr.tickers(spark, sf_dir, "user_id"), _PIPE_SEQ, _PIPE_PRED)
+def prediction_samples(spark, sf_dir):
+    samples = fc.prepare_prediction(fr.tickers(spark, sf_dir, "user_id"), _FEW_SEQ, _FEW_PRED)
     return _encoded_cells(samples, ["symbol", "sample_id"])
 
 
@@ -345,7 +345,7 @@ def metric_pearson(spark, sf_dir):
 # --- models -----------------------------------------------------------------------------------
 
 
-def _splits(spark, sf_dir, seq=_PIPE_SEQ, pred=_PIPE_PRED):
+def _splits(spark, sf_dir, seq=_FEW_SEQ, pred=_FEW_PRED):
     return fc.prepare_training(fr.tickers(spark, sf_dir, "user_id"), seq, pred)
 
 
@@ -354,14 +354,14 @@ _NAIVE_ERRORS = f"""{SPLIT_SQL}, enc AS (SELECT symbol, split, split_position, s
     {', '.join(f'CAST(CAST(l.{c} AS FLOAT) AS DOUBLE)' for c in TICK)}]) AS pred, UNNEST([
     {', '.join(f'CAST(CAST(t.{c} AS FLOAT) AS DOUBLE)' for c in TICK)}]) AS actual
     FROM enc l JOIN enc t ON l.symbol = t.symbol AND l.split = t.split
-    AND t.split_position > l.split_position AND t.split_position <= l.split_position + {_PIPE_PRED}
-    WHERE l.split_position >= {_PIPE_SEQ - 1} AND l.split_position <= l.split_length - {_PIPE_PRED} - 1)"""
+    AND t.split_position > l.split_position AND t.split_position <= l.split_position + {_FEW_PRED}
+    WHERE l.split_position >= {_FEW_SEQ - 1} AND l.split_position <= l.split_length - {_FEW_PRED} - 1)"""
 
 
 @query("naive_backtest", f"WITH {_NAIVE_ERRORS} SELECT {_METRICS} FROM pr WHERE split = 'test'")
 def naive_backtest(spark, sf_dir):
     test = _splits(spark, sf_dir).filter("split = 'test'")
-    return _rounded_metrics(fc.backtest_naive(test, ["symbol"], _PIPE_SEQ, _PIPE_PRED))
+    return _rounded_metrics(fc.backtest_naive(test, ["symbol"], _FEW_SEQ, _FEW_PRED))
 
 
 @query(
@@ -374,14 +374,14 @@ def validation_loss(spark, sf_dir):
     """Validation error of a trained model that repeats the last row."""
     samples = _splits(spark, sf_dir)
     repeat_last = mod.train_per_symbol(
-        samples.filter("split = 'train'"), lambda shard: np.ones(len(TICK)), ["symbol"]
+        samples.filter("split = 'train'"), lambda shard: np.ones(len(TICK)), ["symbol"], columns=[]
     )
 
     def score(lanes, params, pred):
         last = lanes["x"][:, -1:, :].astype(float)
         return np.repeat(last * np.stack(params)[:, None, :], pred, axis=1)
 
-    losses = mod.evaluate(samples.filter("split = 'val'"), repeat_last, score, ["symbol"], _PIPE_PRED)
+    losses = mod.evaluate(samples.filter("split = 'val'"), repeat_last, score, ["symbol"], _FEW_PRED)
     return losses.select("symbol", F.round("val_loss", 6).alias("val_loss"))
 
 
@@ -391,11 +391,11 @@ def ridge_training(spark, sf_dir):
     train, val = samples.filter("split = 'train'"), samples.filter("split = 'val'")
     candidates = {
         f"ridge_{alpha}": mod.Candidate(
-            lambda s, a=alpha: mod.fit_ridge(s, ["symbol"], _PIPE_SEQ, lags=3, alpha=a), mod.ridge_score(3)
+            lambda s, a=alpha: mod.fit_ridge(s, ["symbol"], _FEW_SEQ, lags=3, alpha=a), mod.ridge_score(3)
         )
         for alpha in (0.01, 1.0)
     }
-    return mod.train_best(train, val, candidates, ["symbol"], _PIPE_PRED)
+    return mod.train_best(train, val, candidates, ["symbol"], _FEW_PRED)
 
 
 @query("ridge_forecast")
@@ -403,10 +403,10 @@ def ridge_forecast(spark, sf_dir):
     """Train on the training split, forecast the next steps of every symbol, publish the table."""
     tickers = fr.tickers(spark, sf_dir, "user_id")
     train = _splits(spark, sf_dir).filter("split = 'train'")
-    model = mod.fit_ridge(train, ["symbol"], _PIPE_SEQ, lags=3, alpha=0.01)
+    model = mod.fit_ridge(train, ["symbol"], _FEW_SEQ, lags=3, alpha=0.01)
     forecast = fc.forecast_table(
-        tickers, _PIPE_SEQ, _PIPE_PRED,
-        lambda s: mod.predict_per_symbol(s, model, mod.ridge_score(3), ["symbol"], _PIPE_PRED),
+        tickers, _FEW_SEQ, _FEW_PRED,
+        lambda s: mod.predict_per_symbol(s, model, mod.ridge_score(3), ["symbol"], _FEW_PRED),
     )
     root = scratch_path(spark, "forecast")
     return spark.read.parquet(publish_forecast(forecast, root, points_path=f"{root}/points"))
@@ -415,9 +415,9 @@ def ridge_forecast(spark, sf_dir):
 @query("ridge_backtest")
 def ridge_backtest(spark, sf_dir):
     samples = _splits(spark, sf_dir)
-    model = mod.fit_ridge(samples.filter("split = 'train'"), ["symbol"], _PIPE_SEQ, lags=3, alpha=0.01)
+    model = mod.fit_ridge(samples.filter("split = 'train'"), ["symbol"], _FEW_SEQ, lags=3, alpha=0.01)
     test = samples.filter("split = 'test'")
-    return fc.backtest(test, model, mod.ridge_score(3), ["symbol"], _PIPE_PRED, by=["symbol"])
+    return fc.backtest(test, model, mod.ridge_score(3), ["symbol"], _FEW_PRED, by=["symbol"])
 
 
 _GRID_MARKS = list(cal.features_for_freq("d"))

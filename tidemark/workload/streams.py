@@ -73,21 +73,21 @@ _CLEAN = f"""WITH {fr.EVENTS_MS} SELECT event_id AS trade_id, 'trade' AS event,
     event_id % 2 = 0 AS is_market_maker FROM ev WHERE event_id % 97 <> 0 AND event_id % 83 <> 0"""
 
 
-def _pipeline(spark, sf_dir, strict=False):
-    path = scratch_path(spark, "pipeline")
+def _run(spark, sf_dir, strict=False):
+    path = scratch_path(spark, "stream")
     messages = fr.raw_trades_of(fr.stream_events(spark, sf_dir))
-    pipeline = live.start_pipeline(
+    started = live.start_stream(
         messages, "trade", f"{path}/archive", f"{path}/checkpoints", points_path=f"{path}/points",
         strict=strict, archive_trigger="available", points_trigger="available",
     )
-    live.drain(pipeline.archive, pipeline.points)
+    live.drain(started.archive, started.points)
     return path
 
 
 @query("stream_archive_roundtrip", _CLEAN)
 def stream_archive_roundtrip(spark, sf_dir):
-    """Messages through the pipeline; the archive read back."""
-    path = _pipeline(spark, sf_dir)
+    """Messages through both sinks; the archive read back."""
+    path = _run(spark, sf_dir)
     return open_archive(spark, f"{path}/archive", "trade").drop("query_id", "batch_id", "ingest_epoch")
 
 
@@ -97,7 +97,7 @@ def stream_archive_roundtrip(spark, sf_dir):
     ',quantity=' || quantity || ' ' || (epoch_us(trade_time) * 1000) AS line FROM c""",
 )
 def stream_points(spark, sf_dir):
-    """Messages through the pipeline; the encoded points read back."""
+    """Messages through both sinks; the encoded points read back."""
     path = scratch_path(spark, "points")
     rows = normalize_trade(fr.raw_trades_of(fr.stream_events(spark, sf_dir)), strict=True)
     live.drain(write_points(rows, "trade", f"{path}/checkpoint", path=f"{path}/points", trigger="available"))
