@@ -182,3 +182,19 @@ def test_points_reach_a_writer_on_the_executors(spark, folder):
     stored = sorted(r.value for r in spark.read.text(f"{folder}/*.lines").collect())
     assert stored == ["trade,symbol=A price=1.5,quantity=2.0 1704067200000000000",
                       "trade,symbol=B price=1.5,quantity=2.0 1704067201000000000"]
+
+
+def test_run_all_stops_the_rest_when_one_fails(spark, folder):
+    feed(spark, f"{folder}/in", [message(1)])
+    rows = normalize_trade(source(spark, f"{folder}/in"))
+
+    def broken(lines):
+        raise OSError("store is down")
+
+    spark.streams.resetTerminated()
+    good = sinks.write_archive(rows, f"{folder}/archive", "trade", f"{folder}/c1", "1 hour")
+    bad = sinks.write_points(rows, "trade", f"{folder}/c2", writer=broken)
+    with pytest.raises(Exception, match="store is down"):
+        live.run_all(spark, good, bad, timeout=120)
+    assert not good.isActive and not bad.isActive
+    spark.streams.resetTerminated()

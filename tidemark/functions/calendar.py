@@ -142,7 +142,7 @@ def future_time(last: Column, step: Column, freq: str) -> Column:
     after ``last`` and keep its time of day.
     """
     multiple, unit = parse_frequency(freq)
-    step = step.cast("long")
+    step, last = step.cast("long"), last.cast("timestamp")
     if unit in UNIT_MICROS:
         return F.timestamp_micros(F.unix_micros(last) + step * F.lit(multiple * UNIT_MICROS[unit]))
     time_of_day = F.unix_micros(last) - F.unix_micros(F.date_trunc("day", last))

@@ -39,7 +39,7 @@ def recency(time: str, tie: str | None = None) -> Column:
     A decimal keeps ``max_by`` in hash aggregation, where a struct ordering would force every
     input partition to be sorted first.
     """
-    micros = F.unix_micros(F.col(time))
+    micros = F.unix_micros(F.col(time).cast("timestamp"))
     if tie is None:
         return micros
     weight = F.lit(Decimal(10) ** 20).cast("decimal(21,0)")

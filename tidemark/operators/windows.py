@@ -81,7 +81,7 @@ def fill_empty_windows(
     last = (epoch_micros(stop) - 1) // step
     if last - first + 1 > MAX_EMPTY_WINDOWS:
         raise ValueError("the range has too many windows; raise the interval or narrow the range")
-    index = F.floor(F.unix_micros("window_start") / F.lit(step))
+    index = F.floor(F.unix_micros(F.col("window_start").cast("timestamp")) / F.lit(step))
     in_order = Window.partitionBy(*by).orderBy("_index")
     gaps = (
         grouped.withColumn("_index", index.cast("long"))

@@ -13,6 +13,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # building a wide plan from Python is several times faster without call-site capture
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -104,6 +104,16 @@ def await_any(spark: SparkSession, timeout: float | None = None) -> bool | None:
     return spark.streams.awaitAnyTermination(timeout)
 
 
+def run_all(spark: SparkSession, *queries: StreamingQuery, timeout: float | None = None) -> None:
+    """Run until the first query ends or fails, then stop the others; a failure is raised."""
+    try:
+        await_any(spark, timeout)
+    finally:
+        for query in queries:
+            if query.isActive:
+                query.stop()
+
+
 def drain(*queries: StreamingQuery, timeout: float = 600) -> None:
     """Wait for ``available`` queries to finish; raise the first failure or a timeout."""
     for query in queries:

@@ -385,6 +385,57 @@ def validation_loss(spark, sf_dir):
     return losses.select("symbol", F.round("val_loss", 6).alias("val_loss"))
 
 
+_ALPHA = 0.01
+_CELLS = f"""{SPLIT_SQL}, enc AS (SELECT symbol, split, split_position, split_length, {_SCALE_TICK}
+    FROM split WINDOW w AS (PARTITION BY symbol)), q AS (SELECT symbol, split, split_position AS sp,
+    split_length AS sn, UNNEST([0, 1, 2, 3]) AS feature,
+    UNNEST([{', '.join(f'CAST(CAST({c} AS FLOAT) AS DOUBLE)' for c in TICK)}]) AS v FROM enc),
+    starts AS (SELECT l.symbol, l.split, l.feature, l.sp, l.v AS x, t.v AS y FROM q l JOIN q t
+    ON l.symbol = t.symbol AND l.split = t.split AND l.feature = t.feature AND t.sp = l.sp + 1
+    WHERE l.sp >= {_FEW_SEQ - 1} AND l.sp <= l.sn - {_FEW_PRED} - 1),
+    sums AS (SELECT symbol, feature, COUNT(*) AS n, SUM(x) AS sx, SUM(y) AS sy, SUM(x * x) AS sxx, SUM(x * y) AS sxy
+    FROM starts WHERE split = 'train' GROUP BY symbol, feature),
+    fit AS (SELECT symbol, feature, n, ((sxx + {_ALPHA}) * sy - sx * sxy) / det AS a,
+    ((n + {_ALPHA}) * sxy - sx * sy) / det AS b
+    FROM (SELECT *, (n + {_ALPHA}) * (sxx + {_ALPHA}) - sx * sx AS det FROM sums))"""
+
+
+def _lag_one(spark, sf_dir):
+    samples = _splits(spark, sf_dir)
+    return samples, mod.fit_ridge(samples.filter("split = 'train'"), ["symbol"], _FEW_SEQ, lags=1, alpha=_ALPHA)
+
+
+@query(
+    "ridge_fit_lag1",
+    f"WITH {_CELLS} SELECT symbol, CAST(feature AS INTEGER) AS feature, n, ROUND(a, 6) AS intercept, ROUND(b, 6) AS slope FROM fit",
+)
+def ridge_fit_lag1(spark, sf_dir):
+    """Autoregression on the previous value: two numbers per symbol and feature."""
+    _, model = _lag_one(spark, sf_dir)
+    rows = model.select("symbol", "n", F.explode(F.sequence(F.lit(0), F.lit(len(TICK) - 1))).alias("feature"), "params")
+    return rows.select(
+        "symbol", "feature", "n",
+        F.round(F.col("params")[F.col("feature") * 2], 6).alias("intercept"),
+        F.round(F.col("params")[F.col("feature") * 2 + 1], 6).alias("slope"),
+    )
+
+
+@query(
+    "ridge_validation_lag1",
+    f"""WITH {_CELLS}, steps AS (SELECT s.symbol, s.feature, s.sp, h, CASE WHEN h = 1 THEN a + b * x
+    ELSE a + b * (a + b * x) END AS p FROM starts s JOIN fit USING (symbol, feature), generate_series(1, {_FEW_PRED}) g(h)
+    WHERE s.split = 'val'), loss AS (SELECT s.symbol, AVG((p - v) * (p - v)) AS l FROM steps s JOIN q
+    ON q.symbol = s.symbol AND q.split = 'val' AND q.feature = s.feature AND q.sp = s.sp + h GROUP BY s.symbol)
+    SELECT f.symbol, ROUND(COALESCE(l, 0.0), 6) AS val_loss FROM (SELECT DISTINCT symbol FROM fit) f
+    LEFT JOIN loss ON f.symbol = loss.symbol""",
+)
+def ridge_validation_lag1(spark, sf_dir):
+    """Validation error of that model over two forecast steps."""
+    samples, model = _lag_one(spark, sf_dir)
+    losses = mod.evaluate(samples.filter("split = 'val'"), model, mod.ridge_score(1), ["symbol"], _FEW_PRED)
+    return losses.select("symbol", F.round("val_loss", 6).alias("val_loss"))
+
+
 @query("ridge_training")
 def ridge_training(spark, sf_dir):
     samples = _splits(spark, sf_dir)
