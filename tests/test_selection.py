@@ -100,12 +100,30 @@ def test_normalized_heatmap_of_equal_cells(spark):
     assert {r.normalized for r in v.heatmap_normalized(rows).collect()} == {0.0}
 
 
-@pytest.mark.parametrize("limit", [10, 0])
+@pytest.mark.parametrize("limit", [10_000, 0])
 def test_lookup_join_with_and_without_broadcast(spark, limit):
     left = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
     table = spark.createDataFrame([(0, "a"), (1, "b")], "k long, name string")
     for how, size in (("left", 1000), ("inner", 667)):
-        joined = lookup_join(left, table, ["k"], how=how, broadcast_rows=limit)
+        joined = lookup_join(left, table, ["k"], how=how, broadcast_bytes=limit)
         assert joined.columns == ["k", "v", "name"]
         assert joined.count() == size
         assert joined.filter("k = 1 and name = 'b'").count() == 333
+
+
+def test_copies_of_one_row_spread_over_the_salts(spark):
+    left = spark.range(400, numPartitions=8).select(F.lit(1).alias("k"))
+    table = spark.createDataFrame([(1, "b")], "k int, name string")
+    joined = lookup_join(left, table, ["k"], broadcast_bytes=0)
+    assert joined.filter("name = 'b'").count() == 400
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan and "SPARK_PARTITION_ID" in plan
+
+
+def test_measured_size(spark):
+    from tidemark.session import settle_sized
+
+    rows = spark.createDataFrame([("abc", [1.0] * 10, 1)], "s string, a array<double>, n long")
+    table, size = settle_sized(rows)
+    assert table.first() == rows.first() and size == 16 + 24 + 3 + 80
+    assert settle_sized(rows.limit(0))[1] == 0

@@ -129,6 +129,8 @@ def test_archive_selection_and_pruning(spark, folder):
     assert "PartitionFilters: [ingest_epoch" in plan
     newest = archive.read_archive(spark, folder, "trade", 20 * day + 5, days_ago=0, max_batches=2)
     assert {r.ingest_epoch for r in newest.collect()} == {20 * day, 10 * day + 5}
+    since = archive.read_since(spark, folder, "trade", 20 * day + 5)
+    assert {r.ingest_epoch for r in since.collect()} == {20 * day}
     current = archive.read_current(spark, folder, "trade", 20 * day + 5, max_batches=9)
     assert current.count() == 1
 

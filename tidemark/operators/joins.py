@@ -8,9 +8,9 @@ from operator import and_
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.session import settle_counted
+from tidemark.session import settle_sized
 
-BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 64
 
 
@@ -28,19 +28,19 @@ def lookup_join(
     table: DataFrame,
     keys: Sequence[str],
     how: str = "left",
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
     salts: int = SALTS,
 ) -> DataFrame:
     """Give every row of ``df`` the row of ``table`` with its keys (one row per key).
 
-    The table is written and counted first (an action). Up to ``broadcast_rows`` rows it is broadcast and
-    ``df`` is not shuffled. Beyond that both sides are shuffled on (keys, salt). The salt is a
+    The table is written and measured first (an action). Up to ``broadcast_bytes`` it is broadcast
+    and ``df`` is not shuffled. Beyond that both sides are shuffled on (keys, salt). The salt is a
     hash of the whole row and its partition number (the same on a retry), so a key that holds a
     third of ``df``, even as copies of one row, spreads over ``salts`` tasks; the table is
     repeated once per salt.
     """
-    table, rows = settle_counted(table)
-    if rows <= broadcast_rows:
+    table, size = settle_sized(table)
+    if size <= broadcast_bytes:
         return null_safe_join(df, F.broadcast(table), keys, how)
     spread = F.xxhash64(*df.columns, F.spark_partition_id())
     salted = df.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))

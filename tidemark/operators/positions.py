@@ -6,8 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.operators.joins import BROADCAST_ROWS, null_safe_join
-from tidemark.session import settle, settle_counted
+from tidemark.operators.joins import BROADCAST_BYTES, null_safe_join
+from tidemark.session import settle, settle_sized
 
 
 def with_position(
@@ -52,8 +52,8 @@ def with_position(
         *([F.sum("_rows").over(whole).alias(length)] if length else []),
         *[combine[how](name).over(whole).alias(name) for name, (_, how) in totals.items()],
     )
-    offsets, rows = settle_counted(offsets)
-    if rows <= BROADCAST_ROWS:
+    offsets, size = settle_sized(offsets)
+    if size <= BROADCAST_BYTES:
         offsets = F.broadcast(offsets)
     joined = null_safe_join(ranged, offsets, [*keys, "_part"], "inner")
     extra = [*([length] if length else []), *totals]

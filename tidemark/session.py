@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -58,17 +58,37 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
-def settle_counted(df: DataFrame) -> tuple[DataFrame, int]:
+def row_bytes(schema: T.StructType) -> Column:
+    """Estimated size of one row in memory."""
+    size = F.lit(16 + 8 * len(schema.fields))
+    for field in schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(column), F.lit(0))
+        elif isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.NumericType):
+            size = size + 8 * F.coalesce(F.size(column), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            wrapped = F.to_json(F.struct(column.alias("v")))
+            size = size + F.coalesce(F.length(wrapped), F.lit(0))
+    return size
+
+
+def settle_sized(df: DataFrame) -> tuple[DataFrame, int]:
     """Write ``df`` to the shared folder once and continue from the written table (an action).
 
     A Parquet table rather than a row checkpoint: it survives lost executors just the same, and
-    later reads load only the columns they need. The row count is taken while writing.
+    later reads load only the columns they need. Also gives the table's estimated size in memory
+    in bytes, summed while writing.
     """
     path = scratch_path(df.sparkSession, "settled")
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]
+    total = F.coalesce(F.sum(row_bytes(df.schema).cast("long")), F.lit(0)).alias("bytes")
+    df.observe(seen, total).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["bytes"]
 
 
 def settle(df: DataFrame) -> DataFrame:
-    return settle_counted(df)[0]
+    """``settle_sized`` without the measuring."""
+    path = scratch_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

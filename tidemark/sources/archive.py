@@ -79,6 +79,19 @@ def read_current(
     return read_archive(spark, root, stream, as_of, days_ago, max(1, int(max_batches * fraction)))
 
 
+def read_since(
+    spark: SparkSession, root: str, stream: str, since: datetime | str | int, clock_skew: int = 60
+) -> DataFrame:
+    """Rows of the batches written since ``since``, less ``clock_skew`` seconds.
+
+    A message is archived after it happened, so a panel over a trailing interval finds all its
+    rows here and skips the folders of older batches. The panel still filters by event time.
+    """
+    first = epoch_seconds(since) - clock_skew
+    recent = open_archive(spark, root, stream).filter(F.col("ingest_epoch") >= first)
+    return recent.drop("query_id", "batch_id")
+
+
 def read_batches(spark: SparkSession, root: str, stream: str, epochs: list[int]) -> DataFrame:
     """Concatenation of named batches."""
     return (
