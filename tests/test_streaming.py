@@ -200,3 +200,32 @@ def test_run_all_stops_the_rest_when_one_fails(spark, folder):
         live.run_all(spark, good, bad, timeout=120)
     assert not good.isActive and not bad.isActive
     spark.streams.resetTerminated()
+
+
+BOOK = ("symbol string, update_id long, best_bid_price double, best_bid_qty double, best_ask_price double, "
+        "best_ask_qty double, event_time timestamp")
+
+
+def book_rows():
+    return [(s, i, 10.0 + i % 7, 1.0, 11.0 + i % 5, float(i), T0 + timedelta(seconds=40 * i))
+            for i in range(60) for s in ("A", "B")]
+
+
+def test_panels_give_the_same_rows_on_a_stream(spark, folder):
+    from tidemark.plans import dashboards as d
+
+    batch = spark.createDataFrame(book_rows(), BOOK)
+    batch.repartition(3).write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(BOOK).option("maxFilesPerTrigger", "1").parquet(f"{folder}/in")
+    marked = stream.withWatermark("event_time", "1 hour")
+    for i, panel in enumerate((d.spread_percent_windows, d.bid_ask_windows)):
+        live.drain(live.write_table(panel(marked, "5 minutes"), f"{folder}/o{i}", f"{folder}/c{i}", "complete", "available"))
+        expected = {tuple(r) for r in panel(batch, "5 minutes").collect()}
+        assert {tuple(r) for r in spark.read.parquet(f"{folder}/o{i}").collect()} == expected
+
+
+def test_table_as_csv(spark, folder):
+    stream = rows_stream(spark, f"{folder}/in", [("A", T0, 1.0, 1)])
+    live.drain(live.write_table(stream, f"{folder}/o", f"{folder}/c", "append", "available", fmt="csv"))
+    row = files.read_series_csv(spark, f"{folder}/o/batch_id=0").first()
+    assert (row.symbol, row.value) == ("A", 1.0)

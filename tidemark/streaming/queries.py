@@ -41,9 +41,9 @@ def live_dedup(
 
 def write_table(
     stream_df: DataFrame, path: str, checkpoint: str, mode: str = "append",
-    trigger: str | None = None,
+    trigger: str | None = None, fmt: str = "parquet",
 ) -> StreamingQuery:
-    """Keep a Parquet folder with the query's result.
+    """Keep a folder with the query's result, as Parquet or (for looking at it) ``fmt="csv"``.
 
     ``append`` adds each batch once. ``complete`` replaces the folder with the whole result.
     ``update`` keeps one folder per batch with the rows that changed in it.
@@ -51,7 +51,8 @@ def write_table(
 
     def save(batch: DataFrame, batch_id: int) -> None:
         target = path if mode == "complete" else f"{path}/batch_id={batch_id}"
-        batch.write.mode("overwrite").parquet(target)
+        options = {"header": "true"} if fmt == "csv" else {}
+        batch.write.mode("overwrite").format(fmt).options(**options).save(target)
 
     writer = stream_df.writeStream.foreachBatch(save).outputMode(mode)
     return _start(writer.option("checkpointLocation", checkpoint), trigger)

@@ -215,6 +215,14 @@ def archive_newest_batches(spark, sf_dir):
     return archive.newest_batches(opened, AS_OF, 1, 5)
 
 
+@query(
+    "archive_since",
+    _DAYS + """ SELECT * FROM d WHERE ingest_epoch >= epoch(TIMESTAMP '2024-01-25')""",
+)
+def archive_since(spark, sf_dir):
+    return archive.read_since(spark, _daily_archive(spark, sf_dir), "trade", "2024-01-25", clock_skew=0)
+
+
 @query(
     "archive_union_read",
     _DAYS + """ SELECT * FROM d WHERE ingest_epoch IN (epoch(TIMESTAMP '2024-01-05'), epoch(TIMESTAMP '2024-01-09'))""",
