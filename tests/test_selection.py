@@ -127,3 +127,12 @@ def test_measured_size(spark):
     table, size = settle_sized(rows)
     assert table.first() == rows.first() and size == 16 + 24 + 3 + 80
     assert settle_sized(rows.limit(0))[1] == 0
+
+
+def test_clear_scratch(spark, tmp_path, monkeypatch):
+    from tidemark import session
+
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path))
+    table = session.settle(spark.range(5))
+    assert table.count() == 5
+    assert session.clear_scratch(spark) and not (tmp_path / "tidemark").exists()

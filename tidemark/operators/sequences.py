@@ -38,8 +38,9 @@ def block_windows(
     """One row per window of ``span`` rows: keys, sample_id, start_pos, and the lane arrays of the
     whole block with ``_at``, the 1-based place in them where the window starts.
 
-    The output is up to ``span`` times the input, so sizing tasks by their input makes them too
-    long: for large spans set ``partitions``, which adaptive execution does not merge.
+    The output is up to ``span`` times the input, so tasks must not be sized by their input: the
+    blocks go to a fixed number of ``partitions`` (default: the session's shuffle partitions),
+    which adaptive execution does not merge.
     """
     size = block or max(span, MIN_BLOCK)
     if size < span - 1:
@@ -53,9 +54,8 @@ def block_windows(
         *[column.alias(name) for name, column in lanes.items()],
         F.explode(F.when(reached, F.array(own, own - 1)).otherwise(F.array(own))).alias("_block"),
     )
-    if partitions is not None:
-        rows = rows.repartition(partitions, *keys, "_block")
-    grouped = rows.groupBy(*keys, "_block").agg(
+    count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grouped = rows.repartition(count, *keys, "_block").groupBy(*keys, "_block").agg(
         F.sort_array(F.collect_list(F.struct("_pos", *lanes))).alias("_rows")
     )
     blocks = grouped.filter(F.size("_rows") >= span).select(

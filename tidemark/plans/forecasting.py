@@ -65,22 +65,26 @@ def feature_frame(
 def prepare_training(
     df: DataFrame, seq: int, pred: int, spec: FeatureSpec = TICKER_FEATURES, fit_on: str = "all",
     train: float = 0.7, val: float = 0.2, label: int | None = None, stride: int = 1,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Samples per key and split (train, val, test). A split shorter than seq + pred has none."""
     frame = split_ratio(feature_frame(df, spec, fit_on, train), train, val)
     return make_windows(
         frame, [*spec.keys, "split"], spec.features, spec.time_features, seq, pred, label, stride,
-        position="split_position",
+        position="split_position", partitions=partitions,
     )
 
 
 def prepare_prediction(
     df: DataFrame, seq: int, pred: int, spec: FeatureSpec = TICKER_FEATURES,
-    label: int | None = None, stride: int = 1,
+    label: int | None = None, stride: int = 1, partitions: int | None = None,
 ) -> DataFrame:
     """Samples per key over the whole series, for scoring."""
     frame = feature_frame(df, spec)
-    return make_windows(frame, spec.keys, spec.features, spec.time_features, seq, pred, label, stride)
+    return make_windows(
+        frame, spec.keys, spec.features, spec.time_features, seq, pred, label, stride,
+        partitions=partitions,
+    )
 
 
 def forecast_input(
@@ -174,7 +178,7 @@ def series_dataset(
     df: DataFrame, time: str, target: str, seq: int, label: int, pred: int, mode: str = "S",
     columns: Sequence[str] | None = None, keys: Sequence[str] = (), freq: str = "h",
     rows_per_day: int | None = None, months: tuple[int, int, int] = (12, 4, 4), scale: bool = True,
-    inverse: bool = False, integer_marks: bool = False,
+    inverse: bool = False, integer_marks: bool = False, partitions: int | None = None,
 ) -> DataFrame:
     """Samples with overlapping targets per split of a regular series (runs jobs).
 
@@ -198,7 +202,7 @@ def series_dataset(
     marks = _marks(time, freq, integer_marks)
     return windows_overlap(
         split.withColumns(marks), [*keys, "split"], features, [f"{f}_raw" for f in features],
-        list(marks), seq, label, pred, inverse, position="split_position",
+        list(marks), seq, label, pred, inverse, position="split_position", partitions=partitions,
     )
 
 

@@ -13,6 +13,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # samples are wide rows: bound the batches sent to Python by size, not only by row count
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
     # building a wide plan from Python is several times faster without call-site capture
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -92,3 +94,9 @@ def settle(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "settled")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete what this application settled. Frames built on it can no longer be read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tidemark")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
