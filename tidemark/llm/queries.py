@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.llm.bpe import bpe_round_trip
 from tidemark.llm.exact_dedup import exact_duplicates
+from tidemark.llm.packing import pack_powers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,3 +39,28 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the copy that stays; of equal texts the largest doc_id."""
     return exact_duplicates(table(spark, sf_dir, "documents"), keep="largest").select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def tokenizer_path(name: str) -> str:
+    """Where the tokenizer package keeps a vocabulary; the same place on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op2_bpe_round_trip")
+def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded with the word-end vocabulary, as digests."""
+    coded = bpe_round_trip(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query("op3_power_packing")
+def op3_power_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens, each a power of two long."""
+    pieces = pack_powers(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset", "bucket")
