@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.llm.bpe import bpe_round_trip
 from tidemark.llm.exact_dedup import exact_duplicates
 from tidemark.llm.packing import pack_powers
+from tidemark.llm.quality import judged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,3 +65,11 @@ def op3_power_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack_powers(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                          "sequence_id", "offset", "bucket")
+
+
+@query("op10_quality_rules")
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document under the base rules and the cutoffs proven on the labelled ones."""
+    return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "failed_rule")
