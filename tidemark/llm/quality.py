@@ -150,7 +150,7 @@ def thresholds(scores: DataFrame, labels: DataFrame, alpha: float = 0.02, delta:
     ``scores`` comes from ``measured``; ``labels`` has doc_id and quality (1 good, 0 bad). All labelled
     documents that pass the base rules take part. Repeated labels of a document count once, the
     worst one; rows without identifier or label are left out. Only counts per ladder step leave the
-    scan, so a stratum of any size meets as a few rows.
+    scan, so a stratum of any size meets as a few rows. Writes these counts (an action).
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy(
         F.col("doc_id").cast("long").alias("doc_id")).agg((F.min("quality") > 0).cast("int").alias("good"))
@@ -159,10 +159,10 @@ def thresholds(scores: DataFrame, labels: DataFrame, alpha: float = 0.02, delta:
     steps = [F.struct(F.lit(rule).alias("rule"),
                       sum((F.col(rule) > F.lit(c)).cast("int") for c in ladder).alias("steps"))
              for rule, ladder in LADDERS.items()]
-    counts = held.select("stratum", "good", F.inline(F.array(*steps))).groupBy(
-        "stratum", "rule", "steps", "good").agg(F.count(F.lit(1)).alias("n"))
-    strata = held.agg(F.count_distinct("stratum").alias("strata"))
-    return counts.crossJoin(F.broadcast(strata)).groupBy("stratum", "rule").applyInPandas(
+    counts = settle(held.select("stratum", "good", F.inline(F.array(*steps))).groupBy(
+        "stratum", "rule", "steps", "good").agg(F.count(F.lit(1)).alias("n")))
+    strata = counts.agg(F.count_distinct("stratum")).first()[0]
+    return counts.withColumn("strata", F.lit(strata)).groupBy("stratum", "rule").applyInPandas(
         _choose(alpha, delta), "stratum string, rule string, cutoff double, proven int, n_good long")
 
 

@@ -10,6 +10,8 @@ from tidemark.llm.bpe import bpe_round_trip
 from tidemark.llm.exact_dedup import exact_duplicates
 from tidemark.llm.packing import pack_powers
 from tidemark.llm.quality import judged
+from tidemark.llm.warc import read_warc, write_warc
+from tidemark.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,3 +75,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "failed_rule")
+
+
+@query("op5_warc_round_trip", """
+SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN best END AS refers_to
+FROM (SELECT *, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS best,
+             octet_length(encode(coalesce(html, ''))) >= 1000
+             AND page_id < max(page_id) OVER (PARTITION BY coalesce(html, '')) AS again FROM pages)
+""")
+def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC archives and read back."""
+    path = write_warc(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return read_warc(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
