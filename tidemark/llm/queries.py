@@ -10,6 +10,7 @@ from tidemark.llm.bpe import bpe_round_trip
 from tidemark.llm.exact_dedup import exact_duplicates
 from tidemark.llm.packing import pack_powers
 from tidemark.llm.quality import judged
+from tidemark.llm.resharding import reshard
 from tidemark.llm.warc import read_warc, write_warc
 from tidemark.session import scratch_path
 
@@ -88,3 +89,12 @@ def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC archives and read back."""
     path = write_warc(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
     return read_warc(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op7_flow_resharding")
+def op7_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents moved from six shards by source, uneven by nature, to eight of equal bytes."""
+    old = F.pmod(F.xxhash64(F.coalesce("source", F.lit(""))), F.lit(6))
+    placed = reshard(table(spark, sf_dir, "documents"), old, [1.0] * 8, scratch_path(spark, "shards"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"), "old_shard")
