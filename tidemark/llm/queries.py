@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.bpe import bpe_round_trip
 from tidemark.llm.exact_dedup import exact_duplicates
+from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.packing import pack_powers
 from tidemark.llm.quality import judged
 from tidemark.llm.resharding import reshard
@@ -98,3 +99,10 @@ def op7_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = reshard(table(spark, sf_dir, "documents"), old, [1.0] * 8, scratch_path(spark, "shards"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+
+
+@query("op9_jaccard_join")
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class under links of 3-word shingles at a similarity of 0.9."""
+    found = jaccard_components(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
+    return found.select("doc_id", "n_shingles", "component_id")
