@@ -12,6 +12,7 @@ from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.packing import pack_powers
 from tidemark.llm.quality import judged
 from tidemark.llm.resharding import reshard
+from tidemark.llm.toxicity import toxicity, train_on
 from tidemark.llm.warc import read_warc, write_warc
 from tidemark.session import scratch_path
 
@@ -106,3 +107,16 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class under links of 3-word shingles at a similarity of 0.9."""
     found = jaccard_components(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query("op4_toxicity_chain")
+def op4_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document under a chain: abuse in English, abuse in another language, abuse at all."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    languages = docs.select("doc_id", "lang").dropDuplicates(["doc_id"])
+    toxic, english = F.col("toxic") > 0, F.coalesce(F.col("lang"), F.lit("")) == "en"
+    marked = labels.join(languages, "doc_id").select(
+        "doc_id", (toxic & english).cast("int").alias("toxic_english"),
+        (toxic & ~english).cast("int").alias("toxic_foreign"), toxic.cast("int").alias("toxic"))
+    chain = train_on(docs, marked, ["toxic_english", "toxic_foreign", "toxic"])
+    return toxicity(docs, chain).drop("uid")
