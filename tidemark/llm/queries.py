@@ -12,6 +12,7 @@ from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.packing import pack_powers
 from tidemark.llm.quality import judged
 from tidemark.llm.resharding import reshard
+from tidemark.llm.surrogates import with_surrogates
 from tidemark.llm.toxicity import toxicity, train_on
 from tidemark.llm.warc import read_warc, write_warc
 from tidemark.session import scratch_path
@@ -120,3 +121,15 @@ def op4_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
         (toxic & ~english).cast("int").alias("toxic_foreign"), toxic.cast("int").alias("toxic"))
     chain = train_on(docs, marked, ["toxic_english", "toxic_foreign", "toxic"])
     return toxicity(docs, chain).drop("uid")
+
+
+SURROGATE_KEY = "a key that a real run takes from its secret store"
+
+
+@query("op8_pii_surrogates")
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced by surrogates."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = with_surrogates(docs, SURROGATE_KEY, spans="spans")
+    return found.select("doc_id", "text", F.size("spans").cast("long").alias("n_entities"),
+                        F.array_sort(F.array_distinct(F.col("spans.kind"))).alias("kinds"))
