@@ -13,6 +13,7 @@ from tidemark.llm.packing import pack_powers
 from tidemark.llm.quality import judged
 from tidemark.llm.resharding import reshard
 from tidemark.llm.surrogates import with_surrogates
+from tidemark.llm.templates import main_text
 from tidemark.llm.toxicity import toxicity, train_on
 from tidemark.llm.warc import read_warc, write_warc
 from tidemark.session import scratch_path
@@ -133,3 +134,10 @@ def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = with_surrogates(docs, SURROGATE_KEY, spans="spans")
     return found.select("doc_id", "text", F.size("spans").cast("long").alias("n_entities"),
                         F.array_sort(F.array_distinct(F.col("spans.kind"))).alias("kinds"))
+
+
+@query("op6_template_text")
+def op6_template_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found = main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
