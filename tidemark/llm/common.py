@@ -7,6 +7,10 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.session import settle_sized
+
+BROADCAST_BYTES = 32 << 20
+
 Batches = Iterator[pa.RecordBatch]
 
 
@@ -34,6 +38,18 @@ def numbered(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.select(F.monotonically_increasing_id().alias("uid"), *[c.alias(n) for n, c in columns.items()])
 
 
+def only_rows(df: DataFrame, uids: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The rows of ``df`` whose number (see ``numbered``) is among ``uids``, all columns kept (an action).
+
+    Up to ``broadcast_bytes`` the numbers are broadcast, so that no text is shuffled; beyond that
+    both sides are shuffled by the number, which no two rows share.
+    """
+    number = fresh(df, "uid")
+    kept, size = settle_sized(uids.select(F.col("uid").alias(number)))
+    rows = df.withColumn(number, F.monotonically_increasing_id())
+    return rows.join(F.broadcast(kept) if size <= broadcast_bytes else kept, number, "left_semi").drop(number)
+
+
 def in_batches(rows: Iterable[tuple], schema: pa.Schema, size: Callable[[tuple], int] | None = None,
                max_rows: int = 4096, max_bytes: int = 16 << 20) -> Batches:
     """Row tuples as record batches, bounded in rows and, by ``size`` of a row, in bytes."""

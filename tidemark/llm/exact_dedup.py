@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import Batches, fresh, in_batches, numbered, text_of
+from tidemark.llm.common import Batches, in_batches, numbered, only_rows, text_of
 from tidemark.session import settle
 
 _OVERHEAD = 400  # bytes that a terminal costs besides its string
@@ -242,8 +242,7 @@ def drop_exact_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "do
                           **limits: int) -> DataFrame:
     """``docs`` without its copies, all columns kept; which row stays: see ``exact_duplicates``.
 
-    The verdicts are joined by row number, so repeated and missing identifiers are safe.
+    The verdicts are joined by row number, so repeated and missing identifiers are safe; ``docs`` must be
+    read from files (see ``numbered``).
     """
-    number = fresh(docs, "uid")
-    verdicts = exact_duplicates(docs, text, doc_id, keep, **limits).where("kept").select(F.col("uid").alias(number))
-    return docs.withColumn(number, F.monotonically_increasing_id()).join(verdicts, number, "left_semi").drop(number)
+    return only_rows(docs, exact_duplicates(docs, text, doc_id, keep, **limits).where("kept"))

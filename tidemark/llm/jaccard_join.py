@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import Batches, numbered, text_of
+from tidemark.llm.common import Batches, numbered, only_rows, text_of
 from tidemark.llm.components import components
 from tidemark.session import scratch_path, settle, settle_sized
 
@@ -406,3 +406,14 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
         "uid", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "rep").alias("component")))
     smallest = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return placed.join(smallest, "component").select("uid", "doc_id", "n_shingles", "component", "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **threshold: int) -> DataFrame:
+    """``docs`` with one row of each component (see ``jaccard_components``), all columns kept.
+
+    The row with the smallest identifier stays, rows without one last, of equal ones the first.
+    ``docs`` must be read from files (see ``numbered``).
+    """
+    found = jaccard_components(docs, text, doc_id, **threshold)
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "uid")
+    return only_rows(docs, found.groupBy("component").agg(F.min(order).alias("best")).select("best.uid"))

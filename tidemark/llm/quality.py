@@ -19,7 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import Batches, fresh, numbered, text_of
+from tidemark.llm.common import Batches, numbered, only_rows, text_of
 from tidemark.session import settle, settle_sized
 
 #: Rule scores and the ladders of cutoffs; a document fails a rule when its score exceeds the cutoff.
@@ -191,6 +191,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     The verdicts are joined by row number: repeated and missing identifiers are safe. ``docs`` must be
     read from files (see ``numbered``).
     """
-    number = fresh(docs, "uid")
-    kept = judged(docs, labels, **options).where("kept").select(F.col("uid").alias(number))
-    return docs.withColumn(number, F.monotonically_increasing_id()).join(kept, number, "left_semi").drop(number)
+    return only_rows(docs, judged(docs, labels, **options).where("kept"))
