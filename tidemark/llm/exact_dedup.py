@@ -21,6 +21,7 @@ from tidemark.llm.common import Batches, in_batches, numbered, only_rows, text_o
 from tidemark.session import settle
 
 _OVERHEAD = 400  # bytes that a terminal costs besides its string
+_HEAD = 16  # bytes of hash and length before the string in a key
 
 
 class _Node:
@@ -57,6 +58,8 @@ class PatriciaTrie:
         self.budget = budget
         self.depth = depth
         self.weights: dict[int, int] = {}
+        self.total = 0
+        self.strings = 0
         self.spilled: dict[int, tempfile._TemporaryFileWrapper] = {}
 
     def add(self, key: bytes, best: tuple, count: int, members: list[int]) -> None:
@@ -87,21 +90,27 @@ class PatriciaTrie:
             node, at = fork, at + same
         if node.value is None:
             node.value = [best, count, list(members)]
+            self.strings += 1
         else:
             node.value[0] = min(node.value[0], best)
             node.value[1] += count
             node.value[2].extend(members)
         self.weights[branch] = self.weights.get(branch, 0) + grown
-        if sum(self.weights.values()) > self.budget and len(key) > self.depth:
+        self.total += grown
+        # a single string has to fit, and keys that agree in hash and length are not told apart by more spilling
+        if self.total > self.budget and self.strings > 1 and self.depth < _HEAD:
             self._spill()
 
     def _spill(self) -> None:
-        branch = max((b for b in self.weights if b >= 0), key=self.weights.get)
+        branch = max((b for b in self.weights if b >= 0), key=self.weights.get, default=None)
+        if branch is None:
+            return
         file = tempfile.TemporaryFile()
         for key, value in list(self._walk(lambda key: len(key) > self.depth and key[self.depth] == branch)):
             pickle.dump((key, *value), file)
+            self.strings -= 1
         self._cut(self.root, b"", branch)
-        self.weights.pop(branch)
+        self.total -= self.weights.pop(branch)
         self.spilled[branch] = file
 
     def _cut(self, node: _Node, prefix: bytes, branch: int) -> None:
