@@ -95,17 +95,26 @@ def measured(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", stratu
 
 
 def binomial_tail(errors: int, trials: int, rate: float) -> float:
-    """P(X <= errors) of X ~ Binomial(trials, rate), summed from the largest term down."""
+    """P(X <= errors) of X ~ Binomial(trials, rate), summed from its largest term outwards."""
     if errors >= trials:
         return 1.0
-    total = term = math.exp(
-        math.lgamma(trials + 1) - math.lgamma(errors + 1) - math.lgamma(trials - errors + 1)
-        + errors * math.log(rate) + (trials - errors) * math.log1p(-rate))
-    for k in range(errors, 0, -1):
-        if errors >= trials * rate and term < 1e-18 * total:
+    top = min(errors, int((trials + 1) * rate))
+    odds = rate / (1 - rate)
+    first = math.exp(
+        math.lgamma(trials + 1) - math.lgamma(top + 1) - math.lgamma(trials - top + 1)
+        + top * math.log(rate) + (trials - top) * math.log1p(-rate))
+    total = term = first
+    for k in range(top, 0, -1):
+        term *= k / (trials - k + 1) / odds
+        total += term
+        if term < 1e-18 * total:
             break
-        term *= k / (trials - k + 1) * (1 - rate) / rate
+    term = first
+    for k in range(top, errors):
+        term *= (trials - k) / (k + 1) * odds
         total += term
+        if term < 1e-18 * total:
+            break
     return min(total, 1.0)
 
 

@@ -104,7 +104,8 @@ def plan_transfers(spark: SparkSession, rows: DataFrame, shares: Sequence[float]
     k = len(shares)
 
     def weights(frame: DataFrame) -> list:
-        return frame.groupBy("block", "sub", "old").agg(F.sum("size").alias("bytes")).collect()
+        old = F.coalesce("old", F.lit(-1)).alias("old")
+        return frame.groupBy("block", "sub", old).agg(F.sum("size").alias("bytes")).collect()
 
     by_block: dict[int, int] = {}
     sums = rows.groupBy("block").agg(F.sum("size").alias("bytes")).collect()
@@ -113,7 +114,7 @@ def plan_transfers(spark: SparkSession, rows: DataFrame, shares: Sequence[float]
     total = sum(by_block.values())
     capacities = np.array(shares, float) / sum(shares) * total
     limit = capacities.min() / 2
-    heavy = [(b, int(np.ceil(16 * s / capacities.min()))) for b, s in by_block.items() if s > limit]
+    heavy = [(b, int(np.ceil(128 * s / capacities.min()))) for b, s in by_block.items() if s > limit]
     splits = spark.createDataFrame(heavy, "block int, parts int")
     parts: dict[tuple[int, int], int] = {}
     found = sorted(tuple(r) for r in weights(_sub(splits, rows)))
@@ -122,7 +123,7 @@ def plan_transfers(spark: SparkSession, rows: DataFrame, shares: Sequence[float]
     resident, sizes = np.zeros((len(parts), k)), np.zeros(len(parts))
     for block, sub, old, size in found:
         sizes[parts[block, sub]] += size
-        if old is not None and 0 <= old < k:
+        if 0 <= old < k:
             resident[parts[block, sub], old] += size
     shard = whole_blocks(solve_transfers(resident, sizes, capacities), sizes, capacities)
     moves = spark.createDataFrame([(*key, int(s)) for key, s in zip(parts, shard)], "block int, sub int, shard int")
