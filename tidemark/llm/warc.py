@@ -215,15 +215,16 @@ def write_warc(pages: DataFrame, path: str, page_id: str = "page_id", url: str =
                             "payload": text_of(html).cast("binary")})
     found, size = settle_sized(repeats(rows, least).withColumn("revisit", F.lit(True)))
     joined = rows.join(F.broadcast(found) if size <= BROADCAST_BYTES else found, "uid", "left")
-    records = settle(joined.select(
+    # built twice, for their sizes and to be written: cheaper than to keep them in between
+    records = joined.select(
         "page_id", "url", "payload", F.coalesce("revisit", F.lit(False)).alias("revisit"), "to_page", "to_url"
-    ).mapInArrow(_build, _RECORD_DDL))
-    starts = file_starts(records, roll_bytes)
+    ).mapInArrow(_build, _RECORD_DDL)
+    starts = file_starts(settle(records.drop("record")), roll_bytes)
     system, base = _file_system(path)
     system.create_dir(f"{base}/_temporary", recursive=True)
     keyed = _keyed(records).select(*_KEY, "size", "record")
     placed = keyed.mapInArrow(_place(starts), T.StructType([T.StructField("file", T.IntegerType()), *keyed.schema.fields]))
-    placed.repartition("file").sortWithinPartitions("file", *_KEY, "size").mapInArrow(
+    placed.repartition(max(1, len(starts)), "file").sortWithinPartitions("file", *_KEY, "size").mapInArrow(
         _write(path), "name string, records long, bytes long, sha256 string").write.json(f"{path}/manifest")
     return path
 
@@ -297,4 +298,5 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     raises.
     """
     manifest = spark.read.schema("name string, records long, bytes long, sha256 string").json(f"{path}/manifest")
-    return manifest.select("name").repartition("name").mapInArrow(_read(path), _READ_DDL)
+    files = manifest.count()
+    return manifest.select("name").repartition(max(1, files)).mapInArrow(_read(path), _READ_DDL)
