@@ -15,9 +15,9 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.llm.common import Batches, fresh, in_batches, text_of
+from tidemark.llm.common import Batches, in_batches, text_of
 from tidemark.session import settle, settle_sized
 
 BROADCAST_BYTES = 16 << 20
@@ -292,7 +292,8 @@ def _list(batches: Batches) -> Batches:
         yield from in_batches(rows, _LISTED)
 
 
-_SPANS = "array<struct<kind:string,start:int,end:int,replacement:string>>"
+_SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()),
+                                    T.StructField("end", T.IntegerType()), T.StructField("replacement", T.StringType())]))
 
 
 def _replace(key: bytes, place: int, spans: bool, shared):
@@ -310,7 +311,6 @@ def _replace(key: bytes, place: int, spans: bool, shared):
                 columns.append(pa.array([s for _, s in done], pa.list_(pa.struct(
                     [("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("replacement", pa.string())]))))
                 fields = [*fields, "spans"]
-            # by place: columns may share a name
             yield pa.RecordBatch.from_arrays(columns, names=fields)
 
     return run
@@ -332,19 +332,20 @@ def with_surrogates(docs: DataFrame, key: str, text: str = "text", spans: str |
     entities = settle(body.mapInArrow(_detect, "kind string, value string").distinct())
     exceptions, size = settle_sized(redrawn(entities, secret))
     place = docs.columns.index(text)
-    schema = docs.schema
-    out = schema if spans is None else schema.__class__([*schema.fields, *docs.sparkSession.createDataFrame(
-        [], f"spans {_SPANS}").schema.fields])
+    # plain names on the way: any name, with a dot or given twice, is safe then
+    rows = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    names = [*docs.columns, *([spans] if spans is not None else [])]
+    out = T.StructType([T.StructField(c, f.dataType) for c, f in zip(rows.columns, docs.schema.fields)])
+    if spans is not None:
+        out = out.add("spans", _SPANS)
     if size <= broadcast_bytes:
         found = {f"{r['kind']}|{r['value']}": r["attempt"] for r in exceptions.collect()}
         shared = docs.sparkSession.sparkContext.broadcast(found)
-        result = docs.mapInArrow(_replace(secret, place, spans is not None, shared), out)
-    else:
-        number, own = fresh(docs, "uid"), fresh(docs, "own")
-        rows = docs.withColumn(number, F.monotonically_increasing_id())
-        listed = rows.select(F.col(number).alias("uid"), text_of(text)).mapInArrow(_list, "uid long, kind string, value string")
-        by_row = listed.join(exceptions, ["kind", "value"]).groupBy("uid").agg(F.map_from_entries(F.collect_list(
-            F.struct(F.concat_ws("|", "kind", "value"), "attempt"))).alias(own)).withColumnRenamed("uid", number)
-        joined = rows.join(by_row, number, "left").select(*[F.col(f"`{c}`") for c in docs.columns], own)
-        result = joined.mapInArrow(_replace(secret, place, spans is not None, None), out)
-    return result if spans is None else result.withColumnRenamed("spans", spans)
+        return rows.mapInArrow(_replace(secret, place, spans is not None, shared), out).toDF(*names)
+    marked = rows.withColumn("uid", F.monotonically_increasing_id())
+    listed = marked.select("uid", F.coalesce(F.col(f"c{place}"), F.lit("")).alias("body")).mapInArrow(
+        _list, "uid long, kind string, value string")
+    by_row = listed.join(exceptions, ["kind", "value"]).groupBy("uid").agg(F.map_from_entries(F.collect_list(
+        F.struct(F.concat_ws("|", "kind", "value"), "attempt"))).alias("own"))
+    joined = marked.join(by_row, "uid", "left").select(*rows.columns, "own")
+    return joined.mapInArrow(_replace(secret, place, spans is not None, None), out).toDF(*names)
