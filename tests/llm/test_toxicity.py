@@ -1,7 +1,17 @@
+from collections import Counter
+
 import numpy as np
 
 from tests.llm.cases import documents, prose, texts, written
-from tidemark.llm.toxicity import FOLDS, best_cutoff, features, fit, toxicity, train, train_on
+from tidemark.llm import toxicity as toxicity_module
+from tidemark.llm.toxicity import FOLDS, best_cutoff, features, fit, toxicity, train_on
+
+
+def trained(rows, categories, module=toxicity_module):
+    counts = Counter(f for _, t, _ in rows for f in features(t))
+    vocabulary = sorted(f for f, n in counts.items() if 5 <= n <= 0.5 * len(rows))
+    number = {f: k for k, f in enumerate(vocabulary)}
+    return module.train([(i, [number[f] for f in features(t) if f in number], y) for i, t, y in rows], vocabulary, categories)
 
 
 def labelled(n: int, seed: int):
@@ -18,7 +28,7 @@ def labelled(n: int, seed: int):
 
 
 def test_held_out_accuracy():
-    chain = train([(i, features(t), y) for i, t, y in labelled(1500, 0)], ["plain", "spelled", "any"])
+    chain = trained(labelled(1500, 0), ["plain", "spelled", "any"])
     rows = labelled(800, 100_000)
     found = chain.predict([features(t) for _, t, _ in rows]) > np.array(chain.cutoffs)
     truth = np.array([y for _, _, y in rows]) > 0
@@ -27,18 +37,15 @@ def test_held_out_accuracy():
 
 
 def test_later_models_see_the_earlier_categories():
-    samples = [(i, features(t), (y[0], y[0])) for i, t, y in labelled(600, 0)]
-    chain = train(samples, ["first", "second"])
+    chain = trained([(i, t, (y[0], y[0])) for i, t, y in labelled(600, 0)], ["first", "second"])
     assert len(chain.models[0].chained) == 0 and chain.models[1].chained[0] > 0
 
 
 def test_out_of_fold_predictions_come_from_other_folds(monkeypatch):
-    from tidemark.llm import toxicity as module
-
     sizes = []
-    monkeypatch.setattr(module, "fit", lambda rows, before, label, width: (
+    monkeypatch.setattr(toxicity_module, "fit", lambda rows, before, label, width: (
         sizes.append((len(label), before.shape[1])), fit(rows, before, label, width))[1])
-    module.train([(i, features(t), y) for i, t, y in labelled(300, 0)], ["a", "b", "c"])
+    trained(labelled(300, 0), ["a", "b", "c"])
     assert [s[1] for s in sizes] == [0] * (FOLDS + 1) + [1] * (FOLDS + 1) + [2] * (FOLDS + 1)
     assert sum(n for n, _ in sizes[:FOLDS]) == (FOLDS - 1) * 300 and sizes[FOLDS][0] == 300
 

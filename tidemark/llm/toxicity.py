@@ -9,7 +9,6 @@ from a bounded sample of labelled rows; all documents are scored where they are
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -18,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import Batches, numbered, text_of
+from tidemark.session import settle
 
 SAMPLE = 5000  # labelled rows of either kind (any category, none) that the models are fitted on
 FOLDS = 5
@@ -107,10 +107,8 @@ class Chain:
     cutoffs: list[float]
 
     def rows(self, texts: Sequence[set[str]]) -> Rows:
-        known = [[self.vocabulary[f] for f in found if f in self.vocabulary] for found in texts]
-        known = [sorted(k) for k in known]  # one order of summing, whatever the order of the set
-        starts = np.concatenate(([0], np.cumsum([len(k) for k in known]))).astype(np.int64)
-        return Rows(np.array([c for k in known for c in k], np.int64), starts)
+        # sorted: one order of summing, whatever the order of the set
+        return as_rows([sorted(self.vocabulary[f] for f in found if f in self.vocabulary) for found in texts])
 
     def predict(self, texts: Sequence[set[str]]) -> np.ndarray:
         rows = self.rows(texts)
@@ -134,13 +132,17 @@ def best_cutoff(probability: np.ndarray, label: np.ndarray) -> float:
     return float(max(ladder, key=lambda c: (f1(c), -abs(c - 0.5))))
 
 
-def train(samples: list[tuple[int, set[str], tuple[int, ...]]], categories: Sequence[str], least: int = 5) -> Chain:
-    """A chain from (identifier, features, labels); features in fewer than ``least`` rows are left out."""
+def as_rows(known: Sequence[Sequence[int]]) -> Rows:
+    starts = np.concatenate(([0], np.cumsum([len(k) for k in known]))).astype(np.int64)
+    return Rows(np.array([c for k in known for c in k], np.int64), starts)
+
+
+def train(samples: Sequence[tuple[int, Sequence[int], tuple[int, ...]]], vocabulary: Sequence[str],
+          categories: Sequence[str]) -> Chain:
+    """A chain from (identifier, numbers of the features, labels)."""
     samples = sorted(samples, key=lambda s: s[0])
-    counts = Counter(f for _, found, _ in samples for f in found)
-    chosen = sorted(f for f, n in counts.items() if n >= least and n <= 0.5 * len(samples))
-    chain = Chain(list(categories), {f: k for k, f in enumerate(chosen)}, [], [])
-    rows = chain.rows([s[1] for s in samples])
+    chain = Chain(list(categories), {}, [], [])
+    rows = as_rows([sorted(s[1]) for s in samples])
     fold = np.array([(s[0] * 2654435761 >> 7) % FOLDS for s in samples], np.int64)
     before = np.zeros((len(samples), 0))
     for k in range(len(categories)):
@@ -149,16 +151,16 @@ def train(samples: list[tuple[int, set[str], tuple[int, ...]]], categories: Sequ
         for f in range(FOLDS):
             inside, outside = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
             if len(inside) and len(outside):
-                model = fit(rows.take(inside), before[inside], label[inside], len(chosen))
+                model = fit(rows.take(inside), before[inside], label[inside], len(vocabulary))
                 out_of_fold[outside] = model.predict(rows.take(outside), before[outside])
-        chain.models.append(fit(rows, before, label, len(chosen)))
+        chain.models.append(fit(rows, before, label, len(vocabulary)))
         chain.cutoffs.append(best_cutoff(out_of_fold, label))
         before = np.column_stack([before, out_of_fold])
     # scoring looks up only what some model weighs
     used = np.flatnonzero(np.any([m.weights != 0 for m in chain.models], axis=0))
     for model in chain.models:
         model.weights = model.weights[used]
-    chain.vocabulary = {chosen[k]: place for place, k in enumerate(used)}
+    chain.vocabulary = {vocabulary[k]: place for place, k in enumerate(used)}
     return chain
 
 
@@ -171,14 +173,27 @@ def _extract(batches: Batches) -> Batches:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, _FOUND.field(1).type)], schema=_FOUND)
 
 
+def _numbers(vocabulary):
+    schema = pa.schema([("doc_id", pa.int64()), ("numbers", pa.list_(pa.int32()))])
+
+    def run(batches: Batches) -> Batches:
+        known = {f: k for k, f in enumerate(vocabulary.value)}
+        for batch in batches:
+            numbers = [[known[f] for f in found if f in known] for found in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(numbers, schema.field(1).type)], schema=schema)
+
+    return run
+
+
 def train_on(docs: DataFrame, labels: DataFrame, categories: Sequence[str], text: str = "text",
-             doc_id: str = "doc_id", sample: int = SAMPLE) -> Chain:
+             doc_id: str = "doc_id", sample: int = SAMPLE, least: int = 5) -> Chain:
     """Fits the chain on at most ``sample`` rows with some category and ``sample`` with none.
 
     ``labels`` has doc_id and a 0/1 column per category. The rows are those whose identifiers hash
     lowest, so they are spread over all sources; a label without identifier or value is left out, of
     repeated labels the highest counts, of repeated documents any one text. Without usable labels the
-    chain predicts one half and flags nothing. The sample's features come to the driver.
+    chain predicts one half and flags nothing. Features in fewer than ``least`` rows or in more than half
+    are left out; the numbers of the others come to the driver, which is bounded by the sample.
     """
     known = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         *[F.max(F.col(c).cast("int")).alias(c) for c in categories]).dropna()
@@ -189,11 +204,15 @@ def train_on(docs: DataFrame, labels: DataFrame, categories: Sequence[str], text
     found = rows.join(F.broadcast(picked.select("doc_id")), "doc_id", "left_semi").mapInArrow(
         _extract, "doc_id long, found array<string>")
     label = {r["doc_id"]: tuple(r[c] for c in categories) for r in picked.collect()}
-    texts = {}
-    for row in found.toLocalIterator():
-        if row["doc_id"] not in texts or row["found"] < texts[row["doc_id"]]:
-            texts[row["doc_id"]] = row["found"]
-    return train([(i, set(f), label[i]) for i, f in texts.items()], categories)
+    # a bounded table: its frequent features are numbered before its rows come to the driver
+    found = settle(found.groupBy("doc_id").agg(F.min("found").alias("found")))
+    counts = found.select(F.explode("found").alias("feature")).groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
+    vocabulary = [r["feature"] for r in counts.where(
+        (F.col("n") >= least) & (F.col("n") <= 0.5 * len(label))).orderBy("feature").collect()]
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    numbers = found.mapInArrow(_numbers(shared), "doc_id long, numbers array<int>").toLocalIterator()
+    return train([(r["doc_id"], np.array(r["numbers"], np.int32), label[r["doc_id"]]) for r in numbers],
+                 vocabulary, categories)
 
 
 def _score(chain):
