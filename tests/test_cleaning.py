@@ -127,3 +127,25 @@ def test_source_arguments(spark):
         messages.read_stream(spark, "trade", "files")
     with pytest.raises(ValueError):
         messages.read_stream(spark, "trade", "carrier pigeon")
+
+
+def test_no_message_stops_a_stream(spark, tmp_path):
+    poison = [trade(t=1), trade(t=2, T=2**63 - 1), trade(t=3, T=-(2**63)), trade(t=4, p="Infinity"), trade(t=5, p="-Infinity")]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("\n".join(poison))
+    rows = normalize_trade(spark.readStream.text(str(tmp_path / "in")))
+    query = rows.writeStream.format("memory").queryName("poison").trigger(availableNow=True).start()
+    query.awaitTermination(60)
+    found = {r.trade_id: r for r in spark.table("poison").collect()}
+    assert set(found) == {1, 2, 3, 4, 5} and found[2].trade_time is None is found[3].trade_time
+    batch = spark.createDataFrame([(r,) for r in poison], "value string")
+    assert [r.trade_id for r in normalize_trade(batch, strict=True).collect()] == [1]
+
+
+def test_lines_without_infinite_values_and_line_breaks(spark):
+    from tidemark.functions.encoding import has_fields, line_protocol
+
+    fields = [("a", T.DoubleType()), ("b", T.DoubleType())]
+    rows = spark.createDataFrame([("X\nY, Z", float("inf"), 1.5), ("W", float("nan"), float("-inf"))], "s string, a double, b double")
+    lines = rows.filter(has_fields(fields)).select(line_protocol("m", F.col("s"), fields, F.timestamp_micros(F.lit(1))).alias("l"))
+    assert [r.l for r in lines.collect()] == ["m,symbol=X\\ Y\\,\\ Z b=1.5 1000"]

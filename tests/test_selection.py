@@ -58,8 +58,48 @@ def test_empty_windows(spark):
     assert aggregate_window(rows, *args).count() == 3
     with pytest.raises(ValueError):
         aggregate_window(rows, "event_time", "5 seconds", ["symbol"], aggs, fill_empty=True)
-    with pytest.raises(ValueError):
-        aggregate_window(rows, "event_time", "1 millisecond", ["symbol"], aggs, "2000-01-01", "2030-01-01", True)
+    assert aggregate_window(rows, "event_time", "1 day", ["symbol"], aggs, T0, T0, True).count() == 0
+
+
+def test_a_dense_key_fills_several_tasks(spark):
+    rows = frame(spark, [("A", T0, 1.0, 1)])
+    dense = aggregate_window(rows, "event_time", "1 second", ["symbol"], {"mean": F.avg("value")}, T0,
+                             T0 + timedelta(days=2), True)
+    sizes = [r["count"] for r in dense.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 172_800 and len(sizes) > 1
+
+
+def test_dense_panels_outside_utc(spark):
+    rows = frame(spark, [("A", T0 + timedelta(hours=5), 1.0, 1)])
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        dense = aggregate_window(rows, "event_time", "1 hour", ["symbol"], {"mean": F.avg("value")}, T0,
+                                 T0 + timedelta(days=1), True)
+        found = [(r.h, r.mean) for r in dense.select(F.unix_micros("window_start").alias("h"), "mean").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert len(found) == 24 and [h for h, m in found if m == 1.0] == [epoch_micros(T0 + timedelta(hours=5))]
+
+
+def test_latest_with_missing_ties_and_times(spark):
+    rows = frame(spark, [("A", T0, 1.0, None), ("A", T0 - timedelta(hours=1), 2.0, 9), ("B", None, 3.0, 1)])
+    narrow = sel.latest(rows, ["symbol"], "event_time", "id")
+    text = sel.latest(rows.withColumn("t", F.lit("x")), ["symbol"], "event_time", "id")
+    for found in (narrow, text):
+        assert {r.symbol: r.value for r in found.collect()} == {"A": 1.0, "B": 3.0}
+    named = rows.withColumn("t", F.col("value").cast("string"))
+    assert {r.symbol: r.value for r in sel.latest(named, ["symbol"], "event_time", "t").collect()}["A"] == 1.0
+
+
+def test_a_heat_map_has_no_hidden_limit(spark):
+    cells = spark.range(12_000).select(
+        F.col("id").cast("string").alias("symbol"), F.col("id").cast("double").alias("price_change_percent"),
+        F.lit("all").alias("constant"), F.lit(T0).alias("close_time"))
+    found = v.heatmap_normalized(cells)
+    assert found.count() == 12_000
+    assert found.agg(F.min("normalized"), F.max("normalized")).first() == (0.0, 1.0)
+    few = {r.symbol: r.normalized for r in v.heatmap_normalized(cells, row_limit=3).collect()}
+    assert few == {"0": 0.0, "1": 1 / 11_999, "10": 10 / 11_999}
 
 
 def test_intervals():

@@ -36,15 +36,16 @@ def float_text(x: Column) -> Column:
 
 
 def escape_tag(text: Column) -> Column:
-    """Escape the separators of the line protocol inside a tag value."""
-    return F.regexp_replace(text, r"([,= ])", r"\\$1")
+    """Escape the separators of the line protocol inside a tag value; a line break, which would end the
+    line, becomes a blank."""
+    return F.regexp_replace(F.regexp_replace(text, r"[\r\n]+", " "), r"([,= ])", r"\\$1")
 
 
 def present(name: str, kind: T.DataType) -> Column:
     """The field has a value the point store accepts."""
     value = F.col(name)
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return value.isNotNull() & ~F.isnan(value)
+        return value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
     return value.isNotNull()
 
 
@@ -71,7 +72,7 @@ def line_protocol(
     time: Column,
     integer_suffix: str = "",
 ) -> Column:
-    """``measurement,symbol=S f1=v1,f2=v2 <epoch ns>``; NULL and NaN fields are left out.
+    """``measurement,symbol=S f1=v1,f2=v2 <epoch ns>``; NULL, NaN and infinite fields are left out.
 
     Filter by ``has_fields`` first: a filter on the line itself would build every line twice.
     ``integer_suffix="i"`` marks whole numbers as integers for the store.

@@ -33,14 +33,20 @@ def truncate(t: Column, grain: str) -> Column:
     return F.date_trunc(GRAINS.get(grain, grain), t)
 
 
+# microseconds that leave room for a tie in 38 digits: up to the year 30,000
+FAR = 9 * 10**17
+
+
 def recency(time: str, tie: str | None = None) -> Column:
-    """One sortable number for (time, tie).
+    """One sortable number for (time, whole-number tie); NULL comes first in either, as in a struct.
 
     A decimal keeps ``max_by`` in hash aggregation, where a struct ordering would force every
-    input partition to be sorted first.
+    input partition to be sorted first. Times beyond ``FAR`` count as ``FAR``.
     """
     micros = F.unix_micros(F.col(time).cast("timestamp"))
+    micros = F.when(micros.isNull(), F.lit(-FAR - 1)).otherwise(F.greatest(F.least(micros, F.lit(FAR)), F.lit(-FAR)))
     if tie is None:
         return micros
     weight = F.lit(Decimal(10) ** 20).cast("decimal(21,0)")
-    return micros.cast("decimal(19,0)") * weight + F.col(tie).cast("decimal(19,0)")
+    order = F.coalesce(F.col(tie).cast("long"), F.lit(-(2**63)))
+    return micros.cast("decimal(18,0)") * weight + order.cast("decimal(19,0)")

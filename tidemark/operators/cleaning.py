@@ -12,8 +12,13 @@ from tidemark.schemas import RawField, StreamSpec, declared_type, stream_spec
 from tidemark.sources.messages import decode_json
 
 
-def clean_predicate(columns: Iterable[tuple[str, T.DataType]]) -> Column:
-    """True when every column is present: not NULL, text not empty, floating point not NaN."""
+# the epoch milliseconds that microseconds in a long can hold
+MILLIS = (-(2**63 - 1) // 1000 + 1, (2**63 - 1) // 1000)
+
+
+def clean_predicate(columns: Iterable[tuple[str, T.DataType]], finite: bool = False) -> Column:
+    """True when every column is present: not NULL, text not empty, floating point not NaN; with
+    ``finite`` not infinite either."""
     tests = []
     for name, kind in columns:
         column = F.col(name)
@@ -22,6 +27,8 @@ def clean_predicate(columns: Iterable[tuple[str, T.DataType]]) -> Column:
             tests.append(column != "")
         elif isinstance(kind, (T.FloatType, T.DoubleType)):
             tests.append(~F.isnan(column))
+            if finite:
+                tests.append(F.abs(column) < float("inf"))
     return reduce(and_, tests)
 
 
@@ -32,7 +39,7 @@ def _typed(field: RawField) -> Column:
     elif field.convert == "long":
         column = column.cast("long")
     elif field.convert == "millis":
-        column = F.timestamp_millis(column)
+        column = F.when(column.between(*MILLIS), F.timestamp_millis(column))
     return column.alias(field.name)
 
 
@@ -45,8 +52,9 @@ def normalize(
 ) -> DataFrame:
     """Decode, clean and type the messages of one stream (batch or streaming).
 
-    A message with a missing or empty declared field is dropped. A price text that is no number
-    becomes NULL and "NaN" stays NaN; ``strict`` drops those rows too.
+    A message with a missing or empty declared field is dropped. A price text that is no number and a
+    time beyond what a timestamp holds become NULL, "NaN" and "Infinity" stay; ``strict`` drops those
+    rows too. No message can stop a stream.
     """
     spec = stream_spec(stream)
     decoded = decode_json(df, spec, passthrough=passthrough)
@@ -56,8 +64,10 @@ def normalize(
     by_name = {f.name: f for f in spec.fields}
     typed = clean.select(*[_typed(by_name[name]) for name in spec.output], *passthrough)
     if strict:
-        numbers = [f.name for f in spec.fields if f.convert == "number" and f.keep]
-        typed = typed.filter(clean_predicate((name, T.DoubleType()) for name in numbers))
+        kinds = {"number": T.DoubleType(), "millis": T.TimestampType()}
+        checked = [(f.name, kinds[f.convert]) for f in spec.fields if f.convert in kinds and f.name in spec.output]
+        if checked:
+            typed = typed.filter(clean_predicate(checked, finite=True))
     return typed
 
 

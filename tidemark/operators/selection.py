@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -16,12 +16,22 @@ FIXED_WIDTH = (
 )
 
 
+WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def epoch_micros(value: datetime | str) -> int:
+    """Microseconds since 1970; a time without zone is UTC, whatever the session's zone."""
+    stamp = datetime.fromisoformat(value) if isinstance(value, str) else value
+    stamp = stamp if stamp.tzinfo else stamp.replace(tzinfo=timezone.utc)
+    delta = stamp - datetime(1970, 1, 1, tzinfo=timezone.utc)
+    return (delta.days * 86_400 + delta.seconds) * 1_000_000 + delta.microseconds
+
+
 def moment(value: datetime | str | Column) -> Column:
     """A UTC timestamp literal; constants fold, so filters on it reach the file scan."""
     if isinstance(value, Column):
         return value
-    text = value.isoformat(sep=" ") if isinstance(value, datetime) else value
-    return F.lit(text).cast("timestamp")
+    return F.timestamp_micros(F.lit(epoch_micros(value)))
 
 
 def time_range(df: DataFrame, time: str, start, stop) -> DataFrame:
@@ -60,13 +70,14 @@ def latest(
     df: DataFrame, keys: Sequence[str], time: str, tie: str | None = None,
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The newest row per key, batch or streaming.
+    """The newest row per key, batch or streaming; NULL is older than any time and before any tie.
 
     An aggregate instead of a ranking window: rows combine before the shuffle, so a hot key
     costs one row per input partition. Fixed-width columns keep it a hash aggregate.
     """
     wanted = [c for c in (columns or df.columns) if c not in keys]
-    narrow = all(isinstance(df.schema[c].dataType, FIXED_WIDTH) for c in wanted)
+    narrow = all(isinstance(df.schema[c].dataType, FIXED_WIDTH) for c in wanted) and (
+        tie is None or isinstance(df.schema[tie].dataType, WHOLE))
     if narrow and not df.isStreaming:
         order = recency(time, tie)
         picked = df.groupBy(*keys).agg(*[F.max_by(c, order).alias(c) for c in wanted])

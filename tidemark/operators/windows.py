@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
-from datetime import datetime, timezone
+from datetime import datetime
+from functools import reduce
+from math import isqrt
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.selection import time_range
+from tidemark.operators.selection import epoch_micros, time_range
 
-MAX_EMPTY_WINDOWS = 5_000_000
+RANGE = 10_000  # windows of a key that one row of the spine stands for, at least
 
 # Microseconds per interval unit.
 INTERVAL_MICROS = {
@@ -27,13 +30,6 @@ def interval_micros(every: str) -> int:
     return int(match.group(1)) * INTERVAL_MICROS[match.group(2)]
 
 
-def epoch_micros(value: datetime | str) -> int:
-    stamp = datetime.fromisoformat(value) if isinstance(value, str) else value
-    stamp = stamp if stamp.tzinfo else stamp.replace(tzinfo=timezone.utc)
-    delta = stamp - datetime(1970, 1, 1, tzinfo=timezone.utc)
-    return (delta.days * 86_400 + delta.seconds) * 1_000_000 + delta.microseconds
-
-
 def aggregate_window(
     df: DataFrame,
     time: str,
@@ -71,34 +67,31 @@ def aggregate_window(
 def fill_empty_windows(
     grouped: DataFrame, every: str, by: Sequence[str], values: Sequence[str], start, stop
 ) -> DataFrame:
-    """Add the missing windows of [start, stop) to each key, with NULL values.
+    """All windows of [start, stop) of each key, with NULL values where ``grouped`` has none.
 
-    Each window row emits itself and the empty windows up to its successor, so the source is read
-    once. The ranking sees aggregated rows only: at most one per window of the range and key.
+    The spine is made of ranges of at least ``RANGE`` windows per key, which are dealt out before they are
+    written out as windows, so a key with very many windows fills many tasks. The range has no limit.
     """
     step = interval_micros(every)
-    first = epoch_micros(start) // step
-    last = (epoch_micros(stop) - 1) // step
-    if last - first + 1 > MAX_EMPTY_WINDOWS:
-        raise ValueError("the range has too many windows; raise the interval or narrow the range")
-    index = F.floor(F.unix_micros(F.col("window_start").cast("timestamp")) / F.lit(step))
-    in_order = Window.partitionBy(*by).orderBy("_index")
-    gaps = (
-        grouped.withColumn("_index", index.cast("long"))
-        .withColumn("_next", F.lead("_index", 1, last + 1).over(in_order))
-        .withColumn("_rank", F.row_number().over(in_order))
-        .withColumn("_from", F.when(F.col("_rank") == 1, F.lit(first)).otherwise(F.col("_index")))
-        .select(
-            *by,
-            "_index",
-            *values,
-            F.explode(F.sequence("_from", F.col("_next") - 1)).alias("_slot"),
-        )
-    )
-    filled = F.col("_slot") == F.col("_index")
-    return gaps.select(
-        *by,
+    first, last = epoch_micros(start) // step, (epoch_micros(stop) - 1) // step
+    if last < first:
+        return grouped.filter(F.lit(False))
+    slot = F.floor(F.unix_micros(F.col("window_start").cast("timestamp")) / F.lit(step)).cast("long")
+    # as many ranges as windows in one, once that is more than RANGE: neither list gets long
+    size = max(RANGE, isqrt(last - first) + 1)
+    names = {k: f"_key_{k}" for k in by}
+    ranges = grouped.select(*[F.col(k).alias(n) for k, n in names.items()]).distinct().select(
+        *names.values(), F.explode(F.sequence(F.lit(first // size), F.lit(last // size)).cast("array<bigint>")).alias("_range"))
+    spread = int(grouped.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    low = F.greatest(F.col("_range") * size, F.lit(first))
+    high = F.least(F.col("_range") * size + (size - 1), F.lit(last))
+    spine = ranges.repartition(spread, *names.values(), "_range").select(
+        *names.values(), F.explode(F.sequence(low.cast("long"), high.cast("long"))).alias("_slot"))
+    rows = grouped.select(*by, slot.alias("_index"), *values)
+    same = reduce(and_, [F.col(n).eqNullSafe(F.col(k)) for k, n in names.items()], F.col("_slot") == F.col("_index"))
+    return spine.join(rows, same, "left").select(
+        *[F.col(n).alias(k) for k, n in names.items()],
         F.timestamp_micros(F.col("_slot") * step).alias("window_start"),
         F.timestamp_micros((F.col("_slot") + 1) * step).alias("window_end"),
-        *[F.when(filled, F.col(v)).alias(v) for v in values],
+        *values,
     )

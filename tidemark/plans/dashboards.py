@@ -8,16 +8,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.functions.quotes import notional, recency, spread, spread_percent, truncate
 from tidemark.operators.selection import (
     last_interval, latest, limit_series, page, temporal_range,
 )
 from tidemark.operators.windows import aggregate_window
+from tidemark.schemas import TABLE_SCHEMAS
 
-SERIES_LIMIT = 10
-ROW_LIMIT = 10_000
+
+def first_rows(df: DataFrame, row_limit: int | None, *order) -> DataFrame:
+    """The first rows of a chart, all of them without a limit."""
+    return df if row_limit is None else df.orderBy(*order).limit(row_limit)
 
 
 # --- trades -----------------------------------------------------------------------------------
@@ -35,21 +38,21 @@ def total_transaction_value(trades: DataFrame, start=None, stop=None) -> DataFra
     return ranged.groupBy("symbol").agg(F.sum(notional()).alias("total_value"))
 
 
-def value_by_maker(trades: DataFrame, start=None, stop=None, row_limit: int = ROW_LIMIT) -> DataFrame:
+def value_by_maker(trades: DataFrame, start=None, stop=None, row_limit: int | None = None) -> DataFrame:
     ranged = temporal_range(trades, "trade_time", start, stop)
     totals = ranged.groupBy("is_market_maker").agg(F.sum(notional()).alias("total_value"))
-    return totals.orderBy(F.desc("total_value")).limit(row_limit)
+    return first_rows(totals, row_limit, F.desc("total_value"), "is_market_maker")
 
 
 def price_over_time(
     trades: DataFrame, now, interval: str = "7 days", grain: str | None = None,
-    row_limit: int = ROW_LIMIT,
+    row_limit: int | None = None,
 ) -> DataFrame:
-    """Average price per (trade time, symbol), first ``row_limit`` rows in time order."""
+    """Average price per (trade time, symbol); with ``row_limit`` the first rows in time order."""
     recent = last_interval(trades, "trade_time", now, interval)
     time = F.col("trade_time") if grain is None else truncate(F.col("trade_time"), grain)
     averaged = recent.groupBy(time.alias("trade_time"), "symbol").agg(F.avg("price").alias("avg_price"))
-    return averaged.orderBy("trade_time", "symbol").limit(row_limit)
+    return first_rows(averaged, row_limit, "trade_time", "symbol")
 
 
 # --- tickers ----------------------------------------------------------------------------------
@@ -72,11 +75,11 @@ def latest_quote_volume(tickers: DataFrame, now, interval: str = "5 minutes") ->
     return latest(recent, ["symbol"], "close_time", "last_trade_id", ["symbol", "close_time", "quote_volume"])
 
 
-def peak_change(tickers: DataFrame, row_limit: int = ROW_LIMIT) -> DataFrame:
+def peak_change(tickers: DataFrame, row_limit: int | None = None) -> DataFrame:
     peaks = tickers.groupBy("symbol").agg(
         F.max("price_change_percent").alias("latest_price_change_percent")
     )
-    return peaks.orderBy(F.desc("latest_price_change_percent"), "symbol").limit(row_limit)
+    return first_rows(peaks, row_limit, F.desc("latest_price_change_percent"), "symbol")
 
 
 # --- best bid and ask -------------------------------------------------------------------------
@@ -145,18 +148,16 @@ def latest_depth(books: DataFrame, now, interval: str = "5 minutes") -> DataFram
 
 def average_spread(
     books: DataFrame, grain: str = "P1D", lo=None, hi=None,
-    series_limit: int | None = SERIES_LIMIT, row_limit: int | None = ROW_LIMIT,
+    series_limit: int | None = None, row_limit: int | None = None,
 ) -> DataFrame:
-    """Average ask - bid per time grain and symbol, for the symbols with the widest spread."""
+    """Average ask - bid per time grain and symbol; with ``series_limit`` of the symbols with the widest spread."""
     metric = F.avg(spread(F.col("best_bid_price"), F.col("best_ask_price")))
     ranged = temporal_range(books, "event_time", lo, hi)
     chosen = limit_series(ranged, "symbol", metric, series_limit)
     averaged = chosen.groupBy(truncate(F.col("event_time"), grain).alias("event_time"), "symbol").agg(
         metric.alias("avg_spread")
     )
-    if row_limit is None:
-        return averaged
-    return averaged.orderBy(F.desc("avg_spread"), "event_time", "symbol").limit(row_limit)
+    return first_rows(averaged, row_limit, F.desc("avg_spread"), "event_time", "symbol")
 
 
 # --- predictions ------------------------------------------------------------------------------
@@ -191,9 +192,7 @@ def predicted_trade_count_windows(predictions: DataFrame, every: str, start=None
 def prediction_page(
     predictions: DataFrame, size: int = 10, offset: int = 0, lo=None, hi=None
 ) -> DataFrame:
-    columns = [
-        "event_time", "symbol", "last_price", "best_bid_price", "best_ask_price", "trade_count",
-    ]
+    columns = T.StructType.fromDDL(TABLE_SCHEMAS["ticker_predict"]).names
     ranged = temporal_range(predictions, "event_time", lo, hi).select(*columns)
     return page(ranged, columns, size, offset)
 

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.scaling import minmax_scale
 from tidemark.operators.selection import latest, temporal_range
-
-CELL_LIMIT = 10_000
+from tidemark.plans.dashboards import first_rows
 
 
 def heatmap_ticker(tickers: DataFrame) -> DataFrame:
@@ -25,33 +24,34 @@ def scatter_plot_ticker(tickers: DataFrame) -> DataFrame:
     return latest(tickers, ["symbol"], "event_time", "last_trade_id", columns)
 
 
-def heatmap_metric(heatmap: DataFrame, lo=None, hi=None, row_limit: int | None = CELL_LIMIT) -> DataFrame:
-    """Average change per cell (symbol, constant), axes in alphabetical order."""
+def heatmap_metric(heatmap: DataFrame, lo=None, hi=None, row_limit: int | None = None) -> DataFrame:
+    """Average change per cell (symbol, constant); with ``row_limit`` the first in alphabetical order."""
     cells = temporal_range(heatmap, "close_time", lo, hi).groupBy("symbol", "constant").agg(
         F.avg("price_change_percent").alias("avg_change")
     )
-    return cells if row_limit is None else cells.orderBy("symbol", "constant").limit(row_limit)
+    return first_rows(cells, row_limit, "symbol", "constant")
 
 
-def heatmap_normalized(heatmap: DataFrame, lo=None, hi=None, row_limit: int = CELL_LIMIT) -> DataFrame:
-    """Cell values scaled to [0, 1] across the whole heat map; 0.0 if all cells are equal.
+def heatmap_normalized(heatmap: DataFrame, lo=None, hi=None, row_limit: int | None = None) -> DataFrame:
+    """Cell values scaled to [0, 1] across the whole heat map, whatever the limit; 0.0 if all are equal.
 
-    The chart has at most ``row_limit`` cells, so one window over all of them is small.
+    The smallest and largest value are scalar subqueries over the combined cells, so no task
+    holds all of them.
     """
     value = F.col("avg_change")
-    all_cells = Window.partitionBy()
-    low, high = F.min(value).over(all_cells), F.max(value).over(all_cells)
-    cells = heatmap_metric(heatmap, lo, hi, row_limit)
-    return cells.withColumn("normalized", minmax_scale(value, low, high))
+    cells = heatmap_metric(heatmap, lo, hi)
+    low, high = (cells.select(edge(value)).scalar() for edge in (F.min, F.max))
+    scaled = cells.withColumn("normalized", minmax_scale(value, low, high))
+    return first_rows(scaled, row_limit, "symbol", "constant")
 
 
-def scatter_metric(scatter: DataFrame, lo=None, hi=None, row_limit: int = CELL_LIMIT) -> DataFrame:
-    """Largest change per (change, symbol) of the scatter view."""
+def scatter_metric(scatter: DataFrame, lo=None, hi=None, row_limit: int | None = None) -> DataFrame:
+    """Largest change per (change, symbol) of the scatter view; with ``row_limit`` the largest ones."""
     ranged = temporal_range(scatter, "event_time", lo, hi)
     points = ranged.groupBy("price_change_percent", "symbol").agg(
         F.max("price_change_percent").alias("max_change")
     )
-    return points.orderBy(F.desc("max_change"), "symbol").limit(row_limit)
+    return first_rows(points, row_limit, F.desc("max_change"), "symbol")
 
 
 def register_views(spark, tickers: DataFrame) -> None:

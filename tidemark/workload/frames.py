@@ -116,17 +116,23 @@ def _unless_83(column):
     return F.when(F.col("event_id") % 83 != 0, column)
 
 
-def raw_trades_of(rows: DataFrame) -> DataFrame:
-    """JSON trade messages, some with an empty price, a bad price or no event time."""
+def raw_trades_of(rows: DataFrame, poison: bool = False) -> DataFrame:
+    """JSON trade messages, some with an empty price, a bad price or no event time; with ``poison`` also
+    some with an infinite price or a trade time that no timestamp can hold."""
     millis = F.unix_millis("ts")
+    key = F.col("event_id")
+    price, traded = _dirty(F.col("value")), millis
+    if poison:
+        price = F.when(key % 101 == 0, "Infinity").otherwise(price)
+        traded = F.when(key % 79 == 0, F.lit(2**63 - 1)).otherwise(traded)
     payload = F.struct(
         F.lit("trade").alias("e"),
         _unless_83(millis).alias("E"),
         F.col("event_type").alias("s"),
         F.col("event_id").alias("t"),
-        _dirty(F.col("value")).alias("p"),
+        price.alias("p"),
         _k().cast("string").alias("q"),
-        millis.alias("T"),
+        traded.alias("T"),
         (F.col("event_id") % 2 == 0).alias("m"),
         F.lit(True).alias("M"),
     )
@@ -137,8 +143,8 @@ def raw_trades_of(rows: DataFrame) -> DataFrame:
     )
 
 
-def raw_trades(spark, sf_dir) -> DataFrame:
-    return raw_trades_of(events(spark, sf_dir))
+def raw_trades(spark, sf_dir, poison: bool = False) -> DataFrame:
+    return raw_trades_of(events(spark, sf_dir), poison)
 
 
 def raw_tickers(spark, sf_dir) -> DataFrame:

@@ -64,6 +64,26 @@ def trade_normalize_strict(spark, sf_dir):
     return normalize_trade(fr.raw_trades(spark, sf_dir), strict=True)
 
 
+def _poisoned(extra=""):
+    return f"""WITH {fr.EVENTS_MS} SELECT event_id AS trade_id, 'trade' AS event, event_type AS symbol,
+    CASE WHEN event_id % 101 = 0 THEN 'Infinity'::DOUBLE ELSE {DIRTY_PRICE} END AS price, k AS quantity,
+    CASE WHEN event_id % 79 <> 0 THEN ts END AS trade_time, event_id % 2 = 0 AS is_market_maker
+    FROM ev WHERE (event_id % 97 <> 0 OR event_id % 101 = 0) AND event_id % 83 <> 0 {extra}"""
+
+
+@query("trade_normalize_poison", _poisoned())
+def trade_normalize_poison(spark, sf_dir):
+    return normalize_trade(fr.raw_trades(spark, sf_dir, poison=True))
+
+
+@query(
+    "trade_normalize_poison_strict",
+    _poisoned("AND event_id % 101 <> 0 AND event_id % 79 <> 0 AND event_id % 89 <> 0"),
+)
+def trade_normalize_poison_strict(spark, sf_dir):
+    return normalize_trade(fr.raw_trades(spark, sf_dir, poison=True), strict=True)
+
+
 @query(
     "ticker_normalize",
     f"""WITH {fr.ticker_sql(events_cte=fr.EVENTS_MS)} SELECT * REPLACE (

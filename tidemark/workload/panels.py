@@ -35,12 +35,12 @@ def trade_avg_price_5s(spark, sf_dir):
     return _rounded(d.average_trade_price(fr.trades(spark, sf_dir)), "avg_price")
 
 
-def _dense(cte, table, time, column, name):
-    return f"""WITH {cte}, w AS (SELECT symbol, time_bucket(INTERVAL 1 HOUR, {time}) AS window_start,
+def _dense(cte, table, time, column, name, every="1 HOUR"):
+    return f"""WITH {cte}, w AS (SELECT symbol, time_bucket(INTERVAL {every}, {time}) AS window_start,
     AVG({column}) AS v FROM {table} WHERE {time} >= TIMESTAMP '{START}' AND {time} < TIMESTAMP '{STOP}'
     GROUP BY ALL), s AS (SELECT DISTINCT symbol FROM w), spine AS (SELECT symbol, h AS window_start FROM s,
-    generate_series(TIMESTAMP '{START}', TIMESTAMP '{STOP}' - INTERVAL 1 HOUR, INTERVAL 1 HOUR) g(h))
-    SELECT symbol, window_start, window_start + INTERVAL 1 HOUR AS window_end, ROUND(v, 6) AS {name}
+    generate_series(TIMESTAMP '{START}', TIMESTAMP '{STOP}' - INTERVAL {every}, INTERVAL {every}) g(h))
+    SELECT symbol, window_start, window_start + INTERVAL {every} AS window_end, ROUND(v, 6) AS {name}
     FROM spine LEFT JOIN w USING (symbol, window_start)"""
 
 
@@ -50,6 +50,13 @@ def trade_avg_price_1h_dense(spark, sf_dir):
     return _rounded(panel, "avg_price")
 
 
+@query(
+    "trade_avg_price_1m_dense", _dense(fr.trade_sql(), "trade", "trade_time", "price", "avg_price", "1 MINUTE"))
+def trade_avg_price_1m_dense(spark, sf_dir):
+    panel = d.average_trade_price(fr.trades(spark, sf_dir), "1 minute", START, STOP, fill_empty=True)
+    return _rounded(panel, "avg_price")
+
+
 @query(
     "trade_avg_price_users_dense",
     _dense(fr.trade_sql("user_id"), "trade", "trade_time", "price", "avg_price"),
@@ -105,7 +112,7 @@ def value_by_maker(spark, sf_dir):
     "price_over_time_7d",
     f"""WITH {fr.trade_sql()} SELECT trade_time, symbol, ROUND(AVG(price), 6) AS avg_price FROM trade
     WHERE trade_time >= TIMESTAMP '{NOW}' - INTERVAL 7 DAY AND trade_time <= TIMESTAMP '{NOW}'
-    GROUP BY trade_time, symbol ORDER BY trade_time, symbol LIMIT 10000""",
+    GROUP BY trade_time, symbol""",
 )
 def price_over_time_7d(spark, sf_dir):
     return _rounded(d.price_over_time(fr.trades(spark, sf_dir), NOW), "avg_price")
@@ -152,10 +159,33 @@ def latest_row(spark, sf_dir):
     return sel.latest(fr.tickers(spark, sf_dir, "user_id"), ["symbol"], "close_time", "last_trade_id")
 
 
+def _nulls_sql(form):
+    return f"""SELECT symbol, close_time, tie, '{form}' AS form FROM t
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY close_time DESC NULLS LAST, tie DESC NULLS LAST) = 1"""
+
+
+@query(
+    "latest_row_nulls",
+    f"""WITH {fr.ticker_sql('user_id')}, t AS (SELECT symbol,
+    CASE WHEN last_trade_id % 5 <> 0 THEN date_trunc('week', close_time)::TIMESTAMP END AS close_time,
+    CASE WHEN last_trade_id % 3 <> 0 THEN last_trade_id END AS tie FROM ticker)
+    {_nulls_sql('narrow')} UNION ALL {_nulls_sql('text')}""",
+)
+def latest_row_nulls(spark, sf_dir):
+    """Equal and missing times and ties give the same row whatever the types of the other columns."""
+    identity = F.col("last_trade_id")
+    rows = fr.tickers(spark, sf_dir, "user_id").select(
+        "symbol", F.when(identity % 5 != 0, F.date_trunc("week", "close_time")).alias("close_time"),
+        F.when(identity % 3 != 0, identity).alias("tie"))
+    narrow = sel.latest(rows, ["symbol"], "close_time", "tie").withColumn("form", F.lit("narrow"))
+    text = sel.latest(rows.withColumn("form", F.lit("text")), ["symbol"], "close_time", "tie")
+    return narrow.unionByName(text)
+
+
 @query(
     "peak_change",
     f"""WITH {fr.ticker_sql('user_id')} SELECT symbol, MAX(price_change_percent) AS latest_price_change_percent
-    FROM ticker GROUP BY symbol ORDER BY 2 DESC, 1 LIMIT 10000""",
+    FROM ticker GROUP BY symbol""",
 )
 def peak_change(spark, sf_dir):
     return d.peak_change(fr.tickers(spark, sf_dir, "user_id"))
@@ -221,7 +251,7 @@ _TOP_SPREAD = """top AS (SELECT symbol FROM book GROUP BY symbol
     WHERE symbol IN (SELECT symbol FROM top) GROUP BY ALL""",
 )
 def book_avg_spread_daily(spark, sf_dir):
-    return _rounded(d.average_spread(fr.books(spark, sf_dir, "user_id")), "avg_spread")
+    return _rounded(d.average_spread(fr.books(spark, sf_dir, "user_id"), series_limit=10), "avg_spread")
 
 
 @query(
@@ -292,7 +322,7 @@ def scatter_view(spark, sf_dir):
 @query(
     "scatter_metric",
     f"""WITH {_USERS}, {_SCATTER} SELECT price_change_percent, symbol, MAX(price_change_percent) AS max_change
-    FROM scatter GROUP BY ALL ORDER BY max_change DESC, symbol LIMIT 10000""",
+    FROM scatter GROUP BY ALL""",
 )
 def scatter_metric(spark, sf_dir):
     return v.scatter_metric(v.scatter_plot_ticker(fr.tickers(spark, sf_dir, "user_id")))
