@@ -140,7 +140,7 @@ def test_leap_rule(spark):
 
 
 @pytest.mark.parametrize("freq,alias", [("h", "h"), ("15min", "15min"), ("2d", "2D"), ("s", "s"), ("b", "B"),
-                                        ("w", "W"), ("m", "ME")])
+                                        ("w", "W"), ("m", "ME"), ("q", "QE"), ("y", "YE")])
 def test_future_times_match_pandas(spark, freq, alias):
     starts = [datetime(2024, 1, 25, 10, 30) + timedelta(days=d) for d in range(9)]
     frame = spark.createDataFrame([(s, k) for s in starts for k in range(1, 8)], "t timestamp, k int")
@@ -208,12 +208,50 @@ def test_pluggable_model_shards_and_failures(linear):
     assert models["a"].params == pytest.approx([(20 * 20 + 20 * 20 + 12 * 12) / 52, 1.0]) and models["a"].n == 52
     assert models["b"].params is None and "no luck" in models["b"].error
 
-    table = mod.train_per_symbol(linear, fit, ["symbol"])
+    table = mod.train_per_symbol(linear, fit, ["symbol"], shard_samples=2_000)
     losses = mod.evaluate(linear, table, lambda lanes, params, pred: lanes["x"][:, -pred:, :], ["symbol"], 3)
     by = {r.symbol: r.val_loss for r in losses.collect()}
     assert by["a"] > 0 and by["b"] == 0.0
 
 
+def test_a_failing_shard_fails_its_key(linear):
+    def fit(shard):
+        if shard["symbol"].iloc[0] == "a" and shard["sample_id"].min() > 0:
+            raise ValueError("second shard")
+        return [1.0]
+
+    models = {r.symbol: r for r in mod.train_per_symbol(linear, fit, ["symbol"], shard_samples=20).collect()}
+    assert models["a"].params is None and "second shard" in models["a"].error
+    assert models["b"].params == [1.0] and models["b"].error is None
+
+
+def test_ridge_leaves_incomplete_samples_out(spark):
+    rows = [(s, k, [[None if k % 3 == 0 and s == "a" else float(k)]], [[float(k + 1)]]) for s in "ab" for k in range(30)]
+    rows += [("none", k, [[None]], [[1.0]]) for k in range(3)] + [("one", k, [[2.0]], [[3.0]]) for k in range(5)]
+    samples = spark.createDataFrame(rows, "symbol string, sample_id long, x array<array<double>>, y array<array<double>>")
+    found = {r.symbol: r for r in mod.fit_ridge(samples, ["symbol"], 1, lags=1, alpha=0.0).collect()}
+    for symbol, n in (("a", 20), ("b", 30)):
+        assert found[symbol].params == pytest.approx([1.0, 1.0]) and found[symbol].n == n and found[symbol].error is None
+    assert found["none"].params is None and "all values" in found["none"].error
+    assert found["one"].params is None and "Singular" in found["one"].error
+
+
+def test_one_model_does_not_stop_another(spark):
+    rows = [(s, k, [[float(k)]]) for s in "abc" for k in range(4)]
+    samples = spark.createDataFrame(rows, "symbol string, sample_id long, x array<array<double>>")
+    models = spark.createDataFrame([("a", [1.0]), ("b", [1.0, 2.0]), ("c", [-1.0])], "symbol string, params array<double>")
+
+    def score(lanes, params, pred):
+        assert len({len(p) for p in params}) == 1
+        if any(p[0] < 0 for p in params):
+            raise ValueError("negative")
+        return lanes["x"] * np.array([len(p) for p in params])[:, None, None]
+
+    found = mod.predict_per_symbol(samples, models, score, ["symbol"], 1).collect()
+    by = {(r.symbol, r.sample_id): r.horizon for r in found}
+    assert len(by) == 12 and by["a", 3] == [[3.0]] and by["b", 3] == [[6.0]] and by["c", 3] is None
+
+
 def test_best_candidate_wins(linear):
     candidates = {
         "good": mod.Candidate(lambda s: mod.fit_ridge(s, ["symbol"], 6, 2, 1e-9), mod.ridge_score(2)),
@@ -229,7 +267,7 @@ def test_seasonal_naive(linear):
 
 
 def test_all_lanes_reach_the_model(linear):
-    model = mod.train_per_symbol(linear, lambda shard: [0.0], ["symbol"])
+    model = mod.train_per_symbol(linear, lambda shard: [0.0], ["symbol"], shard_samples=2_000)
     shapes = {"x": (6, 2), "x_mark": (6, 1), "x_dec": (6, 2), "x_mark_dec": (6, 1)}
 
     def score(lanes, params, pred):

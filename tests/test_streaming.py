@@ -125,16 +125,44 @@ def test_archive_selection_and_pruning(spark, folder):
     write_batches(spark, folder, [10 * day + i for i in range(6)] + [20 * day])
     chosen = archive.read_archive(spark, folder, "trade", 20 * day + 5, days_ago=1, max_batches=3)
     assert {r.ingest_epoch for r in chosen.collect()} == {10 * day + i for i in (3, 4, 5)}
-    plan = chosen._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [ingest_epoch" in plan
+    assert len(chosen.inputFiles()) == 3
     newest = archive.read_archive(spark, folder, "trade", 20 * day + 5, days_ago=0, max_batches=2)
     assert {r.ingest_epoch for r in newest.collect()} == {20 * day, 10 * day + 5}
-    since = archive.read_since(spark, folder, "trade", 20 * day + 5)
+    since = archive.read_since(spark, folder, "trade", 20 * day + 5, clock_skew=60)
     assert {r.ingest_epoch for r in since.collect()} == {20 * day}
     current = archive.read_current(spark, folder, "trade", 20 * day + 5, max_batches=9)
     assert current.count() == 1
 
 
+def test_selection_lists_folders_and_starts_no_job(spark, folder):
+    write_batches(spark, folder, [100, 200, 300])
+    rows = spark.createDataFrame([(9, "trade", "B", 1.0, 1.0, T0, True)], archive.TABLE_SCHEMAS["trade"])
+    rows.write.parquet(f"{folder}/trade/400")  # the plain layout: a folder per epoch
+    context = spark.sparkContext
+    context.setJobGroup("selection", "selection")
+    try:
+        assert archive.newest_batches(spark, folder, "trade", 1000, 0, 3) == [400, 300, 200]
+        chosen = archive.read_archive(spark, folder, "trade", 1000, days_ago=0, max_batches=2)
+        assert not context.statusTracker().getJobIdsForGroup("selection")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert {(r.ingest_epoch, r.symbol) for r in chosen.collect()} == {(400, "B"), (300, "A")}
+    assert archive.read_batches(spark, folder, "trade", [7]).count() == 0
+    assert archive.read_archive(spark, folder, "ticker", 1000).count() == 0
+
+
+def test_a_registered_stream_has_a_table_and_lines(spark, folder):
+    from tidemark.operators.points import to_line_protocol
+    from tidemark.schemas import stream_spec, table_ddl
+
+    empty = spark.createDataFrame([], table_ddl("depth"))
+    assert empty.columns == list(stream_spec("depth").output)
+    empty.write.parquet(f"{folder}/depth")
+    assert archive.register_tables(spark, folder, tables=["depth"], nested=True) == ["depth"]
+    assert spark.table("depth").count() == 0
+    assert to_line_protocol(empty.withColumn("symbol", F.lit("A")), "depth", time=empty.columns[0]).count() == 0
+
+
 def test_tables_in_a_database(spark, folder):
     write_batches(spark, folder, [1, 2])
     archive.register_tables(spark, folder, database="market_test", tables=["trade"])

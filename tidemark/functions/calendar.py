@@ -7,11 +7,6 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-# Long and short months of the calendar.
-LONG_MONTHS = (1, 3, 5, 7, 8, 10, 12)
-SHORT_MONTHS = (4, 6, 9, 11)
-
-
 def calendar_parts(t: Column) -> dict[str, Column]:
     """year, month, day, hour, minute and second as integers."""
     return {
@@ -26,13 +21,8 @@ def calendar_parts(t: Column) -> dict[str, Column]:
 
 def days_in_month(t: Column) -> Column:
     """Length of the month; every fourth year is a leap year, centuries included."""
-    month = F.month(t)
-    return (
-        F.when(month.isin(*LONG_MONTHS), 31)
-        .when(month.isin(*SHORT_MONTHS), 30)
-        .when(F.year(t) % 4 == 0, 29)
-        .otherwise(28)
-    )
+    extra = (F.month(t) == 2) & (F.year(t) % 100 == 0) & (F.year(t) % 400 != 0)
+    return F.dayofmonth(F.last_day(t)) + extra.cast("int")
 
 
 def cyclic_time(t: Column) -> dict[str, Column]:
@@ -138,8 +128,8 @@ UNIT_MICROS = {"S": 1_000_000, "T": 60_000_000, "H": 3_600_000_000, "D": 86_400_
 def future_time(last: Column, step: Column, freq: str) -> Column:
     """Timestamp ``step`` (1, 2, ...) periods after ``last``.
 
-    Business days, weeks (Sunday) and months (month end) count from the first such day on or
-    after ``last`` and keep its time of day.
+    Business days, weeks (Sunday), months, quarters and years (their last days) count from the first
+    such day on or after ``last`` and keep its time of day.
     """
     multiple, unit = parse_frequency(freq)
     step, last = step.cast("long"), last.cast("timestamp")
@@ -160,6 +150,10 @@ def future_time(last: Column, step: Column, freq: str) -> Column:
         target = F.date_add(day, (6 - weekday + 7 * steps).cast("int"))
     elif unit == "M":
         target = F.last_day(F.add_months(F.last_day(day), steps.cast("int")))
+    elif unit in ("Q", "Y"):
+        months, period = (3, "quarter") if unit == "Q" else (12, "year")
+        begin = F.to_date(F.date_trunc(period, last))
+        target = F.last_day(F.add_months(begin, (months - 1 + months * steps).cast("int")))
     else:
         raise ValueError(f"no future timestamps for frequency {freq!r}")
     return F.timestamp_micros(F.unix_micros(target.cast("timestamp")) + time_of_day)

@@ -50,7 +50,8 @@ def present(name: str, kind: T.DataType) -> Column:
 
 
 def has_fields(fields: Sequence[tuple[str, T.DataType]]) -> Column:
-    return reduce(or_, [present(name, kind) for name, kind in fields])
+    """At least one field has such a value; a stream without fields has no points."""
+    return reduce(or_, [present(name, kind) for name, kind in fields], F.lit(False))
 
 
 def _exact_exponents(field_set: Column) -> Column:

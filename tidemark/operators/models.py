@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -56,7 +58,9 @@ def fit_ridge(
     """Model table (keys, n, params, error): one linear autoregression per key and feature.
 
     The sums of products of (1, last ``lags`` values, next value) are one partial + final
-    aggregate; the (lags + 1)-sized systems are then solved in batches, one row each.
+    aggregate; the (lags + 1)-sized systems are then solved in batches, one row each. A sample takes
+    part in a feature where all its values are there. A key with a feature that has no such sample,
+    or whose system has no solution, has NULL params and the error text.
     """
     if lags > seq:
         raise ValueError("lags must not exceed seq")
@@ -73,9 +77,11 @@ def fit_ridge(
         F.col("_target").cast("double").alias(f"v{lags + 1}"),
     )
     names = _gram_names(lags)
-    sums = cells.groupBy(*keys, "feature").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.sum(F.col(f"v{i}") * F.col(f"v{j}")).alias(name) for name, i, j in names],
+    whole = reduce(and_, [F.col(f"v{i}").isNotNull() for i in range(1, lags + 2)])
+    sums = cells.withColumn("_whole", whole).groupBy(*keys, "feature").agg(
+        F.count_if("_whole").alias("n"),
+        *[F.coalesce(F.sum(F.when(F.col("_whole"), F.col(f"v{i}") * F.col(f"v{j}"))), F.lit(0.0)).alias(name)
+          for name, i, j in names],
     )
     key_fields = [samples.schema[k] for k in keys]
     schema = T.StructType(
@@ -84,6 +90,7 @@ def fit_ridge(
             T.StructField("feature", T.IntegerType()),
             T.StructField("n", T.LongType()),
             T.StructField("weights", T.ArrayType(T.DoubleType())),
+            T.StructField("error", T.StringType()),
         ]
     )
 
@@ -93,16 +100,26 @@ def fit_ridge(
             for name, i, j in names:
                 full[:, i, j] = full[:, j, i] = batch[name]
             system = full[:, :-1, :-1] + alpha * np.eye(lags + 1)
-            weights = np.linalg.solve(system, full[:, :-1, -1:])[:, :, 0]
+            solutions = [_solution(a, b, n) for a, b, n in zip(system, full[:, :-1, -1], batch["n"])]
             out = batch[[*keys, "feature", "n"]].copy()
-            out["weights"] = list(weights)
+            out["weights"] = [weights for weights, _ in solutions]
+            out["error"] = [error for _, error in solutions]
             yield out
 
     solved = sums.mapInPandas(solve, schema)
     rows = F.sort_array(F.collect_list(F.struct("feature", "weights")))
-    return solved.groupBy(*keys).agg(F.max("n").alias("n"), rows.alias("_w")).select(
-        *keys, "n", F.flatten("_w.weights").alias("params"), F.lit(None).cast("string").alias("error")
-    )
+    return solved.groupBy(*keys).agg(
+        F.max("n").alias("n"), rows.alias("_w"), F.max("error").alias("error")
+    ).select(*keys, "n", F.when(F.col("error").isNull(), F.flatten("_w.weights")).alias("params"), "error")
+
+
+def _solution(system: np.ndarray, target: np.ndarray, n: int) -> tuple[np.ndarray | None, str | None]:
+    if not n:
+        return None, "no sample has all values"
+    try:
+        return np.linalg.solve(system, target), None
+    except np.linalg.LinAlgError as failure:
+        return None, f"{type(failure).__name__}: {failure}"
 
 
 def ridge_score(lags: int) -> ScoreFn:
@@ -127,7 +144,7 @@ def ridge_score(lags: int) -> ScoreFn:
 
 
 def train_per_symbol(
-    samples: DataFrame, fit_fn: FitFn, keys: Sequence[str], shard_samples: int = 2_000,
+    samples: DataFrame, fit_fn: FitFn, keys: Sequence[str], shard_samples: int,
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Model table (keys, n, params, error) from a user function.
@@ -135,9 +152,9 @@ def train_per_symbol(
     ``fit_fn`` gets the samples of one shard: ``shard_samples`` consecutive sample ids of one key,
     to be chosen so that they fit in a worker's memory. ``columns`` names what it reads besides
     the keys and the sample id (default: all); only that is sent to Python.
-    The parameter vectors of a key's shards are averaged, weighted by sample count; a key that
-    fits in one shard is fitted exactly. A failing shard is left out; a key whose shards all fail
-    has NULL params and the error text, and the other keys are not affected.
+    The parameter vectors of a key's shards are averaged, weighted by sample count, which is another
+    model than one fit over all samples; so the caller says how large a shard is. A key with a failing
+    shard has NULL params and the error text, and the other keys are not affected.
     """
     if columns is not None:
         samples = samples.select(*dict.fromkeys([*keys, "sample_id", *columns]))
@@ -174,7 +191,7 @@ def train_per_symbol(
     ).select(
         *keys,
         "n",
-        F.when(F.size("_entries") > 0, F.col("_entries._value")).alias("params"),
+        F.when((F.size("_entries") > 0) & F.col("error").isNull(), F.col("_entries._value")).alias("params"),
         "error",
     )
 
@@ -194,7 +211,8 @@ def predict_per_symbol(
     model lookup).
 
     Only the lanes named by ``inputs`` reach Python, flattened to one array per row. Samples of a
-    key without usable parameters are left out.
+    key without usable parameters are left out. Rows whose model raises have a NULL horizon; models
+    with parameters of another length are scored apart, so no key stops another.
     """
     kept = [f for f in samples.schema.fields if f.name not in LANES]
     lanes = {name: f"_{name}" for name in inputs}
@@ -207,18 +225,31 @@ def predict_per_symbol(
     usable = joined.filter(F.col("params").isNotNull())
     schema = T.StructType([*kept, T.StructField("horizon", HORIZON)])
 
+    def scored(rows: pd.DataFrame) -> list:
+        arrays = {
+            name: np.stack(rows[column]).reshape(len(rows), int(rows[f"{column}_rows"].iloc[0]), -1)
+            for name, column in lanes.items()
+        }
+        forecast = np.asarray(score_fn(arrays, rows["params"].tolist(), pred), dtype=float)
+        return [list(steps) for steps in forecast]
+
+    def forecasts(rows: pd.DataFrame) -> list:
+        try:
+            return scored(rows)
+        except Exception:  # some model fails: find out which, row by row
+            if len(rows) == 1:
+                return [None]
+            return [h for k in range(len(rows)) for h in forecasts(rows.iloc[k:k + 1])]
+
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if batch.empty:
                 continue
-            arrays = {
-                name: np.stack(batch[column]).reshape(len(batch), int(batch[f"{column}_rows"].iloc[0]), -1)
-                for name, column in lanes.items()
-            }
-            forecast = np.asarray(score_fn(arrays, batch["params"].tolist(), pred), dtype=float)
-            out = batch[[f.name for f in kept]].copy()
-            out["horizon"] = [list(rows) for rows in forecast]
-            yield out
+            shapes = [batch["params"].map(len), *[batch[c].map(len) for c in lanes.values()]]
+            for _, alike in batch.groupby(shapes, sort=False):
+                out = alike[[f.name for f in kept]].copy()
+                out["horizon"] = forecasts(alike)
+                yield out
 
     return usable.mapInPandas(score, schema)
 

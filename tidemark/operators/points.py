@@ -54,6 +54,8 @@ def to_line_protocol(
     """One ``line`` per row for the point store; rows without any field are left out."""
     spec = stream_spec(stream)
     fields = [(name, df.schema[name].dataType) for name in spec.point_fields]
+    if not fields:
+        return df.sparkSession.createDataFrame([], "line string")
     line = encoding.line_protocol(
         measurement or spec.name, F.col("symbol"), fields, F.col(time or spec.time_column)
     )

@@ -241,3 +241,13 @@ class FeatureSpec:
 
 
 TICKER_FEATURES = FeatureSpec()
+
+
+def table_ddl(name: str) -> str:
+    """Columns of a warehouse table: a listed one, or what the registered stream puts out."""
+    if name in TABLE_SCHEMAS:
+        return TABLE_SCHEMAS[name]
+    spec = stream_spec(name)
+    kinds = {"number": "double", "long": "bigint", "millis": "timestamp"}
+    fields = {f.name: kinds.get(f.convert) or declared_type(f.declared).simpleString() for f in spec.fields}
+    return ", ".join(f"`{c}` {fields[c]}" for c in spec.output)

@@ -6,11 +6,13 @@ levels are partition columns, so a batch selection prunes folders before any fil
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.schemas import TABLE_SCHEMAS
+from tidemark.schemas import TABLE_SCHEMAS, table_ddl
 
 PARTITION_SCHEMA = "query_id string, batch_id bigint, ingest_epoch bigint"
 
@@ -28,24 +30,53 @@ def epoch_seconds(moment: datetime | str | int) -> int:
 
 def open_archive(spark: SparkSession, root: str, stream: str) -> DataFrame:
     """All batches of one stream with their partition columns."""
-    reader = spark.read
-    if stream in TABLE_SCHEMAS:
-        reader = reader.schema(f"{TABLE_SCHEMAS[stream]}, {PARTITION_SCHEMA}")
-    return reader.parquet(f"{root}/{stream}")
+    return spark.read.schema(f"{table_ddl(stream)}, {PARTITION_SCHEMA}").parquet(f"{root}/{stream}")
+
+
+def batch_folders(spark: SparkSession, root: str, stream: str) -> dict[int, list[str]]:
+    """The folders of each batch epoch, newest first, from the file system's listing alone.
+
+    Knows the archive's own layout and folders that are plain epoch numbers. One path per batch
+    folder comes to the driver; no file is opened.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    base = hadoop(f"{root}/{stream}")
+    system = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    found: dict[int, list[str]] = {}
+    for pattern in ("query_id=*/batch_id=*/ingest_epoch=*", "[0-9]*"):
+        for status in system.globStatus(hadoop(f"{root}/{stream}/{pattern}")) or ():
+            name = status.getPath().getName().rpartition("=")[2]
+            if status.isDirectory() and name.isdigit():
+                found.setdefault(int(name), []).append(status.getPath().toString())
+    return dict(sorted(found.items(), reverse=True))
 
 
 def newest_batches(
-    archive: DataFrame, as_of: datetime | str | int, days_ago: float = 1, max_batches: int = 10
-) -> DataFrame:
+    spark: SparkSession, root: str, stream: str, as_of: datetime | str | int, days_ago: float = 1,
+    max_batches: int = 10,
+) -> list[int]:
     """The newest ``max_batches`` batch epochs that are at least ``days_ago`` days old."""
     cutoff = epoch_seconds(as_of) - int(days_ago * 86_400)
-    return (
-        archive.filter(F.col("ingest_epoch") <= cutoff)
-        .select("ingest_epoch")
-        .distinct()
-        .orderBy(F.desc("ingest_epoch"))
-        .limit(max_batches)
-    )
+    return [e for e in batch_folders(spark, root, stream) if e <= cutoff][:max_batches]
+
+
+def _read(spark: SparkSession, root: str, stream: str, wanted: Callable[[int], bool]) -> DataFrame:
+    """Rows of the batches with a wanted epoch; only their folders are opened."""
+    folders = [p for e, paths in batch_folders(spark, root, stream).items() if wanted(e) for p in paths]
+    columns = table_ddl(stream)
+    if not folders:
+        return spark.createDataFrame([], f"{columns}, ingest_epoch bigint")
+    frames = []
+    plain = [p for p in folders if "=" not in p.rpartition("/")[2]]
+    partitioned = [p for p in folders if p not in set(plain)]
+    if partitioned:
+        reader = spark.read.schema(f"{columns}, {PARTITION_SCHEMA}").option("basePath", f"{root}/{stream}")
+        frames.append(reader.parquet(*partitioned).drop("query_id", "batch_id"))
+    if plain:
+        epoch = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d+)/[^/]+$", 1).cast("long")
+        rows = spark.read.schema(columns).parquet(*plain)
+        frames.append(rows.select("*", epoch.alias("ingest_epoch")))
+    return reduce(DataFrame.unionByName, frames)
 
 
 def read_archive(
@@ -56,14 +87,9 @@ def read_archive(
     days_ago: float = 1,
     max_batches: int = 10,
 ) -> DataFrame:
-    """Rows of the selected batches (``days_ago=0`` takes the newest ones).
-
-    Runs one small job: at most ``max_batches`` epochs come to the driver and turn into a
-    partition filter, so only their folders are scanned.
-    """
-    archive = open_archive(spark, root, stream)
-    chosen = [r.ingest_epoch for r in newest_batches(archive, as_of, days_ago, max_batches).collect()]
-    return archive.filter(F.col("ingest_epoch").isin(chosen)).drop("query_id", "batch_id")
+    """Rows of the selected batches (``days_ago=0`` takes the newest ones); runs no job."""
+    chosen = set(newest_batches(spark, root, stream, as_of, days_ago, max_batches))
+    return _read(spark, root, stream, chosen.__contains__)
 
 
 def read_current(
@@ -80,25 +106,21 @@ def read_current(
 
 
 def read_since(
-    spark: SparkSession, root: str, stream: str, since: datetime | str | int, clock_skew: int = 60
+    spark: SparkSession, root: str, stream: str, since: datetime | str | int, clock_skew: int
 ) -> DataFrame:
     """Rows of the batches written since ``since``, less ``clock_skew`` seconds.
 
     A message is archived after it happened, so a panel over a trailing interval finds all its
-    rows here and skips the folders of older batches. The panel still filters by event time.
+    rows here and skips the folders of older batches, if no message was stamped more than
+    ``clock_skew`` seconds ahead of the archive's clock. The panel still filters by event time.
     """
     first = epoch_seconds(since) - clock_skew
-    recent = open_archive(spark, root, stream).filter(F.col("ingest_epoch") >= first)
-    return recent.drop("query_id", "batch_id")
+    return _read(spark, root, stream, lambda epoch: epoch >= first)
 
 
 def read_batches(spark: SparkSession, root: str, stream: str, epochs: list[int]) -> DataFrame:
     """Concatenation of named batches."""
-    return (
-        open_archive(spark, root, stream)
-        .filter(F.col("ingest_epoch").isin(list(epochs)))
-        .drop("query_id", "batch_id")
-    )
+    return _read(spark, root, stream, set(epochs).__contains__)
 
 
 def register_tables(
@@ -116,7 +138,7 @@ def register_tables(
     names = list(tables or TABLE_SCHEMAS)
     if database is None:
         for name in names:
-            reader = spark.read.schema(TABLE_SCHEMAS[name])
+            reader = spark.read.schema(table_ddl(name))
             if nested:
                 reader = reader.option("recursiveFileLookup", "true")
             reader.parquet(f"{root}/{name}").createOrReplaceTempView(name)
@@ -124,7 +146,7 @@ def register_tables(
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     for name in names:
         partitioned = not nested and not name.endswith("_predict")
-        columns = TABLE_SCHEMAS[name] + (f", {PARTITION_SCHEMA}" if partitioned else "")
+        columns = table_ddl(name) + (f", {PARTITION_SCHEMA}" if partitioned else "")
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({columns}) USING parquet "
             + ("OPTIONS (recursiveFileLookup 'true') " if nested else "")

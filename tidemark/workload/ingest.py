@@ -231,8 +231,8 @@ def archive_current_scan(spark, sf_dir):
     ORDER BY ingest_epoch DESC LIMIT 5""",
 )
 def archive_newest_batches(spark, sf_dir):
-    opened = archive.open_archive(spark, _daily_archive(spark, sf_dir), "trade")
-    return archive.newest_batches(opened, AS_OF, 1, 5)
+    chosen = archive.newest_batches(spark, _daily_archive(spark, sf_dir), "trade", AS_OF, 1, 5)
+    return spark.createDataFrame([(e,) for e in chosen], "ingest_epoch bigint")
 
 
 @query(

@@ -374,7 +374,8 @@ def validation_loss(spark, sf_dir):
     """Validation error of a trained model that repeats the last row."""
     samples = _splits(spark, sf_dir)
     repeat_last = mod.train_per_symbol(
-        samples.filter("split = 'train'"), lambda shard: np.ones(len(TICK)), ["symbol"], columns=[]
+        samples.filter("split = 'train'"), lambda shard: np.ones(len(TICK)), ["symbol"],
+        shard_samples=2_000, columns=[],
     )
 
     def score(lanes, params, pred):
