@@ -101,7 +101,7 @@ def test_late_rows_are_dropped(spark, folder):
 def test_dedup_and_latest(spark, folder):
     rows = [("A", T0, 1.0, 1), ("A", T0, 2.0, 2), ("B", T0, 3.0, 3)]
     stream = rows_stream(spark, f"{folder}/in", rows)
-    live.drain(live.write_table(live.live_dedup(stream), f"{folder}/d", f"{folder}/cd", "append", "available"))
+    live.drain(live.write_table(live.live_dedup(stream, "1 minute"), f"{folder}/d", f"{folder}/cd", "append", "available"))
     assert spark.read.parquet(f"{folder}/d").count() == 2
     newest = live.live_latest(stream, ["symbol"], "event_time", "id")
     live.drain(live.write_table(newest, f"{folder}/l", f"{folder}/cl", "update", "available"))

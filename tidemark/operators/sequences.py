@@ -218,13 +218,21 @@ def with_batch_id(
     return sized.filter(F.col("batch_id") < F.floor(F.col("_samples") / F.lit(size))).drop("_samples")
 
 
+PRIME = 2**31 - 1  # products of two rests stay within a long
+
+
 def shuffle_samples(
     windows: DataFrame, keys: Sequence[str], seed: int, sample: str = "sample_id"
 ) -> DataFrame:
-    """Renumber the samples of each key in a seeded random order (runs jobs)."""
+    """Renumber the samples of each key in a seeded pseudo-random order (runs jobs).
+
+    The order is that of a quadratic congruence of the sample number, which any SQL engine can repeat.
+    """
     from tidemark.operators.positions import with_position
 
-    drawn = windows.withColumn("_draw", F.xxhash64(F.lit(seed), F.col(sample)))
+    x = (F.col(sample) % PRIME * F.lit(48_271) + F.lit(seed)) % PRIME
+    drawn = windows.withColumn("_x", x.cast("long")).withColumn(
+        "_draw", (F.col("_x") * F.col("_x") % PRIME * F.lit(69_621) + F.col("_x")) % PRIME).drop("_x")
     renumbered = with_position(drawn, keys, ["_draw", sample], position="_new")
     return renumbered.withColumn(sample, F.col("_new")).drop("_draw", "_new")
 

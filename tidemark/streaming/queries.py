@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.cleaning import normalize, normalize_book_ticker
@@ -16,10 +16,10 @@ from tidemark.streaming.sinks import _start, write_archive, write_points
 
 def live_windows(
     stream_df: DataFrame, time: str, every: str, by: Sequence[str], aggs: Mapping[str, Column],
-    lateness: str = "1 minute",
+    lateness: str,
 ) -> DataFrame:
-    """Windowed aggregates of a stream; rows later than ``lateness`` behind the newest are
-    dropped, and state is bounded by the open windows."""
+    """Windowed aggregates of a stream; rows of windows that ended ``lateness`` before the newest row are
+    dropped. In append and update mode the state is bounded by the open windows; complete mode keeps all."""
     return aggregate_window(stream_df.withWatermark(time, lateness), time, every, by, aggs)
 
 
@@ -32,8 +32,7 @@ def live_latest(
 
 
 def live_dedup(
-    stream_df: DataFrame, keys: Sequence[str] = ("symbol", "event_time"), time: str = "event_time",
-    lateness: str = "1 minute",
+    stream_df: DataFrame, lateness: str, keys: Sequence[str] = ("symbol", "event_time"), time: str = "event_time",
 ) -> DataFrame:
     """Drop repeated keys that arrive within ``lateness`` of each other."""
     return stream_df.withWatermark(time, lateness).dropDuplicatesWithinWatermark(list(keys))
@@ -46,7 +45,7 @@ def write_table(
     """Keep a folder with the query's result, as Parquet or (for looking at it) ``fmt="csv"``.
 
     ``append`` adds each batch once. ``complete`` replaces the folder with the whole result.
-    ``update`` keeps one folder per batch with the rows that changed in it.
+    ``update`` keeps one folder per batch with the rows that changed in it (see ``read_updates``).
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
@@ -58,6 +57,14 @@ def write_table(
     return _start(writer.option("checkpointLocation", checkpoint), trigger)
 
 
+def read_updates(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """The table that an ``update`` query keeps: of each key the row of its newest batch."""
+    changes = spark.read.parquet(path)
+    rest = [c for c in changes.columns if c not in keys and c != "batch_id"]
+    newest = F.max_by(F.struct(*rest), "batch_id").alias("_row")
+    return changes.groupBy(*keys).agg(newest).select(*keys, "_row.*")
+
+
 @dataclass(frozen=True)
 class StreamQueries:
     """The two queries of one stream type; they advance independently."""

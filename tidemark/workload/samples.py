@@ -215,7 +215,14 @@ def batch_ids(spark, sf_dir):
     return seqs.with_batch_id(index, ["symbol"], 16)
 
 
-@query("shuffled_batches")
+@query(
+    "shuffled_batches",
+    f"""WITH {PLACED}, s AS (SELECT symbol, position AS start_pos, (position % 2147483647 * 48271 + 7) % 2147483647 AS x
+    FROM placed WHERE position <= series_length - {SPAN}),
+    r AS (SELECT symbol, start_pos, ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY
+    (x * x % 2147483647 * 69621 + x) % 2147483647, start_pos) - 1 AS sample_id, COUNT(*) OVER (PARTITION BY symbol) AS c FROM s)
+    SELECT symbol, sample_id, start_pos, sample_id // 16 AS batch_id FROM r WHERE sample_id // 16 < c // 16""",
+)
 def shuffled_batches(spark, sf_dir):
     index = seqs.windows_index(_placed(spark, sf_dir), ["symbol"], SEQ, PRED)
     return seqs.with_batch_id(seqs.shuffle_samples(index, ["symbol"], seed=7), ["symbol"], 16)

@@ -27,7 +27,7 @@ def _drained(stream_df, path, mode):
 )
 def stream_avg_price(spark, sf_dir):
     trades = fr.trades_of(fr.stream_events(spark, sf_dir))
-    panel = live.live_windows(trades, "trade_time", "1 hour", ["symbol"], {"avg_price": F.avg("price")})
+    panel = live.live_windows(trades, "trade_time", "1 hour", ["symbol"], {"avg_price": F.avg("price")}, "1 minute")
     stored = _drained(panel, scratch_path(spark, "live"), "complete")
     return stored.withColumn("avg_price", F.round("avg_price", 6))
 
@@ -41,10 +41,43 @@ def stream_avg_price(spark, sf_dir):
 def stream_closed_windows(spark, sf_dir):
     """Append mode: a window is written once the watermark has passed its end."""
     trades = fr.trades_of(fr.stream_events(spark, sf_dir))
-    panel = live.live_windows(trades, "trade_time", "1 hour", ["symbol"], {"n": F.count(F.lit(1))})
+    panel = live.live_windows(trades, "trade_time", "1 hour", ["symbol"], {"n": F.count(F.lit(1))}, "1 minute")
     return _drained(panel, scratch_path(spark, "live"), "append").drop("batch_id")
 
 
+# the days at which the table is cut into the files of a stream, and the rows that come too late
+_CUTS = ["2024-01-08", "2024-01-15", "2024-01-22"]
+_LATE = f"(ts < TIMESTAMP '{_CUTS[0]}' AND event_id % 50 = 0)"
+
+
+@query(
+    "stream_windows_batches",
+    f"""WITH {fr.trade_sql()}, e AS (SELECT event_id FROM events WHERE NOT {_LATE})
+    SELECT symbol, time_bucket(INTERVAL 1 HOUR, trade_time) AS window_start,
+    time_bucket(INTERVAL 1 HOUR, trade_time) + INTERVAL 1 HOUR AS window_end, COUNT(*) AS n, ROUND(AVG(price), 6) AS avg_price
+    FROM trade JOIN e ON trade_id = event_id GROUP BY ALL""",
+)
+def stream_windows_batches(spark, sf_dir):
+    """Update mode over several micro-batches with a restart in between; late rows of closed windows fall out."""
+    path = scratch_path(spark, "live")
+    ts, late = F.col("ts"), F.expr(_LATE)
+    edges = [F.lit(c).cast("timestamp") for c in _CUTS]
+    files = [(ts < edges[0]) & ~late, (ts >= edges[0]) & (ts < edges[1]), (ts >= edges[1]) & (ts < edges[2]), (ts >= edges[2]) | late]
+
+    def run(names):
+        for k in names:
+            fr.events(spark, sf_dir).where(files[k]).coalesce(1).write.mode("append").parquet(f"{path}/in")
+        rows = spark.readStream.schema(fr.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+        panel = live.live_windows(fr.trades_of(rows), "trade_time", "1 hour", ["symbol"],
+                                  {"n": F.count(F.lit(1)), "avg_price": F.avg("price")}, "1 minute")
+        live.drain(live.write_table(panel, f"{path}/table", f"{path}/checkpoint", "update", "available"))
+
+    run([0, 1])
+    run([2, 3])
+    stored = live.read_updates(spark, f"{path}/table", ["symbol", "window_start", "window_end"])
+    return stored.withColumn("avg_price", F.round("avg_price", 6))
+
+
 @query(
     "stream_latest",
     f"""WITH {fr.ticker_sql('user_id')} SELECT symbol, close_time, trade_count, quote_volume FROM ticker
@@ -65,7 +98,7 @@ def stream_dedup(spark, sf_dir):
     trades = fr.trades_of(fr.stream_events(spark, sf_dir))
     hourly = trades.select("symbol", F.date_trunc("hour", "trade_time").alias("event_time"))
     path = scratch_path(spark, "live")
-    return _drained(live.live_dedup(hourly), path, "append").drop("batch_id")
+    return _drained(live.live_dedup(hourly, "1 minute"), path, "append").drop("batch_id")
 
 
 _CLEAN = f"""WITH {fr.EVENTS_MS} SELECT event_id AS trade_id, 'trade' AS event, event_type AS symbol,
