@@ -21,7 +21,7 @@ HEADLINE = [
     "book_avg_spread_daily", "heatmap_view", "heatmap_normalized", "latest_row", "dedup_events",
     "symbol_universe_topk", "point_upsert", "line_protocol_trade", "archive_window_scan", "cyclic_time",
     "minmax_transform", "series_position_long", "split_ratio", "windows_index", "windows_30_10",
-    "feature_samples", "metrics_by_symbol", "naive_backtest", "daily_backtest", "ridge_backtest",
+    "feature_samples", "metrics_by_symbol", "naive_backtest", "daily_backtest", "ridge_backtest", "ridge_training", "ridge_forecast",
     "stream_avg_price", "stream_archive_roundtrip",
 ]
 
@@ -29,7 +29,7 @@ HEADLINE = [
 def main() -> None:
     from pyspark.sql import SparkSession
 
-    from tidemark.session import SQL_SETTINGS
+    from tidemark.session import SQL_SETTINGS, clear_scratch
     from tidemark.workload.catalog import QUERIES
     from tidemark.workload.samples import windows_of
 
@@ -73,6 +73,7 @@ def main() -> None:
         "sf": Path(sf_dir).name.removeprefix("sf"),
         "cpus": int(cpus),
     }))
+    clear_scratch(spark)
     spark.stop()
 
 

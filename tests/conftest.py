@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from tidemark.session import clear_scratch  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -21,6 +23,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("OFF")
     yield session
+    clear_scratch(session)
     session.stop()
 
 

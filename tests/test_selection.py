@@ -140,6 +140,16 @@ def test_normalized_heatmap_of_equal_cells(spark):
     assert {r.normalized for r in v.heatmap_normalized(rows).collect()} == {0.0}
 
 
+def test_paging_after_a_row_gives_every_row_once(spark):
+    rows = frame(spark, [(s, None if k == 0 else T0 + timedelta(hours=k % 3), None if k == 1 else float(k % 2), k)
+                         for s in ("A", None, "B") for k in range(5)])
+    order, seen, after = ["symbol", "event_time", "value", "id"], [], None
+    while found := sel.page_after(rows, order, 4, after).collect():
+        seen += [tuple(r[c] for c in order) for r in found]
+        after = seen[-1]
+    assert seen == [tuple(r[c] for c in order) for r in rows.orderBy(*order).collect()]
+
+
 @pytest.mark.parametrize("limit", [10_000, 0])
 def test_lookup_join_with_and_without_broadcast(spark, limit):
     left = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))

@@ -116,6 +116,23 @@ def page(df: DataFrame, order: Sequence[str | Column], size: int = 10, offset: i
     return df.orderBy(*order).offset(offset).limit(size)
 
 
+def page_after(
+    df: DataFrame, order: Sequence[str], size: int = 10, after: Sequence | None = None
+) -> DataFrame:
+    """The page behind the row whose ``order`` values are ``after`` (None: the first page).
+
+    Any page costs the same top-n, however deep it lies. NULL sorts first.
+    """
+    if after is not None:
+        behind = F.lit(False)
+        for column, value in reversed(list(zip(order, after))):
+            c = F.col(column)
+            larger = c.isNotNull() if value is None else c > F.lit(value)
+            behind = larger | (c.eqNullSafe(F.lit(value)) & behind)
+        df = df.filter(F.coalesce(behind, F.lit(False)))
+    return df.orderBy(*order).limit(size)
+
+
 def top_symbols(snapshot: DataFrame, quote: str = "USDT", limit: int = 10) -> DataFrame:
     """The ``limit`` symbols with the largest quote volume, in lower case with their rank value."""
     volume = F.coalesce(F.col("quoteVolume").try_cast("double"), F.lit(0.0))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.functions.quotes import notional, recency, spread, spread_percent, truncate
 from tidemark.operators.selection import (
-    last_interval, latest, limit_series, page, temporal_range,
+    last_interval, latest, limit_series, page, page_after, temporal_range,
 )
 from tidemark.operators.windows import aggregate_window
 from tidemark.schemas import TABLE_SCHEMAS
@@ -190,10 +190,12 @@ def predicted_trade_count_windows(predictions: DataFrame, every: str, start=None
 
 
 def prediction_page(
-    predictions: DataFrame, size: int = 10, offset: int = 0, lo=None, hi=None
+    predictions: DataFrame, size: int = 10, offset: int = 0, lo=None, hi=None, after: Sequence | None = None
 ) -> DataFrame:
+    """One page in the order of all columns; ``after``, the last row of the page before, finds deep pages
+    without sorting what lies before them."""
     columns = T.StructType.fromDDL(TABLE_SCHEMAS["ticker_predict"]).names
     ranged = temporal_range(predictions, "event_time", lo, hi).select(*columns)
-    return page(ranged, columns, size, offset)
+    return page_after(ranged, columns, size, after) if after is not None else page(ranged, columns, size, offset)
 
 

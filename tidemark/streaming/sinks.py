@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import time
+import urllib.error
 import urllib.request
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.encoding import has_fields, line_protocol
 from tidemark.operators.points import to_line_protocol
 from tidemark.schemas import TABLE_SCHEMAS, StreamSpec, stream_spec
+from tidemark.session import settle
 
 LinesWriter = Callable[[Iterator[str]], None]
 
@@ -63,27 +66,42 @@ def archive_batch(batch: DataFrame, folder: str, batch_id: int, epoch: int) -> N
     )
 
 
-def http_lines_writer(url: str, token: str, batch_lines: int = 5_000) -> LinesWriter:
-    """Post lines to a point store's write address, ``batch_lines`` per request."""
+def http_lines_writer(url: str, token: str, batch_lines: int = 5_000, attempts: int = 4) -> LinesWriter:
+    """Post lines to a point store's write address, ``batch_lines`` per request.
+
+    A request is tried ``attempts`` times with growing pauses; a store overwrites equal points, so a
+    repeated request changes nothing. Errors of the request itself (4xx) are raised at once.
+    """
+
+    def post(chunk: list[str]) -> None:
+        request = urllib.request.Request(
+            url, data="\n".join(chunk).encode(), headers={"Authorization": f"Token {token}"}
+        )
+        for attempt in range(attempts):
+            try:
+                with urllib.request.urlopen(request, timeout=60):
+                    return
+            except urllib.error.URLError as failure:
+                refused = isinstance(failure, urllib.error.HTTPError) and failure.code < 500
+                if refused or attempt + 1 == attempts:
+                    raise
+                time.sleep(2**attempt)
 
     def send(lines: Iterator[str]) -> None:
         while chunk := list(islice(lines, batch_lines)):
-            request = urllib.request.Request(
-                url, data="\n".join(chunk).encode(), headers={"Authorization": f"Token {token}"}
-            )
-            with urllib.request.urlopen(request, timeout=60):
-                pass
+            post(chunk)
 
     return send
 
 
 def send_lines(lines: DataFrame, writer: LinesWriter) -> None:
-    """Hand each partition's lines to ``writer`` on the executors."""
+    """Hand each partition's lines to ``writer`` on the executors, in Arrow batches."""
 
-    def send(rows: Iterable) -> None:
-        writer(row.line for row in rows)
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        writer(line for batch in batches for line in batch.column(0).to_pylist())
+        yield from ()
 
-    lines.foreachPartition(send)
+    lines.select("line").mapInArrow(send, "line string").write.format("noop").mode("overwrite").save()
 
 
 def write_points(
@@ -137,6 +155,7 @@ def replace_points(
         return
     if writer is None or clear is None:
         raise ValueError("give path, or writer and clear")
+    lines = settle(lines)  # nothing is cleared before the new points are there
     clear()
     send_lines(lines, writer)
 

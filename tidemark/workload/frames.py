@@ -185,11 +185,11 @@ def snapshot(spark, sf_dir) -> DataFrame:
     )
 
 
-FEATURES = [f"f{i}" for i in range(6)]
+FEATURES = [f"f{i}" for i in range(63)]
 
 
 def vector_series(spark, sf_dir) -> DataFrame:
-    """Hourly multivariate series of the embedding rows: date, f0..f5, target last."""
+    """Hourly multivariate series of the embedding rows: date, f0..f62, target last."""
     names = [*FEATURES, "target"]
     rows = configure(spark).read.schema("vec_id long, embedding array<float>").parquet(
         f"{sf_dir}/embeddings.parquet"
