@@ -444,6 +444,53 @@ def ridge_validation_lag1(spark, sf_dir):
     return losses.select("symbol", F.round("val_loss", 6).alias("val_loss"))
 
 
+def _lag_steps(split: str, fit: str = "fit") -> str:
+    """Forecast and actual cells of a lag-1 model over two steps."""
+    return f"""SELECT s.symbol, CASE WHEN h = 1 THEN a + b * x ELSE a + b * (a + b * x) END AS pred, v AS actual
+    FROM starts s JOIN {fit} f ON f.symbol = s.symbol AND f.feature = s.feature, generate_series(1, {_FEW_PRED}) g(h)
+    JOIN q ON q.symbol = s.symbol AND q.split = s.split AND q.feature = s.feature AND q.sp = s.sp + h
+    WHERE s.split = '{split}'"""
+
+
+@query(
+    "ridge_backtest_lag1",
+    f"WITH {_CELLS}, cells AS ({_lag_steps('test')}) SELECT symbol, {_METRICS} FROM cells GROUP BY symbol",
+)
+def ridge_backtest_lag1(spark, sf_dir):
+    """Errors of the lag-1 model over the test samples, per symbol."""
+    samples, model = _lag_one(spark, sf_dir)
+    test = samples.filter("split = 'test'")
+    return _rounded_metrics(fc.backtest(test, model, mod.ridge_score(1), ["symbol"], _FEW_PRED, by=["symbol"]))
+
+
+_HEAVY = 25.0
+
+
+@query(
+    "ridge_choice_lag1",
+    f"""WITH {_CELLS}, heavy AS (SELECT symbol, feature, n, ((sxx + {_HEAVY}) * sy - sx * sxy) / det AS a,
+    ((n + {_HEAVY}) * sxy - sx * sy) / det AS b
+    FROM (SELECT *, (n + {_HEAVY}) * (sxx + {_HEAVY}) - sx * sx AS det FROM sums)),
+    losses AS (SELECT symbol, 'light' AS model, AVG((pred - actual) * (pred - actual)) AS l FROM ({_lag_steps('val')})
+    GROUP BY symbol UNION ALL SELECT symbol, 'heavy', AVG((pred - actual) * (pred - actual))
+    FROM ({_lag_steps('val', 'heavy')}) GROUP BY symbol),
+    known AS (SELECT f.symbol, m.model, COALESCE(l, 0.0) AS l FROM (SELECT DISTINCT symbol FROM fit) f
+    CROSS JOIN (VALUES ('light'), ('heavy')) m(model) LEFT JOIN losses ON losses.symbol = f.symbol AND losses.model = m.model)
+    SELECT symbol, model, ROUND(l, 6) AS val_loss FROM known
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY l, model) = 1""",
+)
+def ridge_choice_lag1(spark, sf_dir):
+    """The better of a light and a heavy penalty for each symbol, by validation loss."""
+    samples = _splits(spark, sf_dir)
+    candidates = {
+        name: mod.Candidate(
+            lambda s, a=alpha: mod.fit_ridge(s, ["symbol"], _FEW_SEQ, lags=1, alpha=a), mod.ridge_score(1))
+        for name, alpha in (("light", _ALPHA), ("heavy", _HEAVY))
+    }
+    best = mod.train_best(samples.filter("split = 'train'"), samples.filter("split = 'val'"), candidates, ["symbol"], _FEW_PRED)
+    return best.select("symbol", "model", F.round("val_loss", 6).alias("val_loss"))
+
+
 @query("ridge_training")
 def ridge_training(spark, sf_dir):
     samples = _splits(spark, sf_dir)
