@@ -5,7 +5,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from tidemark.operators.cleaning import normalize, normalize_book_ticker, normalize_trade
+from tidemark.operators.cleaning import (
+    NORMALIZERS, normalize, normalize_book_ticker, normalize_messages, normalize_trade, normalizer,
+)
 from tidemark.schemas import DEPTH, REGISTRY, RawField, StreamSpec, declared_type, register, stream_spec
 from tidemark.sources import messages
 
@@ -149,3 +151,17 @@ def test_lines_without_infinite_values_and_line_breaks(spark):
     rows = spark.createDataFrame([("X\nY, Z", float("inf"), 1.5), ("W", float("nan"), float("-inf"))], "s string, a double, b double")
     lines = rows.filter(has_fields(fields)).select(line_protocol("m", F.col("s"), fields, F.timestamp_micros(F.lit(1))).alias("l"))
     assert [r.l for r in lines.collect()] == ["m,symbol=X\\ Y\\,\\ Z b=1.5 1000"]
+
+
+def test_a_stream_brings_its_own_transform(raw):
+    @normalizer("trade")
+    def doubled(messages, strict, symbols, event_time):
+        return normalize(messages, "trade", strict, symbols).withColumn("price", 2 * F.col("price"))
+
+    try:
+        found = {r.trade_id: r.price for r in normalize_messages(raw, "trade", strict=True).collect()}
+    finally:
+        del NORMALIZERS["trade"]
+    plain = {r.trade_id: r.price for r in normalize_messages(raw, "trade", strict=True).collect()}
+    assert found == {k: 2 * v for k, v in plain.items()} and plain
+    assert set(NORMALIZERS) == {"bookTicker"}

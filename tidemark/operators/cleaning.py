@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 from operator import and_
 
@@ -79,6 +79,31 @@ def normalize_ticker(df: DataFrame, strict: bool = False, symbols=None) -> DataF
     return normalize(df, "ticker", strict, symbols)
 
 
+# what turns a stream's messages into rows where declaring the fields does not suffice
+NORMALIZERS: dict[str, Callable[..., DataFrame]] = {}
+
+
+def normalizer(stream: str) -> Callable:
+    """Registers a function (messages, strict, symbols, event_time) as the transform of a stream type; the
+    live jobs use it from then on."""
+
+    def keep(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        NORMALIZERS[stream] = function
+        return function
+
+    return keep
+
+
+def normalize_messages(
+    df: DataFrame, stream: str, strict: bool = False, symbols: Sequence[str] | None = None,
+    event_time: str | None = None,
+) -> DataFrame:
+    """The messages of any stream type as rows, by its own transform or by its declared fields."""
+    own = NORMALIZERS.get(stream)
+    return own(df, strict, symbols, event_time) if own else normalize(df, stream, strict, symbols)
+
+
+@normalizer("bookTicker")
 def normalize_book_ticker(
     df: DataFrame, strict: bool = False, symbols=None, event_time: str | None = None
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.cleaning import normalize, normalize_book_ticker
+from tidemark.operators.cleaning import normalize_messages
 from tidemark.operators.selection import latest
 from tidemark.operators.windows import aggregate_window
 from tidemark.streaming.sinks import _start, write_archive, write_points
@@ -91,10 +91,7 @@ def start_stream(
 
     One pair of queries serves all symbols of the stream; each sink has its own checkpoint.
     """
-    if stream == "bookTicker":
-        rows = normalize_book_ticker(messages, strict, symbols, event_time)
-    else:
-        rows = normalize(messages, stream, strict, symbols)
+    rows = normalize_messages(messages, stream, strict, symbols, event_time)
     points = write_points(
         rows, stream, f"{checkpoint_root}/{stream}/points", path=points_path, writer=points_writer,
         trigger=points_trigger,
