@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from tidemark.session import settle
 
@@ -19,23 +19,25 @@ def components(links: DataFrame) -> DataFrame:
     def oriented(frame: DataFrame) -> DataFrame:
         return frame.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct()
 
-    def state(frame: DataFrame) -> tuple:
-        return tuple(frame.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+    def written(frame: DataFrame) -> tuple[DataFrame, Observation]:
+        """The edges, settled, and what tells whether they changed."""
+        seen = Observation()
+        state = [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")]
+        return settle(frame.observe(seen, *state)), seen
 
-    edges = settle(oriented(links.where("a IS NOT NULL AND b IS NOT NULL").select(
+    edges, seen = written(oriented(links.where("a IS NOT NULL AND b IS NOT NULL").select(
         F.col("a").cast("long").alias("u"), F.col("b").cast("long").alias("v"))))
-    before = state(edges)
-    while True:
+    before = seen.get
+    while before["n"]:
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = oriented(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
         large = settle(large)
         root = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(root, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = settle(oriented(small.union(root)))
-        now = state(edges)
-        if now == before:
+        edges, seen = written(oriented(small.union(root)))
+        if seen.get == before:
             break
-        before = now
+        before = seen.get
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
         edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

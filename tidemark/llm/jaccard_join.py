@@ -23,19 +23,19 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import Batches, numbered, only_rows, text_of
+from tidemark.llm.common import Batches, give_back, numbered, only_rows, text_of
 from tidemark.llm.components import components
 from tidemark.session import scratch_path, settle, settle_sized
 
 BITS = 48  # of a shingle's hash
-ORDER_BITS = 22  # counters of the global order: 2**22, 16 MB
+ORDER_BITS = 21  # counters of the global order: 2**21, 8 MB
 SLICES = 64  # the counters travel in so many parts
 FRAGMENTS = 4
 PARITY = 1024  # bits of a set's parity map
 BROADCAST_BYTES = 32 << 20
-STAR_ROUNDS = 3
-CACHED = 500_000  # word hashes a task remembers
-WINDOW = 4_000_000  # prefix rows a task holds
+STAR_ROUNDS = 2
+CACHED = 150_000  # word hashes a task remembers
+WINDOW = 1_000_000  # prefix rows a task holds
 
 _MIX = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63]
 
@@ -110,12 +110,12 @@ def _enter(width: int):
         def count() -> None:
             nonlocal waiting
             if held:
-                counts[:] += np.bincount((np.concatenate(held) >> np.uint64(BITS - ORDER_BITS)).astype(np.int64),
-                                         minlength=len(counts)).astype(np.uint32)
+                classes = (np.concatenate(held) >> np.uint64(BITS - ORDER_BITS)).view(np.int64)
+                np.add(counts, np.bincount(classes, minlength=len(counts)), out=counts, casting="unsafe")
                 held.clear()
                 waiting = 0
 
-        for batch in batches:
+        for batch in (b.slice(k, 512) for b in batches for k in range(0, b.num_rows, 512)):
             rows, size = [], 0
             for uid, doc_id, body in zip(*(c.to_pylist() for c in batch.columns)):
                 tokens = shingles(body, width)
@@ -129,10 +129,10 @@ def _enter(width: int):
                         held.append(tokens)
                         waiting += len(tokens)
                 rows.append(("document", uid, doc_id, rep, len(tokens), None, None))
-                if size > 16 << 20:
+                if size > 4 << 20:
                     yield _batch(rows, _ENTRY)
                     rows, size = [], 0
-                if waiting > 2_000_000:
+                if waiting > 1_000_000:
                     count()
             if rows:
                 yield _batch(rows, _ENTRY)
@@ -141,6 +141,9 @@ def _enter(width: int):
             parts = counts.reshape(SLICES, -1)
             yield _batch([("order", k, None, None, None, None, zlib.compress(parts[k].astype("<u4").tobytes(), 1))
                           for k in range(SLICES)], _ENTRY)
+        del counts, seen
+        _words.clear()
+        give_back()
 
     return run
 
@@ -152,7 +155,7 @@ def _sum_counts(frame: pd.DataFrame) -> pd.DataFrame:
 
 def global_order(entries: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Rank of each hash class, rare first, and the ranks at which the order is cut into fragments of equal
-    weight. The driver gets the 2**22 counters, 32 MB at any size of the input."""
+    weight. The driver gets the counters, 16 MB at any size of the input."""
     parts = entries.where("kind = 'order'").select("uid", "data").groupBy("uid").applyInPandas(
         _sum_counts, "uid long, data binary").collect()
     counts = np.zeros((SLICES, (1 << ORDER_BITS) // SLICES), np.uint64)
@@ -162,7 +165,7 @@ def global_order(entries: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(counts, kind="stable")
     rank = np.empty(len(order), np.uint32)
     rank[order] = np.arange(len(order), dtype=np.uint32)
-    weight = np.cumsum(counts[order])
+    weight = np.cumsum(counts[order], out=counts)
     cuts = np.searchsorted(weight, weight[-1] * np.arange(1, FRAGMENTS) // FRAGMENTS)
     return rank, cuts.astype(np.uint64)
 
@@ -214,6 +217,8 @@ def _prefixes(order, num: int, den: int):
                     keys, uids, sizes, waiting = [], [], [], 0
         if keys:
             yield from close(keys, uids, sizes)
+        del keys
+        give_back()
 
     return run
 
@@ -260,6 +265,7 @@ def _cut(order):
                     rows = []
             if rows:
                 yield _batch(rows, _SLICE)
+        give_back()
 
     return run
 
@@ -372,8 +378,12 @@ class _Join:
                 F.when(F.col("a") > F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"),
                 F.when(F.col("a") > F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb")).distinct()
             fresh = settle(ordered_pairs.join(tried, ["a", "b"], "left_anti") if turn else ordered_pairs)
+            if fresh.isEmpty():
+                continue
             links = self.verified(fresh)
             tried = tried.union(fresh.select("a", "b"))
+            if links.isEmpty():
+                continue
             known = components(links.union(known.select("node", "root")))
             # shingles whose sets are still apart
             marked = groups.drop("root").join(known.select(F.col("node").alias("uid"), "root"), "uid", "left").select(
