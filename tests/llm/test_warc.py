@@ -3,9 +3,10 @@ import hashlib
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.cases import CLASHING, _EXTRA, written
-from tidemark.llm.warc import read_warc, write_warc
+from tidemark.llm.warc import read_warc, task_keys, write_warc
 
 PAGES = f"page_id long, url string, html string, {CLASHING}"
 
@@ -64,3 +65,8 @@ def test_uncommitted_files_are_not_read_and_damage_is_seen(spark, folder):
 
 def test_empty_table(spark, folder):
     assert read_warc(spark, write_warc(table(spark, folder, []), f"{folder}/warc")).count() == 0
+
+
+def test_every_file_has_a_task_of_its_own(spark):
+    keys = spark.createDataFrame([(k,) for k in task_keys(spark, 9)], "task int").repartition(9, "task")
+    assert keys.select(F.spark_partition_id().alias("p")).distinct().count() == 9

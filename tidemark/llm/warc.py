@@ -149,13 +149,22 @@ def _file_system(path: str) -> tuple[pa.fs.FileSystem, str]:
     return pa.fs.FileSystem.from_uri(path)
 
 
-def _place(starts: list[tuple]):
+def task_keys(spark: SparkSession, n: int) -> list[int]:
+    """For each of n partitions a number that hash partitioning deals to it, so that n files meet n tasks."""
+    task = F.pmod(F.hash(F.col("id").cast("int")), F.lit(n)).alias("task")
+    found = spark.range(20 * n + 100).groupBy(task).agg(F.min("id").cast("int").alias("key")).collect()
+    keys = {r["task"]: r["key"] for r in found}
+    return [keys.get(k, k) for k in range(n)]
+
+
+def _place(starts: list[tuple], tasks: list[int]):
     def run(batches: Batches) -> Batches:
         for batch in batches:
             keys = zip(*(batch.column(c).to_pylist() for c in _KEY))
             files = [bisect.bisect_right(starts, key) - 1 for key in keys]
-            yield pa.RecordBatch.from_arrays([pa.array(files, pa.int32()), *batch.columns],
-                                             names=["file", *batch.schema.names])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([tasks[f] for f in files], pa.int32()), pa.array(files, pa.int32()), *batch.columns],
+                names=["task", "file", *batch.schema.names])
 
     return run
 
@@ -223,8 +232,10 @@ def write_warc(pages: DataFrame, path: str, page_id: str = "page_id", url: str =
     system, base = _file_system(path)
     system.create_dir(f"{base}/_temporary", recursive=True)
     keyed = _keyed(records).select(*_KEY, "size", "record")
-    placed = keyed.mapInArrow(_place(starts), T.StructType([T.StructField("file", T.IntegerType()), *keyed.schema.fields]))
-    placed.repartition(max(1, len(starts)), "file").sortWithinPartitions("file", *_KEY, "size").mapInArrow(
+    tasks = max(1, len(starts))
+    numbers = [T.StructField(c, T.IntegerType()) for c in ("task", "file")]
+    placed = keyed.mapInArrow(_place(starts, task_keys(spark, tasks)), T.StructType([*numbers, *keyed.schema.fields]))
+    placed.repartition(tasks, "task").sortWithinPartitions("file", *_KEY, "size").mapInArrow(
         _write(path), "name string, records long, bytes long, sha256 string").write.json(f"{path}/manifest")
     return path
 
