@@ -8,7 +8,7 @@ Frequencies for the order come from a table of counters of fixed size that every
 the result does not depend on how well they are known. Equal sets of a task are one set from the start.
 Sets that share a prefix shingle are not paired with each other but with one of them, which joins most
 of a group of copies; later rounds look only at shingles whose sets are still in different components,
-and the last tries every pair left there. So a group of similar documents costs links in proportion
+and the last tries every pair left there that the places of the shingle in both sets allow. So a group of similar documents costs links in proportion
 to its size, and no link between different components is missed.
 """
 
@@ -179,9 +179,9 @@ def ordered(data: bytes, rank: np.ndarray) -> np.ndarray:
     return places
 
 
-_PREFIX = pa.schema([("key", pa.int64()), ("uid", pa.int64()), ("n", pa.int64()), ("copies", pa.int64()),
-                     ("member", pa.bool_())])
-_PREFIX_DDL = "key long, uid long, n long, copies long, member boolean"
+_PREFIX = pa.schema([("key", pa.int64()), ("uid", pa.int64()), ("n", pa.int64()), ("place", pa.int64()),
+                     ("copies", pa.int64()), ("member", pa.bool_())])
+_PREFIX_DDL = "key long, uid long, n long, place long, copies long, member boolean"
 
 
 def _prefixes(order, num: int, den: int):
@@ -189,18 +189,19 @@ def _prefixes(order, num: int, den: int):
     the others are marked as members and are known to share it."""
 
     def close(keys: list, uids: list, sizes: list) -> Iterator[pa.RecordBatch]:
+        counts = [len(k) for k in keys]
         key = np.concatenate(keys)
-        uid = np.repeat(np.array(uids, np.int64), [len(k) for k in keys])
-        n = np.repeat(np.array(sizes, np.int64), [len(k) for k in keys])
+        uid, n = (np.repeat(np.array(x, np.int64), counts) for x in (uids, sizes))
+        place = np.concatenate([np.arange(k) for k in counts])
         by = np.lexsort((uid, key))
-        key, uid, n = key[by], uid[by], n[by]
+        key, uid, n, place = key[by], uid[by], n[by], place[by]
         first = np.concatenate(([True], key[1:] != key[:-1]))
         copies = np.diff(np.append(np.flatnonzero(first), len(key)))
         copies = np.repeat(copies, copies)
         for at in range(0, len(key), 65536):
             to = slice(at, at + 65536)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c[to]) for c in (key.astype(np.int64), uid, n, copies.astype(np.int64), ~first)], schema=_PREFIX)
+                [pa.array(c[to]) for c in (key.astype(np.int64), uid, n, place, copies.astype(np.int64), ~first)], schema=_PREFIX)
 
     def run(batches: Batches) -> Batches:
         rank = order.value[0]
@@ -318,14 +319,17 @@ class _Join:
         self.order = spark.sparkContext.broadcast(global_order(entries))
 
     def groups(self) -> DataFrame:
-        """key, uid, n: the sets that share a prefix shingle with another one."""
+        """The sets that share a prefix shingle with another one: key, uid, n, the place of the shingle in the
+        set's order, and whether the set may be the smaller one of a pair that has it as its first."""
         found = self.sets.select("uid", "n", "data").mapInArrow(_prefixes(self.order, self.num, self.den), _PREFIX_DDL)
         path = scratch_path(found.sparkSession, "prefixes")
         # members are known to share their shingle; only the others have to meet across tasks
         meet = found.where("NOT member").repartition("key").sortWithinPartitions("key").mapInArrow(_shared, _PREFIX_DDL)
-        meet.select("key", "uid", "n").write.parquet(f"{path}/first")
-        found.where("member").select("key", "uid", "n").write.parquet(f"{path}/member")
-        return found.sparkSession.read.schema("key long, uid long, n long").parquet(f"{path}/first", f"{path}/member")
+        columns = ["key", "uid", "n", "place"]
+        meet.select(*columns).write.parquet(f"{path}/first")
+        found.where("member").select(*columns).write.parquet(f"{path}/member")
+        rows = found.sparkSession.read.schema("key long, uid long, n long, place long").parquet(f"{path}/first", f"{path}/member")
+        return rows.withColumn("low", self.early(F.col("n"), F.col("place"), 2 * F.col("n")))
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The linked ones of the pairs a, b, na, nb."""
@@ -345,30 +349,50 @@ class _Join:
             "a", "b", "na", "nb").agg(F.sum("common").alias("common"))
         return settle(sums.where(self.den * F.col("common") >= self.num * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b"))
 
-    def near(self) -> Column:
-        """Whether two sizes allow the threshold."""
+    def early(self, n: Column, place: Column, total: Column) -> Column:
+        """Whether a shingle stands early enough in a set of ``n`` to be the first that a linked pair of
+        ``total`` shingles shares: what comes from it on must hold their overlap, num/(num+den) of the total."""
+        return (self.num + self.den) * (n - place) >= self.num * total
+
+    def feasible(self) -> Column:
+        """Whether a pair's sizes and the places of their shared shingle allow the threshold.
+
+        A linked pair passes at the first shingle that both have. There the smaller set is ``low``.
+        """
         small, large = F.least("na", "nb"), F.greatest("na", "nb")
-        return self.den * small >= self.num * large
+        total = F.col("na") + F.col("nb")
+        return (self.den * small >= self.num * large) & self.early(F.col("na"), F.col("pa"), total) & self.early(
+            F.col("nb"), F.col("pb"), total)
 
     def star(self, groups: DataFrame, turn: int) -> DataFrame:
-        """Each set with one set of its key in another component; each turn takes other ones."""
-        mark = (F.col("uid") if turn == 0 else F.xxhash64("uid", F.lit(turn))).alias("mark")
-        first = F.struct(mark, "uid", "n", "root")
+        """Each set with one set of its key in another component; each turn takes other ones.
+
+        First the one with fewest rarer shingles before the shared one: of a group of near copies that is
+        the closest to what they have in common.
+        """
+        mark = (F.col("place") if turn == 0 else F.xxhash64("uid", F.lit(turn))).alias("mark")
+        first = F.struct((~F.col("low")).alias("late"), mark, "uid", "n", "place", "root")
         hub = groups.groupBy("key").agg(F.min(first).alias("hub"))
         pairs = groups.join(hub, "key").where(F.col("root") != F.col("hub.root"))
-        return pairs.select(F.col("uid").alias("a"), F.col("hub.uid").alias("b"), F.col("n").alias("na"),
-                            F.col("hub.n").alias("nb")).where(self.near())
+        return pairs.select(
+            F.col("uid").alias("a"), F.col("hub.uid").alias("b"), F.col("n").alias("na"), F.col("hub.n").alias("nb"),
+            F.col("place").alias("pa"), F.col("hub.place").alias("pb")).where(self.feasible())
 
     def rest(self, groups: DataFrame) -> DataFrame:
-        """Every pair of sets that share a key and are in different components."""
-        left = groups.select("key", F.col("uid").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-        right = groups.select("key", F.col("uid").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-        return left.join(right, "key").where("ra < rb").where(self.near()).select("a", "b", "na", "nb")
+        """Every pair of sets that share a key, may be linked and are in different components."""
+        left, right = (groups.select("key", F.col("uid").alias(x), F.col("n").alias(f"n{x}"), F.col("place").alias(f"p{x}"),
+                                     F.col("root").alias(f"r{x}"), F.col("low").alias(f"low_{x}")) for x in "ab")
+        # the smaller set (of equal ones the one with the smaller number) stands on the left
+        smaller = "na < nb OR (na = nb AND a < b)"
+        return left.where("low_a").join(right, "key").where(smaller).where("ra != rb").where(self.feasible())
 
     def roots(self) -> DataFrame:
         """node, root of every linked representative."""
         groups = self.groups().withColumn("root", F.col("uid"))
         spark = groups.sparkSession
+        # a shingle that stands late in all its sets is the first one of no linked pair
+        useful = groups.groupBy("key").agg(F.bool_or("low").alias("useful")).where("useful").select("key")
+        groups = settle(groups.join(useful, "key", "left_semi"))
         known = spark.createDataFrame([], "node long, root long")
         tried = spark.createDataFrame([], "a long, b long")
         for turn in range(STAR_ROUNDS + 1):
@@ -387,10 +411,10 @@ class _Join:
             known = components(links.union(known.select("node", "root")))
             # shingles whose sets are still apart
             marked = groups.drop("root").join(known.select(F.col("node").alias("uid"), "root"), "uid", "left").select(
-                "key", "uid", "n", F.coalesce("root", "uid").alias("root"))
+                "key", "uid", "n", "place", "low", F.coalesce("root", "uid").alias("root"))
             apart = marked.groupBy("key").agg(
-                F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("sets")).where(
-                "low < high AND sets > 2").select("key")
+                F.min("root").alias("first"), F.max("root").alias("last"), F.count(F.lit(1)).alias("sets")).where(
+                "first < last AND sets > 2").select("key")
             groups = settle(marked.join(apart, "key", "left_semi"))
             if groups.isEmpty():
                 break
