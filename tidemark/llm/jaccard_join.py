@@ -246,6 +246,12 @@ def _shared(batches: Batches) -> Batches:
         yield last
 
 
+def sized(df: DataFrame) -> DataFrame:
+    """The table, settled and measured: marked for broadcast up to ``BROADCAST_BYTES``, else to be shuffled."""
+    table, size = settle_sized(df)
+    return F.broadcast(table) if size <= BROADCAST_BYTES else table
+
+
 _SLICE = pa.schema([("uid", pa.int64()), ("fragment", pa.int32()), ("data", pa.binary())])
 
 
@@ -336,10 +342,9 @@ class _Join:
         heads = self.sets.select("uid", "bits")
         maps = pairs.join(heads.select(F.col("uid").alias("a"), F.col("bits").alias("left")), "a").join(
             heads.select(F.col("uid").alias("b"), F.col("bits").alias("right")), "b")
-        likely = settle(maps.select("a", "b", "na", "nb", "left", "right").mapInArrow(
+        likely = sized(maps.select("a", "b", "na", "nb", "left", "right").mapInArrow(
             _possible(self.num, self.den), "a long, b long, na long, nb long"))
-        wanted, size = settle_sized(likely.select(F.explode(F.array("a", "b")).alias("uid")).distinct())
-        wanted = F.broadcast(wanted) if size <= BROADCAST_BYTES else wanted
+        wanted = sized(likely.select(F.explode(F.array("a", "b")).alias("uid")).distinct())
         slices = settle(self.sets.select("uid", "data").join(wanted, "uid", "left_semi").mapInArrow(
             _cut(self.order), "uid long, fragment int, data binary"))
         left = slices.select(F.col("uid").alias("a"), "fragment", F.col("data").alias("left"))
@@ -391,7 +396,7 @@ class _Join:
         groups = self.groups().withColumn("root", F.col("uid"))
         spark = groups.sparkSession
         # a shingle that stands late in all its sets is the first one of no linked pair
-        useful = groups.groupBy("key").agg(F.bool_or("low").alias("useful")).where("useful").select("key")
+        useful = sized(groups.groupBy("key").agg(F.bool_or("low").alias("useful")).where("useful").select("key"))
         groups = settle(groups.join(useful, "key", "left_semi"))
         known = spark.createDataFrame([], "node long, root long")
         tried = spark.createDataFrame([], "a long, b long")
@@ -401,7 +406,7 @@ class _Join:
                 F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"),
                 F.when(F.col("a") > F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"),
                 F.when(F.col("a") > F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb")).distinct()
-            fresh = settle(ordered_pairs.join(tried, ["a", "b"], "left_anti") if turn else ordered_pairs)
+            fresh = sized(ordered_pairs.join(tried, ["a", "b"], "left_anti") if turn else ordered_pairs)
             if fresh.isEmpty():
                 continue
             links = self.verified(fresh)
@@ -410,11 +415,11 @@ class _Join:
                 continue
             known = components(links.union(known.select("node", "root")))
             # shingles whose sets are still apart
-            marked = groups.drop("root").join(known.select(F.col("node").alias("uid"), "root"), "uid", "left").select(
+            marked = groups.drop("root").join(sized(known.select(F.col("node").alias("uid"), "root")), "uid", "left").select(
                 "key", "uid", "n", "place", "low", F.coalesce("root", "uid").alias("root"))
-            apart = marked.groupBy("key").agg(
+            apart = sized(marked.groupBy("key").agg(
                 F.min("root").alias("first"), F.max("root").alias("last"), F.count(F.lit(1)).alias("sets")).where(
-                "first < last AND sets > 2").select("key")
+                "first < last AND sets > 2").select("key"))
             groups = settle(marked.join(apart, "key", "left_semi"))
             if groups.isEmpty():
                 break
