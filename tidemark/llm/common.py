@@ -61,6 +61,13 @@ def give_back() -> None:
         trim(0)
 
 
+def in_slices(batches: Batches, rows: int = 512) -> Batches:
+    """The batches in short slices, so that only few texts are Python objects at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def in_batches(rows: Iterable[tuple], schema: pa.Schema, size: Callable[[tuple], int] | None = None,
                max_rows: int = 4096, max_bytes: int = 16 << 20) -> Batches:
     """Row tuples as record batches, bounded in rows and, by ``size`` of a row, in bytes."""

@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import Batches, in_batches, numbered, only_rows, text_of
+from tidemark.llm.common import Batches, give_back, in_batches, in_slices, numbered, only_rows, text_of
 from tidemark.session import settle
 
 _OVERHEAD = 400  # bytes that a terminal costs besides its string
@@ -186,11 +186,11 @@ def _mark(window_bytes: int, keep: str):
             uid, doc_id, _ = rows[first]
             out[first] = (uid, doc_id, sha, rep, len(data), int.from_bytes(key[:8], "big", signed=True), data,
                           best_id, best[2], count)
-        yield from in_batches(out, _MARKED, lambda row: len(row[6] or b""))
+        yield from in_batches(out, _MARKED, lambda row: len(row[6] or b""), max_bytes=4 << 20)
 
     def run(batches: Batches) -> Batches:
         held, weight = [], 0
-        for batch in batches:
+        for batch in in_slices(batches):
             for uid, doc_id, data in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 held.append((uid, doc_id, data))
                 weight += len(data)
@@ -199,6 +199,8 @@ def _mark(window_bytes: int, keep: str):
                     held, weight = [], 0
         if held:
             yield from close(held)
+        del held
+        give_back()
 
     return run
 
@@ -209,7 +211,7 @@ _OWNERS = pa.schema([("rep", pa.int64()), ("keep_id", pa.int64()), ("keep_uid",
 def _owners(budget: int, keep: str):
     def run(batches: Batches) -> Batches:
         trie = PatriciaTrie(budget)
-        for batch in batches:
+        for batch in in_slices(batches):
             for rep, length, digest, data, best_id, best_uid, n in zip(*(c.to_pylist() for c in batch.columns)):
                 trie.add(_key(length, digest, data), _rank(best_id, best_uid, keep), n, [rep])
 
@@ -220,12 +222,14 @@ def _owners(budget: int, keep: str):
                     yield rep, keep_id, best[2], count
 
         yield from in_batches(rows(), _OWNERS)
+        del trie
+        give_back()
 
     return run
 
 
 def exact_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep: str = "smallest",
-                     window_bytes: int = 64 << 20, trie_bytes: int = 256 << 20) -> DataFrame:
+                     window_bytes: int = 24 << 20, trie_bytes: int = 256 << 20) -> DataFrame:
     """One row per row of ``docs``: uid, doc_id, keep_id, group_size, kept, text_sha256 (writes a table).
 
     Texts are equal when their UTF-8 bytes are. Of equal texts the row with the smallest identifier

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import Batches, numbered, text_of
+from tidemark.llm.common import Batches, give_back, in_slices, numbered, text_of
 
 # what only the tokenizers library is asked to encode: characters beyond the basic plane, where the two
 # libraries may know different Unicode versions, and very long runs without a blank
@@ -124,7 +124,7 @@ def _split(path: str, capacity: int, end_id: int, window: int = 4 << 20):
 
     def run(batches: Batches) -> Batches:
         held, weight = [], 0
-        for batch in batches:
+        for batch in in_slices(batches):
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 held.append(row)
                 weight += len(row[2])
@@ -133,6 +133,7 @@ def _split(path: str, capacity: int, end_id: int, window: int = 4 << 20):
                     held, weight = [], 0
         if held:
             yield from cut(held)
+        give_back()
 
     return run
 

@@ -19,7 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import Batches, numbered, only_rows, text_of
+from tidemark.llm.common import Batches, give_back, in_slices, numbered, only_rows, text_of
 from tidemark.session import settle, settle_sized
 
 #: Rule scores and the ladders of cutoffs; a document fails a rule when its score exceeds the cutoff.
@@ -78,11 +78,12 @@ _DDL = ", ".join(["uid long, doc_id long, stratum string", *[f"{c} long" for c i
 
 
 def _measure(batches: Batches) -> Batches:
-    for batch in batches:
+    for batch in in_slices(batches):
         uid, doc_id, stratum, body = batch.columns
         columns = list(zip(*map(measures, body.to_pylist()))) or [[]] * (len(_SCHEMA) - 3)
         yield pa.RecordBatch.from_arrays(
             [uid, doc_id, stratum, *(pa.array(c, f.type) for c, f in zip(columns, list(_SCHEMA)[3:]))], schema=_SCHEMA)
+    give_back()
 
 
 def measured(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", stratum: str = "lang") -> DataFrame:

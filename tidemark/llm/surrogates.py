@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.llm.common import Batches, in_batches, text_of
+from tidemark.llm.common import Batches, give_back, in_batches, in_slices, text_of
 from tidemark.session import settle, settle_sized
 
 BROADCAST_BYTES = 16 << 20
@@ -233,7 +233,7 @@ def _detect(batches: Batches) -> Batches:
 
     def rows() -> Iterator[tuple]:
         seen: set[tuple[str, str]] = set()
-        for batch in batches:
+        for batch in in_slices(batches):
             for text in batch.column(0).to_pylist():
                 seen.update((kind, value) for _, _, kind, value in found_entities(text))
             if len(seen) > 100_000:
@@ -242,6 +242,7 @@ def _detect(batches: Batches) -> Batches:
         yield from seen
 
     yield from in_batches(rows(), _ENTITY)
+    give_back()
 
 
 _DRAWN = pa.schema([("kind", pa.string()), ("value", pa.string()), ("attempt", pa.int32()), ("surrogate", pa.string())])
@@ -286,7 +287,7 @@ _LISTED = pa.schema([("uid", pa.int64()), ("kind", pa.string()), ("value", pa.st
 
 
 def _list(batches: Batches) -> Batches:
-    for batch in batches:
+    for batch in in_slices(batches):
         rows = ((uid, kind, value) for uid, text in zip(*(c.to_pylist() for c in batch.columns))
                 for kind, value in {(kind, value) for _, _, kind, value in found_entities(text)})
         yield from in_batches(rows, _LISTED)
@@ -298,7 +299,7 @@ _SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.Stru
 
 def _replace(key: bytes, place: int, spans: bool, shared):
     def run(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in in_slices(batches):
             names = batch.schema.names
             own = batch.column(len(names) - 1).to_pylist() if shared is None else None
             done = [("", []) if t is None else replace_entities(t, key, shared.value if shared else dict(own[k] or ()))
@@ -312,6 +313,7 @@ def _replace(key: bytes, place: int, spans: bool, shared):
                     [("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("replacement", pa.string())]))))
                 fields = [*fields, "spans"]
             yield pa.RecordBatch.from_arrays(columns, names=fields)
+        give_back()
 
     return run
 
