@@ -74,5 +74,23 @@ def test_documents(spark, folder, limit, monkeypatch):
     assert all(r.text == untouched[r.doc_id] for r in got if r.doc_id in untouched and r.doc_id not in (None, 20))
 
 
+@pytest.mark.parametrize("around", ["({})", '"{}"', "Author:{}", "[{},", "<b>{}</b>", "«{}»", "by/{}."])
+@pytest.mark.parametrize("person, kinds", [
+    ("John Smith", ["given_latin_m", "surname"]), ("Mary Jones", ["given_latin_f", "surname"]), ("Mr. Jones", ["surname"]),
+    ("Dr Smith", ["surname"]), ("Анна Иванова", ["given_cyrillic_f", "surname"])])
+def test_planted_names_are_found_beside_any_mark(around, person, kinds):
+    text = f"written {around.format(person)} in spring"
+    found = found_entities(text)
+    assert [kind for _, _, kind, _ in found] == kinds
+    assert " ".join(text[a:b] for a, b, _, _ in found) == person.removeprefix("Mr. ").removeprefix("Dr ")
+
+
+def test_a_planted_person_is_replaced_alike_everywhere(spark, folder):
+    rows = [(1, "seen by John Smith today"), (2, "(John Smith)"), (3, 'said "John Smith"')]
+    new = dict(with_surrogates(documents(spark, folder, rows), "key").select("doc_id", "text").collect())
+    person = new[1].removeprefix("seen by ").removesuffix(" today")
+    assert person != "John Smith" and new[2] == f"({person})" and new[3] == f'said "{person}"'
+
+
 def test_empty_table(spark, folder):
     assert with_surrogates(documents(spark, folder, []), "key").count() == 0

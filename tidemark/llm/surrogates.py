@@ -48,7 +48,6 @@ _SECRET = re.compile(r"""(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key|a
 _SECRET_HINTS = ("pass", "pwd", "ecret", "oken", "key", "PASS", "PWD", "ECRET", "OKEN", "KEY", "Key")
 _TITLED = re.compile(r"\b(?:" + "|".join(TITLES) + r")\.? ((?:[^\W\d_a-z]\w+ )?[^\W\d_a-z][^\W\d_]+)")
 _NAMED = re.compile(r"\b(" + "|".join(sorted(_SEX_OF, key=len, reverse=True)) + r")((?: [^\W\d_a-zа-яά-ώß-ÿ][^\W\d_]+)+)")
-_NAME_HINTS = frozenset(_SEX_OF) | frozenset(TITLES) | frozenset(t + "." for t in TITLES)
 
 
 def luhn(digits: str) -> bool:
@@ -104,11 +103,12 @@ def found_entities(text: str) -> list[tuple[int, int, str, str]]:
             value = re.sub(r"\D", "", m[0])
             if 10 <= len(value) <= 15:
                 keep(*m.span(), "phone", value)
-    if not _NAME_HINTS.isdisjoint(text.split()):
+    if any(name in text for name in _SEX_OF):
         for m in _NAMED.finditer(text):
             script, sex = _SEX_OF[m[1]]
             keep(*m.span(1), f"given_{script}_{sex}", m[1])
             _keep_words(m.start(2), m[2], keep)
+    if any(title in text for title in TITLES):
         for m in _TITLED.finditer(text):
             _keep_words(m.start(1), m[1], keep)
     return sorted(found)
