@@ -92,5 +92,12 @@ def test_a_planted_person_is_replaced_alike_everywhere(spark, folder):
     assert person != "John Smith" and new[2] == f"({person})" and new[3] == f'said "{person}"'
 
 
+@pytest.mark.parametrize("keyword", ["Password: ", "Passwd=", "Pwd=", "pWd = ", "paSSword='", "SeCreT: ", "tOKEN=", "API_KeY=", "access-kEy: ",
+                                     "pa\u017f\u017fword="])
+def test_a_secret_is_found_after_its_keyword_in_any_case(keyword):
+    assert [(kind, value) for *_, kind, value in found_entities(f"{keyword}hunter22xyz")] == [("secret", "hunter22xyz")]
+    assert "hunter22xyz" not in replace_entities(f"{keyword}hunter22xyz", KEY)[0]
+
+
 def test_empty_table(spark, folder):
     assert with_surrogates(documents(spark, folder, []), "key").count() == 0

@@ -45,7 +45,7 @@ _CARD = re.compile(r"(?<![\w-])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{
 _IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
 _ACCESS = re.compile(r"(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w)")
 _SECRET = re.compile(r"""(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\b["']?\s*[:=]\s*["']?)([A-Za-z0-9_+/=.-]{8,})""")
-_SECRET_HINTS = ("pass", "pwd", "ecret", "oken", "key", "PASS", "PWD", "ECRET", "OKEN", "KEY", "Key")
+_SECRET_HINTS = ("pass", "pwd", "secret", "token", "key")
 _TITLED = re.compile(r"\b(?:" + "|".join(TITLES) + r")\.? ((?:[^\W\d_a-z]\w+ )?[^\W\d_a-z][^\W\d_]+)")
 _NAMED = re.compile(r"\b(" + "|".join(sorted(_SEX_OF, key=len, reverse=True)) + r")((?: [^\W\d_a-zа-яά-ώß-ÿ][^\W\d_]+)+)")
 
@@ -78,7 +78,8 @@ def found_entities(text: str) -> list[tuple[int, int, str, str]]:
             taken.append((start, end))
             found.append((start, end, kind, value))
 
-    if any(h in text for h in _SECRET_HINTS):
+    folded = text.casefold()  # lower() would keep the long s, which the regex takes as an s
+    if any(h in folded for h in _SECRET_HINTS):
         for m in _SECRET.finditer(text):
             keep(*m.span(1), "secret", m[1])
     if "AKIA" in text or "ASIA" in text:
