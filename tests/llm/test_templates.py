@@ -65,3 +65,14 @@ def test_text_of_the_template_is_left_out_only_outside_articles():
 def test_odd_markup():
     assert [tidy(e.text) for e in events("<p title=\"a>b\">x</p><script>if (a<b) '</p>'</script>y<!-- <p>z --> w") if e.text] == ["x", "y", "w"]
     assert [tidy(e.text) for e in events("a < b <3 &#65;&eacute;") if e.text] == ["a < b <3 Aé"]
+
+
+@pytest.mark.parametrize("page", [
+    "<body class='single-post has-sidebar'><p>Own words", "<html class='has-banner'><body><article><p>Own words",
+    "<div class='content-sidebar-wrap'><div><article><p>Own words</article></div><div class='sidebar'>Side</div></div>",
+    "<div class='sidebar-layout'><main class='with-sidebar'><p>Own words</main></div>", "<article class='post no-comments'><p>Own words</article>",
+    "<div class='widget'><p>Own words</p></div><nav>Menu</nav>", "<body class='header-fixed'><div class='related-posts'><article>Other"
+    "</article></div><div class='with-alert'><article><p>Own words</article></div><section class='comments'><article>Reader"])
+def test_names_of_the_layout_are_no_asides(page):
+    assert extract(page, Template({}, {""})) == "Own words"
+    assert extract(page, Template({})) == "Own words"

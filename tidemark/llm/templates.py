@@ -44,6 +44,8 @@ _ASIDE_NAMES = set(
     "navigation menu breadcrumb breadcrumbs footer cookie cookies consent notice notices gdpr popup modal overlay newsletter "
     "subscribe subscription signup login share sharing social related recommended comment comments reply replies respond "
     "disqus widget widgets toolbar pagination pager alert copyright".split())
+_READER_NAMES = set("comment comments reply replies respond disqus".split())
+_WHOLE = {"html", "body", "main"}  # never an aside for their names
 _MAIN = {"article", "main"}
 _MAIN_NAMES = set("article main content post entry story".split())
 
@@ -58,12 +60,19 @@ _PARTS = re.compile(r"[\s_-]+|(?<=[a-z])(?=[A-Z])")
 
 @dataclass
 class Open:
-    """A container on the way down to a token."""
+    """A container on the way down to a token. ``aside`` is 2 for what the element is, 1 for how it is named."""
 
     name: str
     path: str
-    aside: bool
-    main: bool
+    up: Open | None = None
+    parts: frozenset[str] = frozenset()
+    barred: bool = False  # an aside for what it is
+    reader: bool = False  # named as a reader's comment
+    shut: bool = False  # it or one above it is barred, or has a name that begins as an aside's
+    central: bool = False  # may be the article
+    holds: bool = False  # is or holds a main element or the page's first article
+    aside: int = 0
+    main: bool = False
 
 
 @dataclass
@@ -72,7 +81,7 @@ class Event:
 
     token: str
     text: str | None
-    aside: bool
+    aside: int
     main: bool
     link: bool
     breaks: bool
@@ -86,27 +95,55 @@ def _container(name: str, rest: str, up: Open) -> Open:
     parts = {p.lower() for p in _PARTS.split(names)} if names else set()
     role, style = attributes.get("role", "").lower(), attributes.get("style", "").replace(" ", "").lower()
     hidden = "hidden" in attributes or "display:none" in style or attributes.get("aria-hidden", "").lower() == "true"
-    main = name in _MAIN or role == "main" or bool(parts & _MAIN_NAMES)
-    aside = (name in _ASIDE or hidden or bool(parts & _ASIDE_NAMES)
-             or (name == "header" or "header" in parts or "masthead" in parts) and not up.main
-             or role in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert"))
+    barred = (name in _ASIDE or hidden
+              or role in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert"))
+    reader = not _READER_NAMES.isdisjoint(names.lower().split())
+    begins = any(_PARTS.split(n)[0].lower() in _ASIDE_NAMES for n in names.split()) and name != "article" and name not in _WHOLE
     marks = "." + re.sub(r"\d+", "0", ".".join(sorted(parts))) if parts else ""
-    return Open(name, f"{up.path}/{name}{marks}", up.aside or aside, up.main or main and not (up.aside or aside))
+    # what a page's body is called says nothing of the texts in it
+    central = name in _MAIN or role == "main" or name not in _WHOLE and bool(parts & _MAIN_NAMES)
+    return Open(name, f"{up.path}/{name}{marks}", up, frozenset(parts), barred, reader,
+                up.shut or barred or begins or reader and name == "article", central, name == "main" or role == "main")
+
+
+def _judge(opened: list[Open]) -> None:
+    """Decides what is aside and what the article, once all containers of a page are known (in order)."""
+    first = next((box for box in opened if box.name == "article" and not box.shut), None)
+    for box in opened:
+        if box is first or box.holds:
+            up = box
+            while up is not None and not (up.holds and up is not box):
+                up.holds, up = True, up.up
+    for box in opened:
+        kept = box.holds or box.name in _WHOLE or box.name == "article" and not box.reader
+        named = not kept and (not box.parts.isdisjoint(_ASIDE_NAMES)
+                              or not box.up.main and not box.parts.isdisjoint(("header", "masthead")))
+        barred = box.barred or box.name == "header" and not box.up.main
+        box.aside = max(box.up.aside, 2 if barred else int(named))
+        box.main = box.up.main or box.central and not box.aside
 
 
 def events(page: str) -> Iterator[Event]:
     """The tokens and texts of a page in order. Comments, scripts, styles and other raw elements are one
     token without text; tags that end with the page are cut off like the page."""
-    stack = [Open("", "", False, False)]
+    found, opened = _walked(page)
+    _judge(opened)
+    for token, text, box, link, breaks in found:
+        yield Event(token, text, box.aside, box.main, link, breaks)
+
+
+def _walked(page: str) -> tuple[list[tuple], list[Open]]:
+    """Token, text, container, link and break of each event, and the containers in order."""
+    stack, opened, found = [Open("", "")], [], []
     token, link, at = "", 0, 0
     for tag in [*_TAG.finditer(page), None]:
         text = page[at:tag.start() if tag else len(page)]
         if text and not text.isspace():
-            yield Event(token, text, stack[-1].aside, stack[-1].main, link > 0, False)
+            found.append((token, text, stack[-1], link > 0, False))
         elif text:
-            yield Event(token, " ", stack[-1].aside, stack[-1].main, link > 0, False)
+            found.append((token, " ", stack[-1], link > 0, False))
         if tag is None:
-            return
+            return found, opened
         at = tag.end()
         name = (tag["raw"] or tag["name"] or "").lower()
         if not name:
@@ -135,11 +172,12 @@ def events(page: str) -> Iterator[Event]:
                 stack.pop()
             if not tag["rest"].endswith("/") or name in ("div", "p"):
                 stack.append(_container(name, tag["rest"], stack[-1]))
+                opened.append(stack[-1])
                 token = stack[-1].path
                 link = 0
             else:
                 token = f"{stack[-1].path}/{name}"
-        yield Event(token, None, stack[-1].aside, stack[-1].main, link > 0, name not in _INLINE)
+        found.append((token, None, stack[-1], link > 0, name not in _INLINE))
 
 
 def tidy(text: str) -> str:
@@ -259,7 +297,8 @@ def _sight(shared):
 
 
 def extract(page: str, template: Template) -> str:
-    """The text in the article's slots; if this page has none there, in any slot outside the asides."""
+    """The text in the article's slots; if this page has none there, in any slot outside the asides; if there is
+    none either, also in what is an aside for its name alone."""
     def text(wanted) -> str:
         pieces = []
         for slot, event, block in slots_of(page, template):
@@ -272,7 +311,8 @@ def extract(page: str, template: Template) -> str:
         return " ".join(" ".join(pieces).split())
 
     found = text(lambda slot, event: slot in template.slots and not event.aside)
-    return found or text(lambda slot, event: not event.aside and not event.link)
+    return (found or text(lambda slot, event: not event.aside and not event.link)
+            or text(lambda slot, event: event.aside < 2 and not event.link))
 
 
 _TEXT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
