@@ -76,3 +76,18 @@ def test_odd_markup():
 def test_names_of_the_layout_are_no_asides(page):
     assert extract(page, Template({}, {""})) == "Own words"
     assert extract(page, Template({})) == "Own words"
+
+
+def texts_of(spark, folder, pages: list[str], **options) -> list[str]:
+    rows = [(k, f"http://host.example.org/{k}", page) for k, page in enumerate(pages)]
+    return [r.text for r in main_text(table(spark, folder, rows), **options).orderBy("page_id").collect()]
+
+
+@pytest.mark.parametrize("limit", [1 << 24, 0])
+def test_text_behind_tokens_of_varying_order_stays(spark, folder, limit):
+    figure, quote = "<figure><div>Fig {0}</div></figure>", "<blockquote>Said {0}</blockquote>"
+    pages = [f"<body><article><h1>Head {k}</h1><div>Lead {k}</div>{(figure + quote if k % 2 else quote + figure).format(k)}"
+             f"{'<p>More</p>' * (k + 1)}</article>" for k in range(6)]
+    assert texts_of(spark, folder, pages, broadcast_bytes=limit) == [
+        " ".join([f"Head {k} Lead {k}", *([f"Fig {k}", f"Said {k}"] if k % 2 else [f"Said {k}", f"Fig {k}"]), *["More"] * (k + 1)])
+        for k in range(6)]

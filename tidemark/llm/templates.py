@@ -252,9 +252,9 @@ def slots_of(page: str, template: Template) -> Iterator[tuple[str, Event, bool]]
         fresh_block = False
 
 
-_SIGHT = pa.schema([("host", pa.string()), ("what", pa.string()), ("name", pa.string()), ("low", pa.int64()),
-                    ("high", pa.int64()), ("chars", pa.int64()), ("links", pa.int64())])
-_SIGHT_DDL = "host string, what string, name string, low long, high long, chars long, links long"
+_SIGHT = pa.schema([("host", pa.string()), ("what", pa.string()), ("name", pa.string()), ("chars", pa.int64()),
+                    ("links", pa.int64())])
+_SIGHT_DDL = "host string, what string, name string, chars long, links long"
 
 
 def class_orders(page: str, template: Template) -> dict[int, int]:
@@ -268,12 +268,15 @@ def class_orders(page: str, template: Template) -> dict[int, int]:
     return {c: _hash("|".join(tokens), 3) for c, tokens in order.items()}
 
 
-def _sight(shared):
-    """Per task: the orders of each class and the text of each slot."""
+_ORDER = pa.schema([("host", pa.string()), ("class", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
+_ORDER_DDL = "host string, class long, low long, high long"
+
+
+def _orders(shared):
+    """Per task: the least and greatest order of each class."""
 
     def rows(batches: Batches) -> Iterator[tuple]:
         orders: dict[tuple[str, int], list[int]] = {}
-        texts: dict[tuple[str, str, str], list[int]] = {}
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 host, page = row[1], row[2]
@@ -281,14 +284,30 @@ def _sight(shared):
                 for c, order in class_orders(page, template).items():
                     seen = orders.setdefault((host, c), [order, order])
                     seen[:] = [min(seen[0], order), max(seen[1], order)]
+        yield from ((host, c, low, high) for (host, c), (low, high) in orders.items())
+
+    def run(batches: Batches) -> Batches:
+        yield from in_batches(rows(batches), _ORDER)
+
+    return run
+
+
+def _sight(shared):
+    """Per task: the text of each slot, told by the classes that extraction uses."""
+
+    def rows(batches: Batches) -> Iterator[tuple]:
+        texts: dict[tuple[str, str, str], list[int]] = {}
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                host, page = row[1], row[2]
+                template = Template(shared.value.get(host, {}) if shared else dict(row[3] or ()))
                 for slot, event, _ in slots_of(page, template):
                     kind = "aside" if event.aside else "main" if event.main else "other"
                     n = len(event.text)
                     seen = texts.setdefault((host, kind, slot), [0, 0])
                     seen[0] += n
                     seen[1] += n if event.link else 0
-        yield from ((host, "class", str(c), low, high, 0, 0) for (host, c), (low, high) in orders.items())
-        yield from ((host, kind, slot, 0, 0, chars, links) for (host, kind, slot), (chars, links) in texts.items())
+        yield from ((host, kind, slot, chars, links) for (host, kind, slot), (chars, links) in texts.items())
 
     def run(batches: Batches) -> Batches:
         yield from in_batches(rows(batches), _SIGHT)
@@ -371,21 +390,24 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", page
     candidates, size = settle_sized(tokens.join(large, ["host", "class"]).groupBy("host").agg(
         F.map_from_entries(F.collect_list(entry)).alias("classes")))
 
-    seen, shared = _by_host(rows.select("uid", "host", "page"), candidates, size, broadcast_bytes,
-                            lambda row: dict(row["classes"]))
+    bare = rows.select("uid", "host", "page")
+    seen, shared = _by_host(bare, candidates, size, broadcast_bytes, lambda row: dict(row["classes"]))
+    orders = seen.mapInArrow(_orders(shared), _ORDER_DDL).groupBy("host", "class").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"))
+    valid = orders.where("low = high").groupBy("host").agg(F.collect_set("class").alias("valid"))
+    # slots are sighted with exactly the classes that extraction uses
+    known, size = settle_sized(candidates.join(valid, "host", "left").select("host", F.map_filter(
+        "classes", lambda t, c: t.contains("#") | F.coalesce(F.array_contains("valid", c), F.lit(False))).alias("classes")))
+    seen, shared = _by_host(bare, known, size, broadcast_bytes, lambda row: dict(row["classes"]))
     sights = settle(seen.mapInArrow(_sight(shared), _SIGHT_DDL).groupBy("host", "what", "name").agg(
-        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("chars").alias("chars"), F.sum("links").alias("links")))
-    valid = sights.where("what = 'class' AND low = high").groupBy("host").agg(
-        F.collect_set(F.col("name").cast("long")).alias("valid"))
+        F.sum("chars").alias("chars"), F.sum("links").alias("links")))
     # the slots of a host's article
     with_main = sights.where("what = 'main' AND chars > 0").select("host").distinct().withColumn("has_main", F.lit(True))
     slots = sights.join(with_main, "host", "left").where(
         F.when(F.col("has_main"), F.col("what") == "main").otherwise((F.col("what") == "other") & (2 * F.col("links") <= F.col("chars")))
     ).groupBy("host").agg(F.collect_set("name").alias("slots"))
-    templates = hosts.select("host").join(candidates, "host", "left").join(valid, "host", "left").join(slots, "host", "left").select(
-        "host",
-        F.map_filter(F.coalesce("classes", F.create_map().cast("map<string,bigint>")),
-                     lambda t, c: t.contains("#") | F.coalesce(F.array_contains("valid", c), F.lit(False))).alias("classes"),
+    templates = hosts.select("host").join(known, "host", "left").join(slots, "host", "left").select(
+        "host", F.coalesce("classes", F.create_map().cast("map<string,bigint>")).alias("classes"),
         F.coalesce("slots", F.array().cast("array<string>")).alias("slots"))
     templates, size = settle_sized(templates)
     final, shared = _by_host(rows, templates, size, broadcast_bytes, lambda row: (dict(row["classes"]), set(row["slots"])))
