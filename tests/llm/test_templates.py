@@ -91,3 +91,19 @@ def test_text_behind_tokens_of_varying_order_stays(spark, folder, limit):
     assert texts_of(spark, folder, pages, broadcast_bytes=limit) == [
         " ".join([f"Head {k} Lead {k}", *([f"Fig {k}", f"Said {k}"] if k % 2 else [f"Said {k}", f"Fig {k}"]), *["More"] * (k + 1)])
         for k in range(6)]
+
+
+@pytest.mark.parametrize("limit", [1 << 24, 0])
+def test_pages_of_several_templates_on_a_host(spark, folder, limit):
+    page = "<body>{2}<div class='page'><p>See <a href=r>the full report {0}</a> today, {1}</p><ul><li><a href=x>Links {0}</a></li></ul></div>"
+    pages = [f"<body><article><p>Own {k} {prose(k, 9)}</p></article><div class=x>Not it {k}</div>" for k in range(6)]
+    pages += [page.format(k, prose(k, 20), "") for k in range(6, 9)]
+    pages += [page.format(k, prose(k, 20), f"<div class='post-meta'>By X{k}</div>") for k in range(9, 12)]
+    found = texts_of(spark, folder, pages, broadcast_bytes=limit)
+    assert found[:6] == [f"Own {k} {prose(k, 9)}" for k in range(6)]
+    for k in range(6, 12):
+        assert found[k].startswith(f"By X{k} " * (k > 8) + f"See the full report {k} today, {prose(k, 20)}")
+
+
+def test_words_in_links_stay_in_the_fallback():
+    assert extract("<p>See <a>the full report</a> today<p><a>Home</a> x", Template({})) == "See the full report today"

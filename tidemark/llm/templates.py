@@ -28,6 +28,7 @@ from tidemark.session import settle, settle_sized
 
 BROADCAST_BYTES = 16 << 20
 LEAST_SHARE = 0.1  # of a host's pages that a template token must occur in
+LEAST_MAIN = 0.25  # of a page's text that its article must hold, else the page counts as one without
 SAME_TEXT_PAGES = 5  # a text outside the article is template only on a host with so many pages
 
 # What HTML says about its elements
@@ -231,10 +232,29 @@ def _vectors(batches: Batches) -> Batches:
 
 @dataclass
 class Template:
-    """A host's classes: of each token its class, which classes are valid, and the slots of the article."""
+    """A host's classes: of each token its class, which classes are valid, and the slots of the text: of pages
+    without an article, and of the article in pages that have one."""
 
     classes: dict[str, int]
     slots: set[str] = field(default_factory=set)
+    main: set[str] = field(default_factory=set)
+
+
+@dataclass
+class Block:
+    """A run of text that no tag breaks."""
+
+    slot: str
+    aside: int
+    main: bool
+    text: str = ""
+    chars: int = 0
+    links: int = 0
+
+    @property
+    def linked(self) -> bool:
+        """More than three quarters of it are link text."""
+        return 4 * self.links > 3 * self.chars
 
 
 def slots_of(page: str, template: Template) -> Iterator[tuple[str, Event, bool]]:
@@ -252,6 +272,32 @@ def slots_of(page: str, template: Template) -> Iterator[tuple[str, Event, bool]]
         fresh_block = False
 
 
+def blocks_of(page: str, template: Template) -> list[Block]:
+    blocks: list[Block] = []
+    for slot, event, fresh_block in slots_of(page, template):
+        if fresh_block or not blocks:
+            blocks.append(Block(slot, event.aside, event.main))
+        block, n = blocks[-1], len(event.text.strip())
+        block.text += html.unescape(event.text)
+        block.chars += n
+        block.links += n if event.link else 0
+    return blocks
+
+
+def body_of(blocks: list[Block]) -> tuple[list[Block], bool]:
+    """The blocks of a page that may be its text, and whether the main ones are its article; without any text outside the
+    asides, also those that are asides for their names alone."""
+    for level in (1, 2):
+        body = [b for b in blocks if b.chars and b.aside < level]
+        main = sum(b.chars for b in body if b.main)
+        other = sum(b.chars - b.links for b in body if not b.main and not b.linked)
+        if main and main >= LEAST_MAIN * (main + other):
+            return body, True
+        if any(not b.linked for b in body):
+            break
+    return body, False
+
+
 _SIGHT = pa.schema([("host", pa.string()), ("what", pa.string()), ("name", pa.string()), ("chars", pa.int64()),
                     ("links", pa.int64())])
 _SIGHT_DDL = "host string, what string, name string, chars long, links long"
@@ -301,12 +347,13 @@ def _sight(shared):
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 host, page = row[1], row[2]
                 template = Template(shared.value.get(host, {}) if shared else dict(row[3] or ()))
-                for slot, event, _ in slots_of(page, template):
-                    kind = "aside" if event.aside else "main" if event.main else "other"
-                    n = len(event.text)
-                    seen = texts.setdefault((host, kind, slot), [0, 0])
-                    seen[0] += n
-                    seen[1] += n if event.link else 0
+                body, article = body_of(blocks_of(page, template))
+                for block in body:
+                    if article and not block.main:
+                        continue
+                    seen = texts.setdefault((host, "main" if article else "other", block.slot), [0, 0])
+                    seen[0] += block.chars
+                    seen[1] += block.links
         yield from ((host, kind, slot, chars, links) for (host, kind, slot), (chars, links) in texts.items())
 
     def run(batches: Batches) -> Batches:
@@ -316,22 +363,12 @@ def _sight(shared):
 
 
 def extract(page: str, template: Template) -> str:
-    """The text in the article's slots; if this page has none there, in any slot outside the asides; if there is
-    none either, also in what is an aside for its name alone."""
-    def text(wanted) -> str:
-        pieces = []
-        for slot, event, block in slots_of(page, template):
-            if wanted(slot, event):
-                piece = html.unescape(event.text)
-                if block or not pieces:
-                    pieces.append(piece)
-                else:
-                    pieces[-1] += piece
-        return " ".join(" ".join(pieces).split())
-
-    found = text(lambda slot, event: slot in template.slots and not event.aside)
-    return (found or text(lambda slot, event: not event.aside and not event.link)
-            or text(lambda slot, event: event.aside < 2 and not event.link))
+    """The text in the article's slots; of a page without an article that in the slots of such pages, and if there
+    is none, all that is neither in an aside nor in a block of links."""
+    body, article = body_of(blocks_of(page, template))
+    found = [b for b in body if b.main and b.slot in template.main] if article else []
+    found = found or [b for b in body if b.slot in template.slots] or [b for b in body if b.main or not b.linked]
+    return " ".join(" ".join(b.text for b in found).split())
 
 
 _TEXT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
@@ -343,8 +380,9 @@ def _extract(shared):
             def rows(batch=batch):
                 for row in zip(*(c.to_pylist() for c in batch.columns)):
                     _, host, page, page_id, url = row[:5]
-                    classes, slots = shared.value.get(host, ({}, set())) if shared else (dict(row[5] or ()), set(row[6] or ()))
-                    yield page_id, url, extract(page, Template(classes, slots))
+                    classes, slots, main = shared.value.get(host, ({}, set(), set())) if shared else (
+                        dict(row[5] or ()), set(row[6] or ()), set(row[7] or ()))
+                    yield page_id, url, extract(page, Template(classes, slots, main))
 
             yield from in_batches(rows(), _TEXT, lambda row: len(row[2]))
 
@@ -366,8 +404,9 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", page
 
     The article's text without menus, headers, footers, sidebars, notices, adverts, forms, scripts,
     styles, markup and reader comments: character references decoded, white space folded, blocks
-    joined by a blank. Which slots are the article's is decided per host: those in an article or
-    main element, else all that are not asides and hold less than half link text. NULL or empty html
+    joined by a blank. A page that has at least a quarter of its text in an article or main element
+    gives that; of any other page all slots count that are not asides and hold, over such pages of the
+    host, no more than half link text. NULL or empty html
     gives an empty text; pages without a host form a host of their own; repeated rows give repeated
     rows; only the three named columns are read. Templates are broadcast up to ``broadcast_bytes``
     and joined by host beyond. Rows are numbered as read, so ``pages`` should come from files.
@@ -401,14 +440,13 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", page
     seen, shared = _by_host(bare, known, size, broadcast_bytes, lambda row: dict(row["classes"]))
     sights = settle(seen.mapInArrow(_sight(shared), _SIGHT_DDL).groupBy("host", "what", "name").agg(
         F.sum("chars").alias("chars"), F.sum("links").alias("links")))
-    # the slots of a host's article
-    with_main = sights.where("what = 'main' AND chars > 0").select("host").distinct().withColumn("has_main", F.lit(True))
-    slots = sights.join(with_main, "host", "left").where(
-        F.when(F.col("has_main"), F.col("what") == "main").otherwise((F.col("what") == "other") & (2 * F.col("links") <= F.col("chars")))
-    ).groupBy("host").agg(F.collect_set("name").alias("slots"))
+    # the slots of pages without an article, and of the articles
+    slots = sights.groupBy("host").agg(
+        F.collect_set(F.when((F.col("what") == "other") & (2 * F.col("links") <= F.col("chars")), F.col("name"))).alias("slots"),
+        F.collect_set(F.when(F.col("what") == "main", F.col("name"))).alias("main"))
     templates = hosts.select("host").join(known, "host", "left").join(slots, "host", "left").select(
         "host", F.coalesce("classes", F.create_map().cast("map<string,bigint>")).alias("classes"),
-        F.coalesce("slots", F.array().cast("array<string>")).alias("slots"))
+        *[F.coalesce(c, F.array().cast("array<string>")).alias(c) for c in ("slots", "main")])
     templates, size = settle_sized(templates)
-    final, shared = _by_host(rows, templates, size, broadcast_bytes, lambda row: (dict(row["classes"]), set(row["slots"])))
+    final, shared = _by_host(rows, templates, size, broadcast_bytes, lambda row: (dict(row["classes"]), set(row["slots"]), set(row["main"])))
     return final.mapInArrow(_extract(shared), "page_id long, url string, text string")
