@@ -107,3 +107,12 @@ def test_pages_of_several_templates_on_a_host(spark, folder, limit):
 
 def test_words_in_links_stay_in_the_fallback():
     assert extract("<p>See <a>the full report</a> today<p><a>Home</a> x", Template({})) == "See the full report today"
+
+
+def test_copies_and_pages_without_other_text_keep_it(spark, folder):
+    body = "<body><div>The same <b>te</b>xt</div><p>Another passage</p>{}"
+    copies = texts_of(spark, folder, [body.format("")] * 7)
+    assert copies == ["The same text Another passage"] * 7
+    stamped = [body.format(f"<nav>{k}</nav>") for k in range(7)]
+    assert texts_of(spark, folder, stamped) == ["The same text Another passage"] * 7
+    assert texts_of(spark, folder, [body.format(f"<p>Own {k}</p>") for k in range(7)]) == [f"Own {k}" for k in range(7)]

@@ -29,7 +29,7 @@ from tidemark.session import settle, settle_sized
 BROADCAST_BYTES = 16 << 20
 LEAST_SHARE = 0.1  # of a host's pages that a template token must occur in
 LEAST_MAIN = 0.25  # of a page's text that its article must hold, else the page counts as one without
-SAME_TEXT_PAGES = 5  # a text outside the article is template only on a host with so many pages
+SAME_TEXT_PAGES = 5  # a text outside the article is template only on a host with so many different pages
 
 # What HTML says about its elements
 _RAW = ("script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "math", "textarea", "title", "select")
@@ -247,6 +247,8 @@ class Block:
     slot: str
     aside: int
     main: bool
+    same: bool  # it stands on all pages of the host
+    fresh: bool  # a tag breaks the text before it
     text: str = ""
     chars: int = 0
     links: int = 0
@@ -257,26 +259,27 @@ class Block:
         return 4 * self.links > 3 * self.chars
 
 
-def slots_of(page: str, template: Template) -> Iterator[tuple[str, Event, bool]]:
-    """The texts of a page with the template token that opens their slot, and whether a block starts."""
-    slot, fresh_block = "", True
+def slots_of(page: str, template: Template) -> Iterator[tuple[str, Event, bool, bool]]:
+    """The texts of a page with the template token that opens their slot, whether a block starts, and whether it
+    is a text of the template (a blank is what the text before it is)."""
+    slot, fresh_block, same = "", True, False
     for event in events(page):
         if event.text is None:
             fresh_block |= event.breaks
             if event.token in template.classes:
                 slot = event.token
             continue
-        if not event.main and f"{event.token}#{_hash(tidy(event.text), 0):x}" in template.classes:
-            continue  # text of the template
-        yield slot, event, fresh_block
+        if not event.text.isspace() or fresh_block:
+            same = not event.main and f"{event.token}#{_hash(tidy(event.text), 0):x}" in template.classes
+        yield slot, event, fresh_block, same
         fresh_block = False
 
 
 def blocks_of(page: str, template: Template) -> list[Block]:
     blocks: list[Block] = []
-    for slot, event, fresh_block in slots_of(page, template):
-        if fresh_block or not blocks:
-            blocks.append(Block(slot, event.aside, event.main))
+    for slot, event, fresh_block, same in slots_of(page, template):
+        if fresh_block or not blocks or same != blocks[-1].same:
+            blocks.append(Block(slot, event.aside, event.main, same, fresh_block))
         block, n = blocks[-1], len(event.text.strip())
         block.text += html.unescape(event.text)
         block.chars += n
@@ -286,9 +289,10 @@ def blocks_of(page: str, template: Template) -> list[Block]:
 
 def body_of(blocks: list[Block]) -> tuple[list[Block], bool]:
     """The blocks of a page that may be its text, and whether the main ones are its article; without any text outside the
-    asides, also those that are asides for their names alone."""
-    for level in (1, 2):
-        body = [b for b in blocks if b.chars and b.aside < level]
+    asides, also those that are asides for their names alone. Text of the template counts only on a page that has
+    no other."""
+    for level, same in ((1, False), (1, True), (2, False), (2, True)):
+        body = [b for b in blocks if b.chars and b.aside < level and (same or not b.same)]
         main = sum(b.chars for b in body if b.main)
         other = sum(b.chars - b.links for b in body if not b.main and not b.linked)
         if main and main >= LEAST_MAIN * (main + other):
@@ -368,7 +372,7 @@ def extract(page: str, template: Template) -> str:
     body, article = body_of(blocks_of(page, template))
     found = [b for b in body if b.main and b.slot in template.main] if article else []
     found = found or [b for b in body if b.slot in template.slots] or [b for b in body if b.main or not b.linked]
-    return " ".join(" ".join(b.text for b in found).split())
+    return " ".join("".join(" " * b.fresh + b.text for b in found).split())
 
 
 _TEXT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
@@ -418,10 +422,13 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", page
     vectors = settle(parts.groupBy("host", "token").agg(
         F.sum("one").alias("one"), F.sum("two").alias("two"), F.sum("pages").alias("pages"), F.sum("total").alias("total")
     ).where("pages > 1 OR token = '' OR token NOT LIKE '%#%'"))
-    hosts = vectors.where("token = ''").select("host", F.col("pages").alias("all_pages"))
+    # copies of one page show nothing of what its host repeats
+    contents = rows.groupBy("host", F.xxhash64("page").alias("content")).agg(F.lit(1).alias("one")).groupBy("host").agg(
+        F.count(F.lit(1)).alias("contents"))
+    hosts = settle(vectors.where("token = ''").select("host", F.col("pages").alias("all_pages")).join(contents, "host"))
     frequent = vectors.where("token != ''").join(hosts, "host").where(
         (F.col("pages") >= LEAST_SHARE * F.col("all_pages"))
-        & (~F.col("token").contains("#") | (F.col("pages") == F.col("all_pages")) & (F.col("pages") >= SAME_TEXT_PAGES)))
+        & (~F.col("token").contains("#") | (F.col("pages") == F.col("all_pages")) & (F.col("contents") >= SAME_TEXT_PAGES)))
     number = F.xxhash64("one", "two", "pages", "total").alias("class")
     tokens = frequent.select("host", "token", number)
     large = tokens.groupBy("host", "class").agg(F.count(F.lit(1)).alias("tokens")).where("tokens > 1").select("host", "class")
