@@ -116,3 +116,12 @@ def test_copies_and_pages_without_other_text_keep_it(spark, folder):
     stamped = [body.format(f"<nav>{k}</nav>") for k in range(7)]
     assert texts_of(spark, folder, stamped) == ["The same text Another passage"] * 7
     assert texts_of(spark, folder, [body.format(f"<p>Own {k}</p>") for k in range(7)]) == [f"Own {k}" for k in range(7)]
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<p>a</p><svg class='icon' d='>'/><p>b</p><svg><text>no</text></svg>c", "a b c"), ("<SVG/>a<svg>no</svg>", "a"),
+    ("<title-bar>a</title-bar><select-box>b</select-box><object-view>c</object-view><title>no</title>", "a b c"),
+    ("<p>so <math><mi>x</mi><mo>=</mo><semantics><mn>1</mn><annotation encoding='tex'>no</annotation></semantics></math> holds", "so x=1 holds"),
+    ("a<math/>b<p>c", "ab c")])
+def test_raw_elements_end_where_they_do(page, text):
+    assert extract(page, Template({})) == text

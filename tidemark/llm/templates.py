@@ -32,10 +32,13 @@ LEAST_MAIN = 0.25  # of a page's text that its article must hold, else the page
 SAME_TEXT_PAGES = 5  # a text outside the article is template only on a host with so many different pages
 
 # What HTML says about its elements
-_RAW = ("script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "math", "textarea", "title", "select")
+_RAW = ("script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "textarea", "title", "select",
+        "annotation", "annotation-xml")
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small "
-              "span strike strong sub sup time tt u var wbr img".split())
+              "span strike strong sub sup time tt u var wbr img "
+              "math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace "
+              "msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split())
 _LEAVES = set("p h1 h2 h3 h4 h5 h6".split())  # often left open, so they are no containers
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 # Elements and names of elements that are not the article
@@ -51,7 +54,8 @@ _MAIN = {"article", "main"}
 _MAIN_NAMES = set("article main content post entry story".split())
 
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(_RAW) + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(_RAW) + r")(?=[\s/>])(?!(?<=<svg)(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>)"
+    r"[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[/!?a-zA-Z][^>]*(?:>|\Z)",
     re.S | re.I)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
