@@ -59,5 +59,13 @@ def test_loads_are_even_and_untouched_shards_stay(spark, folder):
     assert len(same) == len(rows) and not list((__import__("pathlib").Path(folder) / "same").glob("*/*.parquet"))
 
 
+def test_a_large_group_that_the_flow_splits_is_dealt_by_row(spark, folder):
+    # five groups for two shards, each under half of one, so that one has to be split
+    rows = [(k, f"text {k}") for k in range(300)] + [(1000 * g + k, f"hot {g} " * 20) for g in range(1, 6) for k in range(400)]
+    found = reshard(documents(spark, folder, rows), F.lit(0), [1.0] * 2, f"{folder}/even").toPandas()
+    loads = found.groupby("shard")["size"].sum()
+    assert len(found) == len(rows) and loads.max() < 1.03 * loads.min()
+
+
 def test_empty_table(spark, folder):
     assert reshard(documents(spark, folder, []), F.lit(0), [1.0, 1.0], f"{folder}/none").count() == 0

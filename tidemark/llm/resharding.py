@@ -1,7 +1,8 @@
 """Resharding by minimum-cost flow.
 
 Rows fall into a bounded number of blocks by a hash of their text, so equal texts share a block; a
-block too heavy for that (one text may fill a third of the table) is dealt again by row. From the
+block too heavy for that (one text may fill a third of the table), or large and split by the flow, is dealt
+again by row. From the
 bytes that each block has in each old shard, a minimum-cost flow finds the new shard of every block
 such that the capacities hold and the fewest bytes move. Only the shards that lose or gain rows are
 written again.
@@ -19,6 +20,10 @@ from tidemark.operators.positions import with_position
 from tidemark.session import settle
 
 
+# A block that the flow splits is dealt by row if it is over this part of a shard and has more rows than this
+LARGE, MANY_ROWS = 0.01, 64
+
+
 def solve_transfers(resident: np.ndarray, sizes: np.ndarray, capacities: np.ndarray) -> np.ndarray:
     """Bytes of each block for each new shard: the flow that moves the fewest bytes.
 
@@ -108,24 +113,33 @@ def plan_transfers(spark: SparkSession, rows: DataFrame, shares: Sequence[float]
         return frame.groupBy("block", "sub", old).agg(F.sum("size").alias("bytes")).collect()
 
     by_block: dict[int, int] = {}
-    sums = rows.groupBy("block").agg(F.sum("size").alias("bytes")).collect()
-    for block, size in sums:
-        by_block[block] = size
+    rows_of: dict[int, int] = {}
+    for block, size, n in rows.groupBy("block").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")).collect():
+        by_block[block], rows_of[block] = size, n
     total = sum(by_block.values())
     capacities = np.array(shares, float) / sum(shares) * total
-    limit = capacities.min() / 2
-    heavy = [(b, int(np.ceil(128 * s / capacities.min()))) for b, s in by_block.items() if s > limit]
-    splits = spark.createDataFrame(heavy, "block int, parts int")
-    parts: dict[tuple[int, int], int] = {}
-    found = sorted(tuple(r) for r in weights(_sub(splits, rows)))
-    for block, sub, _, _ in found:
-        parts.setdefault((block, sub), len(parts))
-    resident, sizes = np.zeros((len(parts), k)), np.zeros(len(parts))
-    for block, sub, old, size in found:
-        sizes[parts[block, sub]] += size
-        if 0 <= old < k:
-            resident[parts[block, sub], old] += size
-    shard = whole_blocks(solve_transfers(resident, sizes, capacities), sizes, capacities)
+    heavy = {b for b, s in by_block.items() if s > capacities.min() / 2}
+    while True:
+        splits = spark.createDataFrame([(b, int(np.ceil(128 * by_block[b] / capacities.min()))) for b in sorted(heavy)],
+                                       "block int, parts int")
+        parts: dict[tuple[int, int], int] = {}
+        found = sorted(tuple(r) for r in weights(_sub(splits, rows)))
+        for block, sub, _, _ in found:
+            parts.setdefault((block, sub), len(parts))
+        resident, sizes = np.zeros((len(parts), k)), np.zeros(len(parts))
+        for block, sub, old, size in found:
+            sizes[parts[block, sub]] += size
+            if 0 <= old < k:
+                resident[parts[block, sub], old] += size
+        flow = solve_transfers(resident, sizes, capacities)
+        # a large block of many rows that the flow splits would make a shard uneven as a whole
+        split = (flow > 1e-9 * np.maximum(sizes, 1)[:, None]).sum(axis=1) > 1
+        uneven = {b for (b, _), n in parts.items() if split[n] and b not in heavy
+                  and by_block[b] > LARGE * capacities.min() and rows_of[b] > MANY_ROWS}
+        if not uneven:
+            break
+        heavy |= uneven
+    shard = whole_blocks(flow, sizes, capacities)
     moves = spark.createDataFrame([(*key, int(s)) for key, s in zip(parts, shard)], "block int, sub int, shard int")
     stats = {"moved": float(sizes.sum() - resident[np.arange(len(parts)), shard].sum()) if parts else 0.0,
              "loads": np.bincount(shard, sizes, k).tolist() if parts else [0.0] * k}
@@ -139,7 +153,8 @@ def reshard(docs: DataFrame, old: Column, shares: Sequence[float], path: str, te
     ``old`` gives a row's present shard (NULL or outside the new range: it must move); ``shares`` are
     the relative capacities of the new shards. Size is the text's UTF-8 bytes plus one, NULL counting
     as empty. Loads differ from the capacities by less than a few blocks; equal texts share a shard
-    unless their block exceeds half of one. Shards that lose or gain rows are written below ``path``,
+    unless their block exceeds half of one, or has over 64 rows and a hundredth of one and the flow splits it.
+    Shards that lose or gain rows are written below ``path``,
     all columns of ``docs`` in one folder per shard, and the result is read from those files; rows of
     untouched shards come from ``docs``. Slots count from 0 in every shard, by doc_id (NULL first).
     Repeated rows are rows of their own, an empty table writes nothing, further columns may have any
