@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.llm.audits import repair_conversations
 from tidemark.llm.bpe import bpe_round_trip
 from tidemark.llm.exact_dedup import exact_duplicates
 from tidemark.llm.jaccard_join import jaccard_components
+from tidemark.llm.notices import license_scan
 from tidemark.llm.packing import pack_powers
 from tidemark.llm.quality import judged
 from tidemark.llm.resharding import reshard
@@ -141,3 +143,27 @@ def op6_template_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     found = main_text(table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op11_license_notices")
+def op11_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its license phrases, and the notices found with bounded errors."""
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Messages with faults planted by a checksum of their place; a dropped row stays, marked ``gone``."""
+    blank = F.lit(" ")
+    place = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), blank) for c in ("conv_id", "turn")])
+    fault = F.crc32(place.cast("binary")) % 20
+    text, role = F.coalesce("text", blank), F.coalesce("role", blank)
+    return rows.select(
+        "conv_id", "turn", F.when(fault == 4, "user").otherwise(role).alias("role"),
+        F.when(fault == 1, "").when(fault == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        (fault == 0).alias("gone"), F.explode(F.array_repeat(F.lit(0), F.when(fault == 3, 2).otherwise(1))).alias("copy"))
+
+
+@query("op13_audited_conversations")
+def op13_audited_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged and repaired by its cheapest edits."""
+    return repair_conversations(damaged(table(spark, sf_dir, "conversations")), gone=F.col("gone")).drop("messages")
