@@ -14,6 +14,7 @@ from tidemark.llm.notices import license_scan
 from tidemark.llm.packing import pack_powers
 from tidemark.llm.quality import judged
 from tidemark.llm.resharding import reshard
+from tidemark.llm.spellings import spelling_variants
 from tidemark.llm.surrogates import with_surrogates
 from tidemark.llm.templates import main_text
 from tidemark.llm.toxicity import toxicity, train_on
@@ -167,3 +168,9 @@ def damaged(rows: DataFrame) -> DataFrame:
 def op13_audited_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, damaged and repaired by its cheapest edits."""
     return repair_conversations(damaged(table(spark, sf_dir, "conversations")), gone=F.col("gone")).drop("messages")
+
+
+@query("op12_spelling_variants")
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with the spelling that it is a variant of."""
+    return spelling_variants(table(spark, sf_dir, "documents"))
