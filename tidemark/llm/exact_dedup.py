@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import Batches, give_back, in_batches, in_slices, numbered, only_rows, text_of
+from tidemark.llm.common import Batches, give_back, identified, in_batches, in_slices, only_rows, text_of
 from tidemark.session import settle
 
 _OVERHEAD = 400  # bytes that a terminal costs besides its string
@@ -241,7 +241,7 @@ def exact_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
     """
     if keep not in ("smallest", "largest"):
         raise ValueError(f"keep={keep!r}")
-    rows = numbered(docs, {"doc_id": F.col(f"`{doc_id}`").cast("long"), "data": text_of(text).cast("binary")})
+    rows = identified(docs, {"doc_id": F.col(f"`{doc_id}`").cast("long"), "data": text_of(text).cast("binary")})
     marked = settle(rows.mapInArrow(_mark(window_bytes, keep), _MARKED_DDL))
     strings = marked.where(F.col("data").isNotNull()).select(
         "rep", "length", "hash", "data", "best_id", "best_uid", "n")
@@ -255,7 +255,6 @@ def drop_exact_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "do
                           **limits: int) -> DataFrame:
     """``docs`` without its copies, all columns kept; which row stays: see ``exact_duplicates``.
 
-    The verdicts are joined by row number, so repeated and missing identifiers are safe; ``docs`` must be
-    read from files (see ``numbered``).
+    The verdicts are joined by row number, so repeated and missing identifiers are safe (see ``identified``).
     """
     return only_rows(docs, exact_duplicates(docs, text, doc_id, keep, **limits).where("kept"))

@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import Batches, give_back, numbered, only_rows, text_of
+from tidemark.llm.common import Batches, give_back, identified, only_rows, text_of
 from tidemark.llm.components import components
 from tidemark.session import scratch_path, settle, settle_sized
 
@@ -316,7 +316,7 @@ class _Join:
     def __init__(self, docs: DataFrame, text: str, doc_id: str, width: int, num: int, den: int):
         spark = docs.sparkSession
         self.num, self.den = num, den
-        rows = numbered(docs, {"doc_id": F.col(f"`{doc_id}`").cast("long"), "body": text_of(text)})
+        rows = identified(docs, {"doc_id": F.col(f"`{doc_id}`").cast("long"), "body": text_of(text)})
         path = scratch_path(spark, "shingles")
         rows.mapInArrow(_enter(width), _ENTRY_DDL).write.partitionBy("kind").parquet(path)
         entries = spark.read.schema(_ENTRY_DDL).parquet(path)
@@ -451,7 +451,6 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc
     """``docs`` with one row of each component (see ``jaccard_components``), all columns kept.
 
     The row with the smallest identifier stays, rows without one last, of equal ones the first.
-    ``docs`` must be read from files (see ``numbered``).
     """
     found = jaccard_components(docs, text, doc_id, **threshold)
     order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "uid")

@@ -19,7 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import Batches, give_back, in_slices, numbered, only_rows, text_of
+from tidemark.llm.common import Batches, give_back, identified, in_slices, only_rows, text_of
 from tidemark.session import settle, settle_sized
 
 #: Rule scores and the ladders of cutoffs; a document fails a rule when its score exceeds the cutoff.
@@ -88,7 +88,7 @@ def _measure(batches: Batches) -> Batches:
 
 def measured(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", stratum: str = "lang") -> DataFrame:
     """The counts and scores of every row; uid numbers the rows. NULL text counts as empty."""
-    rows = numbered(docs, {"doc_id": F.col(f"`{doc_id}`").cast("long"),
+    rows = identified(docs, {"doc_id": F.col(f"`{doc_id}`").cast("long"),
                            "stratum": F.coalesce(F.col(f"`{stratum}`").cast("string"), F.lit("")),
                            "body": text_of(text)})
     return rows.mapInArrow(_measure, _DDL).withColumn("base_failed", (F.col("n_words") < 50) | (
@@ -198,7 +198,6 @@ def judged(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows that ``judged`` rejects; all columns stay.
 
-    The verdicts are joined by row number: repeated and missing identifiers are safe. ``docs`` must be
-    read from files (see ``numbered``).
+    The verdicts are joined by row number: repeated and missing identifiers are safe.
     """
     return only_rows(docs, judged(docs, labels, **options).where("kept"))

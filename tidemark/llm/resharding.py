@@ -15,7 +15,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import fresh, text_of
+from tidemark.llm.common import fresh, identified, text_of
 from tidemark.operators.positions import with_position
 from tidemark.session import settle
 
@@ -118,9 +118,10 @@ def plan_transfers(spark: SparkSession, rows: DataFrame, shares: Sequence[float]
         by_block[block], rows_of[block] = size, n
     total = sum(by_block.values())
     capacities = np.array(shares, float) / sum(shares) * total
-    heavy = {b for b, s in by_block.items() if s > capacities.min() / 2}
+    least = capacities[capacities > 0].min() if total else 1.0  # a shard with no share gives up all its rows
+    heavy = {b for b, s in by_block.items() if s > least / 2}
     while True:
-        splits = spark.createDataFrame([(b, int(np.ceil(128 * by_block[b] / capacities.min()))) for b in sorted(heavy)],
+        splits = spark.createDataFrame([(b, int(np.ceil(128 * by_block[b] / least))) for b in sorted(heavy)],
                                        "block int, parts int")
         parts: dict[tuple[int, int], int] = {}
         found = sorted(tuple(r) for r in weights(_sub(splits, rows)))
@@ -135,7 +136,7 @@ def plan_transfers(spark: SparkSession, rows: DataFrame, shares: Sequence[float]
         # a large block of many rows that the flow splits would make a shard uneven as a whole
         split = (flow > 1e-9 * np.maximum(sizes, 1)[:, None]).sum(axis=1) > 1
         uneven = {b for (b, _), n in parts.items() if split[n] and b not in heavy
-                  and by_block[b] > LARGE * capacities.min() and rows_of[b] > MANY_ROWS}
+                  and by_block[b] > LARGE * least and rows_of[b] > MANY_ROWS}
         if not uneven:
             break
         heavy |= uneven
@@ -158,19 +159,19 @@ def reshard(docs: DataFrame, old: Column, shares: Sequence[float], path: str, te
     all columns of ``docs`` in one folder per shard, and the result is read from those files; rows of
     untouched shards come from ``docs``. Slots count from 0 in every shard, by doc_id (NULL first).
     Repeated rows are rows of their own, an empty table writes nothing, further columns may have any
-    name. Rows are numbered as read, so ``docs`` should come from files.
+    name.
     """
     spark = docs.sparkSession
-    row = {"row": F.monotonically_increasing_id(), **_hashed(docs, old, text, blocks)}
-    rows = settle(docs.select(*[c.alias(n) for n, c in row.items()]))
+    row = _hashed(docs, old, text, blocks)
+    rows = settle(identified(docs, row, "row"))
     moves, splits, _ = plan_transfers(spark, rows, shares)
     placed = _sub(splits, rows).join(F.broadcast(moves), ["block", "sub"])
     left = placed.where(~F.col("old").eqNullSafe(F.col("shard")))
     touched = {s for pair in left.select("old", "shard").distinct().collect() for s in pair if s is not None}
 
     # the same rows with all their columns; the helper columns get names of their own
-    names = {n: fresh(docs, f"_{n}") for n in row}
-    full = docs.select("*", *[c.alias(names[n]) for n, c in row.items()])
+    names = {n: fresh(docs, f"_{n}") for n in ["row", *row]}
+    full = identified(docs, {**{c: F.col(f"`{c}`") for c in docs.columns}, **{names[n]: c for n, c in row.items()}}, names["row"])
     part, shard, parts = fresh(docs, "_sub"), fresh(docs, "_shard"), fresh(docs, "_parts")
     full = full.join(F.broadcast(splits.toDF(names["block"], parts)), names["block"], "left")
     full = full.withColumn(part, F.coalesce(F.pmod(F.xxhash64(names["row"]), F.col(parts)), F.lit(0)).cast("int"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.llm.common import Batches, in_batches, numbered, text_of
+from tidemark.llm.common import Batches, identified, in_batches, text_of
 from tidemark.session import settle, settle_sized
 
 DATE = "2000-01-01T00:00:00Z"  # records carry no time of their own, and two runs must agree
@@ -216,11 +216,10 @@ def write_warc(pages: DataFrame, path: str, page_id: str = "page_id", url: str =
     a file ends once it holds ``roll_bytes`` compressed, at the end of a record (rows that are equal in
     all three share a file). NULL html counts as empty; a NULL url leaves its header out; control
     characters in a url are percent-encoded. An empty table writes an empty manifest. ``path`` must be
-    a new folder that all executors reach. Only the three named columns are read; rows are
-    numbered as read, so ``pages`` should come from files.
+    a new folder that all executors reach. Only the three named columns are read.
     """
     spark = pages.sparkSession
-    rows = numbered(pages, {"page_id": F.col(f"`{page_id}`").cast("long"), "url": F.col(f"`{url}`").cast("string"),
+    rows = identified(pages, {"page_id": F.col(f"`{page_id}`").cast("long"), "url": F.col(f"`{url}`").cast("string"),
                             "payload": text_of(html).cast("binary")})
     found, size = settle_sized(repeats(rows, least).withColumn("revisit", F.lit(True)))
     joined = rows.join(F.broadcast(found) if size <= BROADCAST_BYTES else found, "uid", "left")
