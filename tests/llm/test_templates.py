@@ -125,3 +125,44 @@ def test_copies_and_pages_without_other_text_keep_it(spark, folder):
     ("a<math/>b<p>c", "ab c")])
 def test_raw_elements_end_where_they_do(page, text):
     assert extract(page, Template({})) == text
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article><p title=it's>Hello world</p><p>we don't stop</p></article>", "Hello world we don't stop"),
+    ("<article><p title=\"a > b\" x='c > d' y = \"e>f\">One</p><p data-q=\"it's\">two's</p></article>", "One two's"),
+    ("<article><p ' \">One</p><a href=x'y>two</a> three</article>", "One two three"),
+    ("<article>A<!-- x --!> B<!--> C<!---> D<!-- <p>no</p> -->E<!-- open <p>no", "A B C DE"),
+    ("<article>A<script src='a>b'>x</script >B<style>p</style\n>C<script>no</script x=y>D</article>", "A B C D"),
+    ("<article>A<svg width=\"1\" title='>'/>B<svg><path d='x'/>no</svg>C</article>", "A B C"),
+    ("<article>A <b class=\"x\" unclosed=\"q>B</b></article>", "A B"),
+    ("<article><p =a='b>c' d>Hello</p></article>", "Hello"),
+])
+def test_quotes_count_only_behind_an_equals_sign(page, text):
+    assert extract(page, Template({})) == text
+
+
+def test_long_broken_tags_take_linear_time():
+    for page in ("<p " + "a " * 200_000, "<p " + "=" * 200_000, "<p " + "='" * 100_001, "<svg " + "a='b' " * 50_000, "<!--" * 50_000):
+        extract(f"<article>x{page}", Template({}))
+
+
+@pytest.mark.parametrize("name", ["side-effects", "social-science", "related-work", "menu-items", "share-of-voice", "login-howto", "alert-systems"])
+@pytest.mark.parametrize("tag", ["div", "section", "ul"])
+def test_a_part_of_a_name_drops_no_article_text(name, tag):
+    page = f"<body><article><p>Before.</p><{tag} class='{name}'><p>Inside <a href=x>with link</a> of it.</p></{tag}><p>After.</p></article></body>"
+    assert extract(page, Template({})) == "Before. Inside with link of it. After."
+
+
+@pytest.mark.parametrize("name", ["ad", "ad-slot", "share-buttons", "newsletter-signup", "socialShare", "comment-list", "user_comments", "x sidebar"])
+def test_a_whole_name_is_an_aside_in_an_article_too(name):
+    page = f"<body><article><p>Before.</p><div class='{name}'><p>Buy this now.</p></div><p>After.</p></article></body>"
+    assert extract(page, Template({})) == "Before. After."
+
+
+def test_what_is_in_doubt_needs_links_or_the_template(spark, folder):
+    page = "<body><article><p>Before.</p><div class='related-reads'><a href=1>One</a> <a href=2>Two</a></div><p>After.</p></article></body>"
+    assert extract(page, Template({})) == "Before. After."
+    rows = [(k, f"http://doubt.example.org/{k}", f"<body><article><p>{prose(k, 20)}</p><div class='promo-of-week'><p>Buy this now</p></div>"
+             f"<div class='side-effects'><p>{prose(k + 50, 9)}</p></div></article></body>") for k in range(6)]
+    found = {r.page_id: r.text for r in main_text(table(spark, folder, rows)).collect()}
+    assert found == {k: f"{prose(k, 20)} {prose(k + 50, 9)}" for k in range(6)}

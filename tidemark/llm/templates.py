@@ -48,17 +48,21 @@ _ASIDE_NAMES = set(
     "navigation menu breadcrumb breadcrumbs footer cookie cookies consent notice notices gdpr popup modal overlay newsletter "
     "subscribe subscription signup login share sharing social related recommended comment comments reply replies respond "
     "disqus widget widgets toolbar pagination pager alert copyright".split())
+# What layouts add to such a name
+_LAYOUT_NAMES = set("area bar block box button buttons container form inner outer slot unit wrap wrapper".split())
 _READER_NAMES = set("comment comments reply replies respond disqus".split())
 _WHOLE = {"html", "body", "main"}  # never an aside for their names
 _MAIN = {"article", "main"}
 _MAIN_NAMES = set("article main content post entry story".split())
 
+# attributes up to the tag's end: a quote opens a value only behind an equals sign
+_REST = r"""(?:[^>=]++|=\s*+(?:"[^"]*"|'[^']*')?+)*+"""
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(_RAW) + r")(?=[\s/>])(?!(?<=<svg)(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>)"
-    r"[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[/!?a-zA-Z][^>]*(?:>|\Z)",
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+    r"|<(?P<raw>" + "|".join(_RAW) + r")(?=[\s/>])(?!(?<=<svg)" + _REST + r"(?<=/)>)" + _REST + r">.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
+    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>" + _REST + r")(?:>|\Z)|<[/!?a-zA-Z][^>]*(?:>|\Z)",
     re.S | re.I)
-_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_ATTRIBUTE = re.compile(r"""([^\s=/>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _HOST = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)"
 _PARTS = re.compile(r"[\s_-]+|(?<=[a-z])(?=[A-Z])")
 
@@ -73,11 +77,13 @@ class Open:
     parts: frozenset[str] = frozenset()
     barred: bool = False  # an aside for what it is
     reader: bool = False  # named as a reader's comment
+    whole: bool = False  # one of its names is an aside's as a whole
     shut: bool = False  # it or one above it is barred, or has a name that begins as an aside's
     central: bool = False  # may be the article
     holds: bool = False  # is or holds a main element or the page's first article
     aside: int = 0
     main: bool = False
+    doubt: bool = False  # in the article, and a part of its name or of one above it is an aside's
 
 
 @dataclass
@@ -90,6 +96,7 @@ class Event:
     main: bool
     link: bool
     breaks: bool
+    doubt: bool
 
 
 def _container(name: str, rest: str, up: Open) -> Open:
@@ -103,12 +110,22 @@ def _container(name: str, rest: str, up: Open) -> Open:
     barred = (name in _ASIDE or hidden
               or role in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert"))
     reader = not _READER_NAMES.isdisjoint(names.lower().split())
+    whole = any(map(_whole, names.split()))
     begins = any(_PARTS.split(n)[0].lower() in _ASIDE_NAMES for n in names.split()) and name != "article" and name not in _WHOLE
     marks = "." + re.sub(r"\d+", "0", ".".join(sorted(parts))) if parts else ""
     # what a page's body is called says nothing of the texts in it
     central = name in _MAIN or role == "main" or name not in _WHOLE and bool(parts & _MAIN_NAMES)
-    return Open(name, f"{up.path}/{name}{marks}", up, frozenset(parts), barred, reader,
-                up.shut or barred or begins or reader and name == "article", central, name == "main" or role == "main")
+    return Open(name, f"{up.path}/{name}{marks}", up, frozenset(parts), barred, reader, whole,
+                up.shut or barred or begins or reader and name == "article", central,
+                name == "main" or role == "main")
+
+
+def _whole(name: str) -> bool:
+    """Whether a class or id names an aside as a whole: by all its parts that are not of the layout, or a reader's comment
+    by the first or the last."""
+    parts = [p.lower() for p in _PARTS.split(name) if p]
+    own = [p for p in parts if p not in _LAYOUT_NAMES]
+    return bool(own) and (_ASIDE_NAMES.issuperset(own) or not _READER_NAMES.isdisjoint((parts[0], parts[-1])))
 
 
 def _judge(opened: list[Open]) -> None:
@@ -121,11 +138,13 @@ def _judge(opened: list[Open]) -> None:
                 up.holds, up = True, up.up
     for box in opened:
         kept = box.holds or box.name in _WHOLE or box.name == "article" and not box.reader
-        named = not kept and (not box.parts.isdisjoint(_ASIDE_NAMES)
-                              or not box.up.main and not box.parts.isdisjoint(("header", "masthead")))
+        # in an article a part of a name says little: what it holds must look like an aside too
+        part = not kept and not box.parts.isdisjoint(_ASIDE_NAMES)
+        named = part and (box.whole or not box.up.main) or not kept and not box.up.main and not box.parts.isdisjoint(("header", "masthead"))
         barred = box.barred or box.name == "header" and not box.up.main
         box.aside = max(box.up.aside, 2 if barred else int(named))
         box.main = box.up.main or box.central and not box.aside
+        box.doubt = box.up.doubt or part and box.up.main and not named
 
 
 def events(page: str) -> Iterator[Event]:
@@ -134,7 +153,7 @@ def events(page: str) -> Iterator[Event]:
     found, opened = _walked(page)
     _judge(opened)
     for token, text, box, link, breaks in found:
-        yield Event(token, text, box.aside, box.main, link, breaks)
+        yield Event(token, text, box.aside, box.main, link, breaks, box.doubt)
 
 
 def _walked(page: str) -> tuple[list[tuple], list[Open]]:
@@ -194,13 +213,13 @@ def _hash(text: str, salt: int) -> int:
 
 
 def page_tokens(page: str) -> dict[str, int]:
-    """How often each token occurs: tags in their path, and blocks of text that stand outside an article."""
+    """How often each token occurs: tags in their path, and blocks of text that stand outside an article or in doubt."""
     counts: dict[str, int] = defaultdict(int)
     for event in events(page):
         if event.text is None:
             if event.breaks:
                 counts[event.token] += 1
-        elif not event.main and (text := tidy(event.text)):
+        elif (event.doubt or not event.main) and (text := tidy(event.text)):
             counts[f"{event.token}#{_hash(text, 0):x}"] += 1
     return counts
 
@@ -253,6 +272,7 @@ class Block:
     main: bool
     same: bool  # it stands on all pages of the host
     fresh: bool  # a tag breaks the text before it
+    doubt: bool
     text: str = ""
     chars: int = 0
     links: int = 0
@@ -274,7 +294,7 @@ def slots_of(page: str, template: Template) -> Iterator[tuple[str, Event, bool,
                 slot = event.token
             continue
         if not event.text.isspace() or fresh_block:
-            same = not event.main and f"{event.token}#{_hash(tidy(event.text), 0):x}" in template.classes
+            same = (event.doubt or not event.main) and f"{event.token}#{_hash(tidy(event.text), 0):x}" in template.classes
         yield slot, event, fresh_block, same
         fresh_block = False
 
@@ -282,8 +302,8 @@ def slots_of(page: str, template: Template) -> Iterator[tuple[str, Event, bool,
 def blocks_of(page: str, template: Template) -> list[Block]:
     blocks: list[Block] = []
     for slot, event, fresh_block, same in slots_of(page, template):
-        if fresh_block or not blocks or same != blocks[-1].same:
-            blocks.append(Block(slot, event.aside, event.main, same, fresh_block))
+        if fresh_block or not blocks or same != blocks[-1].same or event.doubt != blocks[-1].doubt:
+            blocks.append(Block(slot, event.aside, event.main, same, fresh_block, event.doubt))
         block, n = blocks[-1], len(event.text.strip())
         block.text += html.unescape(event.text)
         block.chars += n
@@ -296,7 +316,7 @@ def body_of(blocks: list[Block]) -> tuple[list[Block], bool]:
     asides, also those that are asides for their names alone. Text of the template counts only on a page that has
     no other."""
     for level, same in ((1, False), (1, True), (2, False), (2, True)):
-        body = [b for b in blocks if b.chars and b.aside < level and (same or not b.same)]
+        body = [b for b in blocks if b.chars and b.aside < level and (same or not b.same) and not (b.doubt and (b.linked or b.same))]
         main = sum(b.chars for b in body if b.main)
         other = sum(b.chars - b.links for b in body if not b.main and not b.linked)
         if main and main >= LEAST_MAIN * (main + other):
