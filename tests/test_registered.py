@@ -25,3 +25,22 @@ def test_entry(spark):
 
     assert entry_points.entry(spark).count() > 0
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
+
+
+@pytest.mark.parametrize("gone", [["tidemark/llm", "tests/llm", "corpus_pipeline.py"], ["tidemark/llm", "tests/llm"], ["corpus_pipeline.py"]])
+def test_entry_without_the_training_data_part(tmp_path, gone):
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    here = Path(__file__).resolve().parents[1]
+    left_out = {str(here / g) for g in gone}
+    copy = shutil.copytree(here, tmp_path / "copy", ignore=lambda folder, names: [
+        n for n in names if n in (".git", "__pycache__") or str(Path(folder) / n) in left_out])
+    script = ("import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); assert set(o) <= set(q); "
+              "print(len(q), sum(n.startswith('op') for n in q), 'pipeline' in q)")
+    done = subprocess.run([sys.executable, "-c", script], cwd=copy, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+    n, operators, pipeline = done.stdout.split()[-3:]
+    assert int(n) >= len(QUERIES) and (int(operators) > 0) == ("tidemark/llm" not in gone) and pipeline == "False"
