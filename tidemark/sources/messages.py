@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.schemas import StreamSpec, stream_spec
-
-ENVELOPE = "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp"
+from tidemark.sources.log import append_log, stream_log
 
 
 def topic_name(prefix: str, stream: str | StreamSpec) -> str:
@@ -30,6 +29,7 @@ def read_stream(
     """Unbounded frame with a ``value`` column for one stream type.
 
     ``kafka`` subscribes to ``{prefix}_{stream}`` (the connector jar must be on the class path);
+    ``log`` reads the same topic of a message log below ``path``, with the same columns and offsets;
     ``files`` replays a folder of JSON lines, one message per line.
     """
     if source == "kafka":
@@ -44,11 +44,15 @@ def read_stream(
             .options(**options)
             .load()
         )
+    if source == "log":
+        if not path:
+            raise ValueError("path is required for the log source")
+        return stream_log(spark, path, topic_name(prefix, stream), starting, fail_on_data_loss)
     if source == "files":
         if not path:
             raise ValueError("path is required for the files source")
         return spark.readStream.options(**options).text(path)
-    raise ValueError(f"unknown source {source!r}; use 'kafka' or 'files'")
+    raise ValueError(f"unknown source {source!r}; use 'kafka', 'log' or 'files'")
 
 
 def decode_json(
@@ -112,15 +116,30 @@ def publish(
     prefix: str = "market",
     servers: str | None = None,
     path: str | None = None,
+    log: str | None = None,
     checkpoint: str | None = None,
 ):
-    """Send rows as keyed JSON messages to Kafka (``servers``) or to JSON-lines files (``path``).
+    """Send rows as keyed JSON messages to Kafka (``servers``), to a message log (``log``) or to JSON-lines files
+    (``path``).
 
     A streaming frame starts a query and needs ``checkpoint``; a batch frame writes at once.
     """
-    if bool(servers) == bool(path):
-        raise ValueError("give either servers or path")
+    if sum(map(bool, (servers, path, log))) != 1:
+        raise ValueError("give one of servers, path and log")
     messages = encode_messages(df, stream, prefix)
+    if log:
+        topic = topic_name(prefix, stream)
+        if not df.isStreaming:
+            append_log(messages, log, topic)
+            return None
+        if not checkpoint:
+            raise ValueError("checkpoint is required to publish a stream")
+
+        def append(batch: DataFrame, batch_id: int) -> None:
+            query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+            append_log(batch, log, topic, append=f"{query}-{batch_id}")
+
+        return messages.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).start()
     if servers:
         target, options = "kafka", {"kafka.bootstrap.servers": servers}
     else:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tidemark.operators.cleaning import normalize_trade
 from tidemark.session import scratch_path
 from tidemark.sources.archive import open_archive
+from tidemark.sources.log import ENVELOPE
+from tidemark.sources.messages import decode_json, publish, read_stream
 from tidemark.streaming import queries as live
 from tidemark.streaming.sinks import write_points
 from tidemark.workload import frames as fr
@@ -78,6 +80,30 @@ def stream_windows_batches(spark, sf_dir):
     return stored.withColumn("avg_price", F.round("avg_price", 6))
 
 
+@query(
+    "stream_log_restart",
+    f"""WITH {fr.trade_sql()} SELECT symbol AS key, 'market_trade' AS topic, trade_id, symbol, price, quantity, is_market_maker
+    FROM trade""",
+)
+def stream_log_restart(spark, sf_dir):
+    """Trades appended to a message log in two parts; the query that archives them is restarted between them."""
+    path = scratch_path(spark, "log")
+    trades = fr.trades(spark, sf_dir)
+
+    def run(part):
+        publish(part, "trade", log=f"{path}/log")
+        stream = read_stream(spark, "trade", "log", path=f"{path}/log", starting="earliest", fail_on_data_loss=True)
+        live.drain(live.write_table(stream, f"{path}/table", f"{path}/checkpoint", "append", "available"))
+
+    early = F.col("trade_time") < F.lit(_CUTS[1]).cast("timestamp")
+    run(trades.where(early))
+    run(trades.where(~early))
+    kept = spark.read.schema(ENVELOPE).parquet(f"{path}/table")
+    decoded = decode_json(kept, "trade", passthrough=["key", "topic"])
+    return decoded.select(F.col("key").cast("string").alias("key"), "topic", "trade_id", "symbol",
+                          *[F.col(c).cast("double").alias(c) for c in ("price", "quantity")], "is_market_maker")
+
+
 @query(
     "stream_latest",
     f"""WITH {fr.ticker_sql('user_id')} SELECT symbol, close_time, trade_count, quote_volume FROM ticker
