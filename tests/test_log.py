@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.sources.log import LogIndex, _commit, append_log, read_log, stream_log
+from tidemark.sources.log import LogIndex, append_log, read_log, stream_log
 from tidemark.sources.messages import publish, read_stream
 from tidemark.streaming.queries import drain, write_table
 
@@ -92,19 +92,18 @@ def test_a_writer_that_lost_the_race_commits_behind_the_other(spark, folder, mon
     from tidemark.sources import log
 
     append_log(messages(spark, some(10)), f"{folder}/log", "t", partitions=1)
-    own, met = log._commit, []
+    own, met = log.put_file, []
 
-    def late(spark_, where, number, text):
+    def late(spark_, path, text):
         if not met:
-            met.append(number)
-            other = json.loads(text)
-            assert own(spark_, where, number, json.dumps({"append": "other", "segments": other["segments"]}))
-        return own(spark_, where, number, text)
+            met.append(path)
+            assert own(spark_, path, json.dumps({"append": "other", "segments": json.loads(text)["segments"]}))
+        return own(spark_, path, text)
 
-    monkeypatch.setattr(log, "_commit", late)
+    monkeypatch.setattr(log, "put_file", late)
     assert append_log(messages(spark, some(5, 10)), f"{folder}/log", "t", partitions=1) == 2
     assert [o for o, _ in offsets(read_log(spark, f"{folder}/log", "t"))[0]] == list(range(20))
-    assert not _commit(spark, f"{folder}/log/t/commits", 2, "{}")
+    assert not own(spark, f"{folder}/log/t/commits/{2:020d}.json", "{}")
 
 
 def test_an_append_is_done_once(spark, folder):

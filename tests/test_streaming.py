@@ -257,3 +257,76 @@ def test_table_as_csv(spark, folder):
     live.drain(live.write_table(stream, f"{folder}/o", f"{folder}/c", "append", "available", fmt="csv"))
     row = files.read_series_csv(spark, f"{folder}/o/batch_id=0").first()
     assert (row.symbol, row.value) == ("A", 1.0)
+
+
+def changes(spark, folder, batches):
+    for n, rows in batches.items():
+        spark.createDataFrame(rows, "k string, v long").coalesce(1).write.mode("overwrite").parquet(f"{folder}/batch_id={n}")
+
+
+def test_merged_updates_read_the_same_and_open_few_folders(spark, folder):
+    changes(spark, folder, {n: [("a", n), (f"k{n}", n)] for n in range(6)})
+    expected = {"a": 5, **{f"k{n}": n for n in range(6)}}
+    read = lambda: dict(live.read_updates(spark, folder, ["k"]).collect())
+    assert read() == expected
+    before = live.read_updates(spark, folder, ["k"])
+    assert live.merge_updates(spark, folder, ["k"]) == 4 and read() == expected
+    opened = {f.rpartition("/")[0] for f in live.read_updates(spark, folder, ["k"]).inputFiles()}
+    assert len(opened) == 2
+    # a reader from before the merge still has its files; the newest batch may come again
+    assert dict(before.collect()) == expected
+    changes(spark, folder, {5: [("a", 50)], 6: [("a", 60)], 7: [("b", 7)]})
+    assert live.merge_updates(spark, folder, ["k"]) == 6
+    assert read() == {**{k: v for k, v in expected.items() if k != "k5"}, "a": 60, "b": 7}
+    assert live.merge_updates(spark, folder, ["k"]) is None
+    left = set(files.subfolders(spark, folder, "batch_id="))
+    assert left == {5, 6, 7} and list(files.subfolders(spark, f"{folder}/_merged", "last=")) == [4, 6]
+
+
+def test_a_small_file_is_swapped_or_stays(spark, folder):
+    assert files.get_file(spark, f"{folder}/a/b") is None
+    assert files.put_file(spark, f"{folder}/a/b", "one") and not files.put_file(spark, f"{folder}/a/b", "two")
+    assert files.get_file(spark, f"{folder}/a/b") == "one"
+    assert files.put_file(spark, f"{folder}/a/b", "zwölf", replace=True) and files.get_file(spark, f"{folder}/a/b") == "zwölf"
+
+
+def test_idle_keys_leave_the_state(spark, folder):
+    def run(rows):
+        stream = rows_stream(spark, f"{folder}/in", rows)
+        newest = live.live_latest_expiring(stream, ["symbol"], "event_time", "1 minute", "1 hour", "id", ["symbol", "id", "value"])
+        query = live.write_table(newest, f"{folder}/out", f"{folder}/cp", "update", "available", rocksdb=True)
+        live.drain(query)
+        state = [p["stateOperators"][0] for p in query.recentProgress if p["stateOperators"]]
+        return {r.symbol: r.id for r in live.read_updates(spark, f"{folder}/out", ["symbol"]).collect()}, state[-1]["numRowsTotal"]
+
+    found, _ = run([("A", T0, 1.0, 1), ("A", T0, 1.0, 3), ("A", T0, 1.0, 2), ("B", T0, 1.0, 4), ("B", None, 1.0, 9)])
+    assert found == {"A": 3, "B": 4}
+    found, small = run([("B", T0 + timedelta(hours=5), 1.0, 5), ("C", T0 + timedelta(hours=5), 1.0, None)])
+    # A is idle; a late row of it changes nothing
+    found, small = run([("A", T0 - timedelta(hours=1), 1.0, 6), ("C", T0 + timedelta(hours=5), 1.0, 7), ("B", T0 + timedelta(hours=4), 1.0, 8)])
+    assert found == {"A": 3, "B": 5, "C": 7}
+    found, large = run([(f"K{k}", T0 + timedelta(hours=5), 1.0, k) for k in range(40)])
+    assert large > small
+    run([("Z", T0 + timedelta(hours=50), 1.0, 1)])
+    found, after = run([("Z", T0 + timedelta(hours=50), 1.0, 2)])
+    assert after < large and len(found) == 44 and found["Z"] == 2
+
+
+def test_a_table_sees_new_batches_and_not_those_written_again(spark, folder):
+    archive.register_tables(spark, f"{folder}/archive", database="market_live", tables=["trade"])
+    try:
+        table = spark.table("market_live.trade")
+        assert table.count() == 0
+        for n in (1, 2):
+            feed(spark, f"{folder}/in", [message(n)])
+            rows = normalize_trade(source(spark, f"{folder}/in"))
+            live.drain(sinks.write_archive(rows, f"{folder}/archive", "trade", f"{folder}/cp", "available", table="market_live.trade"))
+            assert spark.table("market_live.trade").count() == n
+        row = spark.table("market_live.trade").where("batch_id = 1").first()
+        at = f"{folder}/archive/trade"
+        again = spark.table("market_live.trade").where("batch_id = 1").drop("query_id", "batch_id", "ingest_epoch")
+        sinks.archive_batch(spark.createDataFrame(again.collect(), again.schema), f"{at}/query_id={row.query_id}", 1, row.ingest_epoch + 9)
+        sinks.commit_partition(spark, "market_live.trade", at, row.query_id, 1)
+        assert sorted(r.ingest_epoch for r in spark.table("market_live.trade").where("batch_id = 1").collect()) == [row.ingest_epoch + 9]
+    finally:
+        spark.sql("DROP DATABASE market_live CASCADE")

@@ -133,7 +133,8 @@ def register_tables(
     """Make the archive folders queryable by name.
 
     Without ``database`` they become temporary views. With it, external tables are created over
-    the folders. ``nested=True`` reads archives whose batch folders are plain epoch numbers.
+    the folders, which are made if a stream has not come yet; ``write_archive(table=)`` adds its batches to
+    them. ``nested=True`` reads archives whose batch folders are plain epoch numbers.
     """
     names = list(tables or TABLE_SCHEMAS)
     if database is None:
@@ -154,5 +155,7 @@ def register_tables(
             + f"LOCATION '{root}/{name}'"
         )
         if partitioned:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
             spark.sql(f"MSCK REPAIR TABLE `{database}`.`{name}`")
     return names

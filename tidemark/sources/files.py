@@ -1,7 +1,10 @@
-"""CSV series, market snapshots and plain exports."""
+"""CSV series, market snapshots, plain exports, and small files that change at once."""
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 
@@ -31,3 +34,60 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
 
 def export_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
+
+
+def put_file(spark: SparkSession, path: str, text: str, replace: bool = False) -> bool:
+    """Whether a small file now holds the text. It is written aside and renamed, so readers see all of it or
+    nothing; without ``replace`` a file that is already there stays, and only one of several writers succeeds."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+    final = hadoop.Path(path)
+    system = final.getFileSystem(conf)
+    draft = hadoop.Path(final.getParent(), f".{uuid.uuid4().hex}")
+    system.mkdirs(final.getParent())
+    out = system.create(draft)
+    out.write(bytearray(text.encode()))
+    out.close()
+    kinds = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(kinds, 1)
+    how[0] = kinds.OVERWRITE if replace else kinds.NONE
+    try:
+        hadoop.FileContext.getFileContext(final.toUri(), conf).rename(system.makeQualified(draft), system.makeQualified(final), how)
+        return True
+    except Py4JJavaError as failure:
+        system.delete(draft, False)
+        if replace or "FileAlreadyExists" not in failure.java_exception.getClass().getName():
+            raise
+        return False
+
+
+def get_file(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, None if there is none."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = file.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(file):
+        return None
+    stream = system.open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def subfolders(spark: SparkSession, path: str, prefix: str) -> dict[int, str]:
+    """The folders named ``{prefix}{number}`` in a folder, by number."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(base):
+        return {}
+    found = {}
+    for status in system.listStatus(base):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(prefix) and name.removeprefix(prefix).isdigit():
+            found[int(name.removeprefix(prefix))] = status.getPath().toString()
+    return dict(sorted(found.items()))
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from tidemark.operators.positions import with_position
+from tidemark.sources.files import put_file
 
 FORMAT = "tidemark_log"
 ENVELOPE = "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp"
@@ -233,27 +234,6 @@ def append_log(
         for partition, _, rows_, path in found:
             segments.append([partition, ends[partition], rows_, path])
             ends[partition] += rows_
-        if _commit(spark, f"{root}/{topic}/commits", index.commits, json.dumps({"append": append, "segments": segments})):
+        # a rename that replaces nothing decides whose commit has this number
+        if put_file(spark, f"{root}/{topic}/commits/{index.commits:020d}.json", json.dumps({"append": append, "segments": segments})):
             return index.commits
-
-
-def _commit(spark: SparkSession, folder: str, number: int, text: str) -> bool:
-    """Whether the file of that number is now ours: a rename that replaces nothing decides."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    conf = spark._jsc.hadoopConfiguration()
-    final, draft = hadoop.Path(f"{folder}/{number:020d}.json"), hadoop.Path(f"{folder}/.{uuid.uuid4().hex}")
-    system = final.getFileSystem(conf)
-    system.mkdirs(final.getParent())
-    out = system.create(draft)
-    out.write(bytearray(text.encode()))
-    out.close()
-    context = hadoop.FileContext.getFileContext(final.toUri(), conf)
-    try:
-        context.rename(system.makeQualified(draft), system.makeQualified(final),
-                       spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0))
-        return True
-    except Exception as failure:  # py4j wraps the JVM's
-        if "FileAlreadyExists" not in str(failure):
-            raise
-        system.delete(draft, False)
-        return False

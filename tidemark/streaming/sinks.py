@@ -9,13 +9,14 @@ from collections.abc import Callable, Iterator
 from itertools import islice
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.encoding import has_fields, line_protocol
 from tidemark.operators.points import to_line_protocol
 from tidemark.schemas import TABLE_SCHEMAS, StreamSpec, stream_spec
 from tidemark.session import settle
+from tidemark.sources.files import subfolders
 
 LinesWriter = Callable[[Iterator[str]], None]
 
@@ -39,17 +40,24 @@ def write_archive(
     checkpoint: str,
     trigger: str | None = "60 seconds",
     clock: Callable[[], float] = time.time,
+    table: str | None = None,
 ) -> StreamingQuery:
     """Append each micro-batch under ``{root}/{stream}/query_id=Q/batch_id=N/ingest_epoch=E``.
 
     A repeated batch replaces its own folder whatever the clock says, so a restart adds no rows;
     the query id keeps batches of different checkpoints apart. A failing write stops the query.
+
+    ``table`` names a catalogue table over the archive (see ``register_tables``): each batch becomes one of
+    its partitions once its files are there, so the next query of the table sees it.
     """
     folder = f"{root}/{stream_spec(stream).name}"
 
     def save(batch: DataFrame, batch_id: int) -> None:
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        archive_batch(batch, f"{folder}/query_id={query}", batch_id, int(clock()))
+        epoch = int(clock())
+        archive_batch(batch, f"{folder}/query_id={query}", batch_id, epoch)
+        if table is not None:
+            commit_partition(batch.sparkSession, table, folder, query, batch_id)
 
     writer = stream_df.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
     return _start(writer, trigger)
@@ -66,6 +74,15 @@ def archive_batch(batch: DataFrame, folder: str, batch_id: int, epoch: int) -> N
     )
 
 
+def commit_partition(spark: SparkSession, table: str, folder: str, query: str, batch_id: int) -> None:
+    """Make a written batch a partition of its table; that of an earlier attempt goes."""
+    at = f"query_id = '{query}', batch_id = {batch_id}"
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({at})")
+    epochs = subfolders(spark, f"{folder}/query_id={query}/batch_id={batch_id}", "ingest_epoch=")
+    for epoch, path in epochs.items():  # one, or none of a batch without rows
+        spark.sql(f"ALTER TABLE {table} ADD PARTITION ({at}, ingest_epoch = {epoch}) LOCATION '{path}'")
+
+
 def http_lines_writer(url: str, token: str, batch_lines: int = 5_000, attempts: int = 4) -> LinesWriter:
     """Post lines to a point store's write address, ``batch_lines`` per request.
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.operators.cleaning import normalize_trade
 from tidemark.session import scratch_path
-from tidemark.sources.archive import open_archive
+from tidemark.sources.archive import open_archive, register_tables
 from tidemark.sources.log import ENVELOPE
 from tidemark.sources.messages import decode_json, publish, read_stream
 from tidemark.streaming import queries as live
-from tidemark.streaming.sinks import write_points
+from tidemark.streaming.sinks import write_archive, write_points
 from tidemark.workload import frames as fr
 from tidemark.workload.registry import query
 
@@ -116,6 +118,71 @@ def stream_latest(spark, sf_dir):
     return _drained(newest, scratch_path(spark, "live"), "complete")
 
 
+_SPLIT = f"""WITH {fr.ticker_sql('user_id')}, t AS (SELECT * FROM ticker JOIN (SELECT event_id FROM events WHERE NOT {_LATE}) e
+    ON first_trade_id = event_id)"""
+
+
+def _in_batches(spark, sf_dir, path, numbers):
+    """The events as a stream of one file per part of the month; the late rows come with the last one."""
+    ts, late = F.col("ts"), F.expr(_LATE)
+    edges = [F.lit(c).cast("timestamp") for c in _CUTS]
+    parts = [(ts < edges[0]) & ~late, (ts >= edges[0]) & (ts < edges[1]), (ts >= edges[1]) & (ts < edges[2]), (ts >= edges[2]) | late]
+    for k in numbers:
+        fr.events(spark, sf_dir).where(parts[k]).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    return spark.readStream.schema(fr.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+
+
+@query(
+    "stream_latest_expiring",
+    f"""{_SPLIT} SELECT symbol, close_time, trade_count, quote_volume FROM t
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY close_time DESC, last_trade_id DESC) = 1""",
+)
+def stream_latest_expiring(spark, sf_dir):
+    """The newest row per symbol over four batches with a restart; idle symbols leave the state, not the table."""
+    path = scratch_path(spark, "live")
+    columns = ["symbol", "close_time", "trade_count", "quote_volume"]
+    for numbers in ([0, 1], [2, 3]):
+        tickers = fr.tickers_of(_in_batches(spark, sf_dir, path, numbers), "user_id")
+        newest = live.live_latest_expiring(tickers, ["symbol"], "close_time", "1 minute", "2 days", "last_trade_id", columns)
+        live.drain(live.write_table(newest, f"{path}/table", f"{path}/checkpoint", "update", "available", rocksdb=True))
+    return live.read_updates(spark, f"{path}/table", ["symbol"])
+
+
+@query(
+    "stream_merged_updates",
+    f"""WITH {fr.trade_sql()}, e AS (SELECT event_id FROM events WHERE NOT {_LATE})
+    SELECT symbol, time_bucket(INTERVAL 1 DAY, trade_time) AS window_start,
+    time_bucket(INTERVAL 1 DAY, trade_time) + INTERVAL 1 DAY AS window_end, COUNT(*) AS n
+    FROM trade JOIN e ON trade_id = event_id GROUP BY ALL""",
+)
+def stream_merged_updates(spark, sf_dir):
+    """An update table whose batches are merged between and after two runs of its query."""
+    path, keys = scratch_path(spark, "live"), ["symbol", "window_start", "window_end"]
+    for numbers in ([0, 1], [2, 3]):
+        trades = fr.trades_of(_in_batches(spark, sf_dir, path, numbers))
+        panel = live.live_windows(trades, "trade_time", "1 day", ["symbol"], {"n": F.count(F.lit(1))}, "1 minute")
+        live.drain(live.write_table(panel, f"{path}/table", f"{path}/checkpoint", "update", "available"))
+        live.merge_updates(spark, f"{path}/table", keys)
+    return live.read_updates(spark, f"{path}/table", keys)
+
+
+@query(
+    "archive_table_batches",
+    f"WITH {fr.trade_sql()} SELECT symbol, COUNT(*) AS n, COUNT(DISTINCT trade_time < TIMESTAMP '{_CUTS[1]}') AS batches FROM trade GROUP BY symbol",
+)
+def archive_table_batches(spark, sf_dir):
+    """A catalogue table over an archive that two runs of a query fill; it is registered once, before the first."""
+    path, name = scratch_path(spark, "archive"), f"market_{uuid.uuid4().hex}"
+    register_tables(spark, f"{path}/archive", database=name, tables=["trade"])
+    early = F.col("ts") < F.lit(_CUTS[1]).cast("timestamp")
+    for part in (early, ~early):
+        fr.events(spark, sf_dir).where(part).coalesce(1).write.mode("append").parquet(f"{path}/in")
+        rows = fr.trades_of(spark.readStream.schema(fr.EVENTS_SCHEMA).parquet(f"{path}/in"))
+        live.drain(write_archive(rows, f"{path}/archive", "trade", f"{path}/checkpoint", "available", table=f"{name}.trade"))
+    return spark.table(f"{name}.trade").groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("query_id", "batch_id").alias("batches"))
+
+
 @query(
     "stream_dedup",
     f"WITH {fr.trade_sql()} SELECT DISTINCT symbol, date_trunc('hour', trade_time) AS event_time FROM trade",
