@@ -1,10 +1,11 @@
 import random
 
+import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
 from tests.llm.cases import BYTE_BPE, WORD_BPE, documents, texts
-from tidemark.llm.bpe import DONE, LAST, TEXT, Coder, bpe_round_trip, concatenated, pieces
+from tidemark.llm.bpe import _PLAIN, DONE, LAST, TEXT, Coder, bpe_round_trip, concatenated, pieces
 
 
 @pytest.fixture(scope="module")
@@ -30,6 +31,20 @@ def test_a_repeated_letter_is_joined_right_though_windows_must_grow(own):
         assert own.unsplit("a" * n) == own.tokenizer.encode("a" * n, add_special_tokens=False).ids
 
 
+def test_plain_words_equal_the_library(own):
+    """Every character that words may have without the library, alone, in pairs and in mixtures."""
+    assert own.knows_plain
+    plain = [chr(c) for c in range(0x2000) if _PLAIN.fullmatch(chr(c))]
+    assert len(plain) > 300 and not {"Σ", "σ", "ς", "<", "İ", "̈", "\u0387"} & set(plain)
+    rng = random.Random(8)
+    words = [*plain, *(a + b for a in plain for b in "a1.'é×" + rng.choice(plain))]
+    words += ["".join(rng.choice(plain if rng.random() < 0.3 else "'stdrevlmEé1.,-") for _ in range(rng.randrange(1, 14))) for _ in range(20000)]
+    for word in words:
+        ids = own.tokenizer.encode(word, add_special_tokens=False).ids
+        packed, spelled = own.plain_word(word)
+        assert np.frombuffer(packed, "<i4").tolist() == ids and spelled[:-1] == own.decode(ids), word
+
+
 @pytest.mark.parametrize("long_chars", [1 << 16, 100])
 def test_documents_equal_the_library(spark, folder, long_chars):
     library = Tokenizer.from_file(WORD_BPE)

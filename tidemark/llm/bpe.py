@@ -13,11 +13,13 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import Batches, numbered, text_of
@@ -25,6 +27,18 @@ from tidemark.llm.common import Batches, numbered, text_of
 LEAF = 256  # byte-level characters that are encoded without halving
 CACHED = 300_000  # words a task remembers
 
+# The normalizer and the split pattern that ``_PLAIN`` words are taken through without the library
+_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# words of characters that NFC keeps, that have one small letter each and whose classes are known here: ASCII but "<", with
+# which special tokens begin, Latin-1 letters, Greek but the sigmas, Cyrillic
+_LETTERS = "a-zÀ-ÖØ-öø-ÿΆΈ-ΊΌΎΏΑ-ΡΤ-ρτ-ώЀ-џ"
+_PLAIN = re.compile(f"[!-;=-~×÷A-Z{_LETTERS}]+")
+_PLAIN_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
+# what byte-level vocabularies write for a byte: itself if it is printable, else the next character from U+0100
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LEVEL = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
 _loaded: dict[str, "Coder"] = {}
 
 
@@ -47,6 +61,9 @@ class Coder:
             spec = json.load(file)
         model = spec["model"]
         steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        splits = [s["pattern"].get("Regex") for s in steps if s["type"] == "Split"]
+        self.knows_plain = ((spec["normalizer"] or {}).get("normalizers") == _NORMALIZER and splits == [_PATTERN]
+                            and [s["type"] for s in steps] == ["Split", "ByteLevel"] and not steps[1]["add_prefix_space"])
         drops_blanks = any(s["type"] == "Split" and s["behavior"] == "Removed" and s["invert"] for s in steps)
         if model["type"] != "BPE" or spec["decoder"] is not None or spec["post_processor"] or not drops_blanks:
             raise ValueError(f"{path}: tree concatenation needs a BPE vocabulary that drops white space")
@@ -59,8 +76,13 @@ class Coder:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.specials = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
         self.token = {i: t for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
+        self.blanked = {i: f"{t} " for i, t in self.token.items()}
+        self.knows_plain &= all(t.startswith("<") for t in self.special)
+        self.model = self.tokenizer.model
+        # what this worker remembers of words and of their pieces
         self.ids: dict[str, bytes] = {"": b""}
         self.spelled: dict[str, str] = {"": ""}
+        self.pieces: dict[str, tuple[bytes, str]] = {}
 
     def decode(self, ids: list[int]) -> str:
         return self.tokenizer.decode(ids, skip_special_tokens=False)
@@ -115,17 +137,39 @@ class Coder:
 
     # whole texts -------------------------------------------------------------------------------
 
+    def packed(self, ids: list[int]) -> tuple[bytes, str]:
+        """Ids as bytes and the text they decode to with a blank behind: without a decoder the library joins tokens by
+        blanks."""
+        return struct.pack(f"<{len(ids)}i", *ids), "".join([self.blanked[i] for i in ids])
+
+    def plain_word(self, word: str) -> tuple[bytes, str]:
+        """A ``_PLAIN`` word by its pieces, most of which words share."""
+        found = []
+        for piece in _PLAIN_PIECE.findall(word.lower()):
+            packed = self.pieces.get(piece)
+            if packed is None:
+                spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LEVEL)
+                packed = self.pieces[piece] = self.packed([t.id for t in self.model.tokenize(spelled)])
+            found.append(packed)
+        return found[0] if len(found) == 1 else (b"".join([p[0] for p in found]), "".join([p[1] for p in found]))
+
     def learn(self, words: set[str]) -> None:
         if len(self.ids) > CACHED:
             self.ids, self.spelled = {"": b""}, {"": ""}
-        new = [w for w in words if w not in self.ids]
-        short = [w for w in new if len(w) <= LEAF]
-        found = dict(zip(short, (e.ids for e in self.tokenizer.encode_batch_fast(short, add_special_tokens=False))))
-        for word in new:
-            ids = found[word] if word in found else self.long_word(word)
-            self.ids[word] = np.array(ids, "<i4").tobytes()
-            decoded = self.decode(ids) if ids else ""
-            self.spelled[word] = decoded + " " if ids else ""
+        if len(self.pieces) > CACHED:
+            self.pieces = {}
+        rest = []
+        for word in words:
+            if word in self.ids:
+                continue
+            if self.knows_plain and len(word) <= LEAF and _PLAIN.fullmatch(word):
+                self.ids[word], self.spelled[word] = self.plain_word(word)
+            elif len(word) <= LEAF:
+                rest.append(word)
+            else:
+                self.ids[word], self.spelled[word] = self.packed(self.long_word(word))
+        for word, coded in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            self.ids[word], self.spelled[word] = self.packed(coded.ids)
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
         """Ids (little-endian 32-bit) and decoded text of each text."""
@@ -151,7 +195,7 @@ def _coded(uids: list, doc_ids: list, coded: list[tuple[bytes, str]]) -> pa.Reco
 
 def _windows(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """A batch in slices of bounded text."""
-    sizes = np.fromiter((len(t) for t in batch.column(2).to_pylist()), np.int64, batch.num_rows)
+    sizes = pc.utf8_length(batch.column(2)).to_pylist()
     start, total = 0, 0
     for k, size in enumerate(sizes):
         total += size
@@ -288,7 +332,9 @@ def bpe_round_trip(docs: DataFrame, tokenizer: str, text: str = "text", doc_id:
     rows = numbered(docs, {"doc_id": F.col(f"`{doc_id}`").cast("long"), "body": text_of(text)})
     short = rows.where(F.length("body") < long_chars).mapInArrow(_whole(tokenizer), _CODED_DDL)
     cut = rows.where(F.length("body") >= long_chars).mapInArrow(_cut(tokenizer, piece), _PIECES_DDL)
-    coded = cut.repartition("uid", "place").mapInArrow(_encode_pieces(tokenizer), _PIECES_DDL)
+    # a number keeps adaptive execution from merging the few rows of much work
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    coded = cut.repartition(tasks, "uid", "place").mapInArrow(_encode_pieces(tokenizer), _PIECES_DDL)
     long = coded.select("uid", "doc_id", "place", "kind", "ids").groupBy("uid").applyInPandas(
         _joined(tokenizer), _CODED_DDL)
     return short.unionByName(long)
