@@ -296,3 +296,59 @@ def test_feature_modes(spark):
     assert seqs.target_columns("MS", ["a", "target"]) == ["target"]
     with pytest.raises(ValueError):
         seqs.feature_mode(rows, "Q", "target")
+
+
+def _sample_rows(n, symbol):
+    import random
+
+    rng = random.Random(symbol)
+    return [(symbol, k, [[float(rng.random()), 2.0]] * 3, [[float(rng.random()), 1.0]]) for k in range(n)]
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_merged_fits_do_not_depend_on_how_samples_are_cut(spark, parts):
+    import numpy as np
+    from tidemark.operators import models as mod
+
+    rows = _sample_rows(300, "hot") + _sample_rows(3, "b") + _sample_rows(2, None)
+    samples = spark.createDataFrame(rows, "symbol string, sample_id long, x array<array<double>>, y array<array<double>>").repartition(parts)
+    fit = mod.MergeableFit(
+        lambda rows: np.array([len(rows), sum(y[0][0] for y in rows["y"]), max(y[0][0] for y in rows["y"])]),
+        lambda a, b: np.array([a[0] + b[0], a[1] + b[1], max(a[2], b[2])]),
+        lambda s: [s[1] / s[0], s[2]])
+    found = {r.symbol: r for r in mod.fit_mergeable(samples, fit, ["symbol"], ["y"], spread=3).collect()}
+    assert set(found) == {"hot", "b", None}
+    for symbol in found:
+        targets = [r[3][0][0] for r in rows if r[0] == symbol]
+        assert found[symbol].n == len(targets) and found[symbol].error is None
+        assert found[symbol].params == pytest.approx([sum(targets) / len(targets), max(targets)])
+
+    def picky(rows):
+        if (rows["symbol"] == "b").any():
+            raise ArithmeticError("no")
+        return np.zeros(1)
+
+    failing = {r.symbol: r for r in mod.fit_mergeable(samples, mod.MergeableFit(picky, lambda a, b: a, lambda s: s), ["symbol"]).collect()}
+    assert failing["b"].params is None and "no" in failing["b"].error and failing["hot"].params == [0.0]
+    assert mod.fit_mergeable(samples.limit(0), fit, ["symbol"], ["y"]).count() == 0
+
+
+def test_penalties_share_their_sums(spark):
+    from tidemark.operators import models as mod
+
+    rows = _sample_rows(60, "a") + _sample_rows(40, "b")
+    samples = spark.createDataFrame(rows, "symbol string, sample_id long, x array<array<double>>, y array<array<double>>")
+    read = []
+    candidates = mod.ridge_candidates({"one": 0.01, "two": 5.0}, ["symbol"], 3, lags=2)
+    prepare = candidates["one"].prepare
+    assert prepare is candidates["two"].prepare
+    counted = {n: mod.Candidate(c.fit, c.score, lambda s: read.append(n) or prepare(s)) for n, c in [("one", candidates["one"])]}
+    best = {r.symbol: r for r in mod.train_best(samples, samples, candidates, ["symbol"], 1).collect()}
+    for symbol in ("a", "b"):
+        own = {}
+        for name, alpha in (("one", 0.01), ("two", 5.0)):
+            model = mod.fit_ridge(samples, ["symbol"], 3, lags=2, alpha=alpha)
+            own[name] = {r.symbol: r.val_loss for r in mod.evaluate(samples, model, mod.ridge_score(2), ["symbol"], 1).collect()}[symbol]
+        assert best[symbol].model == min(own, key=own.get) and best[symbol].val_loss == pytest.approx(min(own.values()))
+    mod.train_best(samples, samples, counted, ["symbol"], 1)
+    assert read == ["one"]

@@ -1,8 +1,9 @@
 """Per-symbol training, scoring and evaluation with pluggable models.
 
 A model is fitted from samples (see ``sequences.make_windows``) and scored in Arrow batches. No
-step gathers a symbol in one place: the built-in ridge model is solved from sums, and a custom
-``fit_fn`` sees bounded shards of a symbol whose parameters are averaged by sample count.
+step gathers a symbol in one place: the built-in ridge model is solved from sums, a custom model is
+fitted in parts whose states are merged (``MergeableFit``), and a plain ``fit_fn`` sees bounded shards of a symbol
+whose parameters are averaged by sample count.
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.operators.joins import lookup_join
+from tidemark.operators.joins import lookup_join, null_safe_join
 from tidemark.operators.metrics import window_errors
+from tidemark.session import settle
 
 # ({lane: array[batch, rows, columns]}, params per row, pred) -> forecast[batch, pred, features]
 ScoreFn = Callable[[Mapping[str, np.ndarray], Sequence[np.ndarray], int], np.ndarray]
@@ -52,15 +54,11 @@ def _gram_names(lags: int) -> list[tuple[str, int, int]]:
     return [(f"g_{i}_{j}", i, j) for i in range(size) for j in range(i, size)]
 
 
-def fit_ridge(
-    samples: DataFrame, keys: Sequence[str], seq: int, lags: int = 4, alpha: float = 1e-3
-) -> DataFrame:
-    """Model table (keys, n, params, error): one linear autoregression per key and feature.
+def ridge_sums(samples: DataFrame, keys: Sequence[str], seq: int, lags: int) -> DataFrame:
+    """Per key and feature the sums of products of (1, last ``lags`` values, next value), and ``n``: all that a ridge
+    model of any penalty needs, in one partial + final aggregate. Sums of parts of the samples may be added up.
 
-    The sums of products of (1, last ``lags`` values, next value) are one partial + final
-    aggregate; the (lags + 1)-sized systems are then solved in batches, one row each. A sample takes
-    part in a feature where all its values are there. A key with a feature that has no such sample,
-    or whose system has no solution, has NULL params and the error text.
+    A sample takes part in a feature where all its values are there.
     """
     if lags > seq:
         raise ValueError("lags must not exceed seq")
@@ -76,14 +74,19 @@ def fit_ridge(
         *[F.col("_recent")[i][F.col("feature")].cast("double").alias(f"v{i + 1}") for i in range(lags)],
         F.col("_target").cast("double").alias(f"v{lags + 1}"),
     )
-    names = _gram_names(lags)
     whole = reduce(and_, [F.col(f"v{i}").isNotNull() for i in range(1, lags + 2)])
-    sums = cells.withColumn("_whole", whole).groupBy(*keys, "feature").agg(
+    return cells.withColumn("_whole", whole).groupBy(*keys, "feature").agg(
         F.count_if("_whole").alias("n"),
         *[F.coalesce(F.sum(F.when(F.col("_whole"), F.col(f"v{i}") * F.col(f"v{j}"))), F.lit(0.0)).alias(name)
-          for name, i, j in names],
+          for name, i, j in _gram_names(lags)],
     )
-    key_fields = [samples.schema[k] for k in keys]
+
+
+def solve_ridge(sums: DataFrame, keys: Sequence[str], lags: int, alpha: float) -> DataFrame:
+    """Model table (keys, n, params, error) from ``ridge_sums``: a (lags + 1)-sized system per key and feature, solved
+    in batches, one row each."""
+    names = _gram_names(lags)
+    key_fields = [sums.schema[k] for k in keys]
     schema = T.StructType(
         [
             *key_fields,
@@ -113,6 +116,17 @@ def fit_ridge(
     ).select(*keys, "n", F.when(F.col("error").isNull(), F.flatten("_w.weights")).alias("params"), "error")
 
 
+def fit_ridge(
+    samples: DataFrame, keys: Sequence[str], seq: int, lags: int = 4, alpha: float = 1e-3
+) -> DataFrame:
+    """Model table (keys, n, params, error): one linear autoregression per key and feature.
+
+    The samples are read once, for ``ridge_sums``. A key with a feature that has no sample with all values, or
+    whose system has no solution, has NULL params and the error text.
+    """
+    return solve_ridge(ridge_sums(samples, keys, seq, lags), keys, lags, alpha)
+
+
 def _solution(system: np.ndarray, target: np.ndarray, n: int) -> tuple[np.ndarray | None, str | None]:
     if not n:
         return None, "no sample has all values"
@@ -196,6 +210,86 @@ def train_per_symbol(
     )
 
 
+@dataclass(frozen=True)
+class MergeableFit:
+    """A model that is fitted in parts: ``state`` of a part of a key's samples, ``merge`` of two states, and
+    ``finish``, the parameters of a state. States are vectors of one length; merging must not depend on the order."""
+
+    state: Callable[[pd.DataFrame], np.ndarray]
+    merge: Callable[[np.ndarray, np.ndarray], np.ndarray]
+    finish: Callable[[np.ndarray], np.ndarray]
+
+
+def fit_mergeable(
+    samples: DataFrame, fit: MergeableFit, keys: Sequence[str], columns: Sequence[str] | None = None, spread: int = 256,
+) -> DataFrame:
+    """Model table (keys, n, params, error) of a fit whose parts can be merged: the model over all samples of a
+    key, however they are cut.
+
+    States are made batch by batch and merged within the task before anything is shuffled, then in
+    ``spread`` groups per key, then per key; a key with a third of all samples sends one state per task. A
+    failing part or merge leaves NULL params and the error text, and stops no other key.
+    """
+    if columns is not None:
+        samples = samples.select(*dict.fromkeys([*keys, *columns]))
+    key_fields = [samples.schema[k] for k in keys]
+    part = [T.StructField("n", T.LongType()), T.StructField("state", T.ArrayType(T.DoubleType())), T.StructField("error", T.StringType())]
+    bare = T.StructType([*key_fields, *part])
+    given = list(samples.columns)
+
+    def add(held: tuple | None, n: int, state, error: str | None) -> tuple:
+        try:
+            if held is None or error or held[2]:
+                return (n + (held[0] if held else 0), state if not error else None, (held and held[2]) or error)
+            return held[0] + n, fit.merge(held[1], state), None
+        except Exception as failure:  # one key's failure must not stop the others
+            return held[0] + n, None, f"{type(failure).__name__}: {failure}"
+
+    def table(held: dict) -> pd.DataFrame:
+        rows = [(*key, n, None if error else np.asarray(state, dtype=float).ravel(), error) for key, (n, state, error) in held.items()]
+        return pd.DataFrame(rows, columns=bare.fieldNames()).astype({"n": "int64"}) if rows else pd.DataFrame(columns=bare.fieldNames())
+
+    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple, tuple] = {}
+        for batch in batches:
+            for key, rows in batch.groupby(list(keys), sort=False, dropna=False):
+                key = tuple(None if v != v else v for v in key)
+                try:
+                    state, error = fit.state(rows[given].reset_index(drop=True)), None
+                except Exception as failure:
+                    state, error = None, f"{type(failure).__name__}: {failure}"
+                held[key] = add(held.get(key), len(rows), state, error)
+            if len(held) > 10_000:
+                yield table(held)
+                held = {}
+        if held:
+            yield table(held)
+
+    def merged(rows: pd.DataFrame) -> pd.DataFrame:
+        held = None
+        for n, state, error in zip(rows["n"], rows["state"], rows["error"]):
+            held = add(held, int(n), state, error)
+        return table({tuple(None if rows[k].iloc[0] != rows[k].iloc[0] else rows[k].iloc[0] for k in keys): held})
+
+    def finished(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = batch[[*keys, "n"]].copy()
+            solved = []
+            for state, error in zip(batch["state"], batch["error"]):
+                try:
+                    solved.append((np.asarray(fit.finish(np.asarray(state)), dtype=float).ravel(), None) if error is None else (None, error))
+                except Exception as failure:
+                    solved.append((None, f"{type(failure).__name__}: {failure}"))
+            out["params"], out["error"] = [p for p, _ in solved], [e for _, e in solved]
+            yield out
+
+    states = samples.mapInPandas(parts, bare)
+    group = F.pmod(F.spark_partition_id(), F.lit(spread)).alias("_group")
+    some = states.select("*", group).groupBy(*keys, "_group").applyInPandas(merged, bare)
+    params = T.StructType([*key_fields, part[0], T.StructField("params", T.ArrayType(T.DoubleType())), part[2]])
+    return some.groupBy(*keys).applyInPandas(merged, bare).mapInPandas(finished, params)
+
+
 LANES = ("x", "x_mark", "x_dec", "x_mark_dec")
 
 
@@ -256,10 +350,26 @@ def predict_per_symbol(
 
 @dataclass(frozen=True)
 class Candidate:
-    """A trainable model: ``fit(samples) -> model table`` and its scoring function."""
+    """A trainable model: ``fit(samples) -> model table`` and its scoring function. Candidates with one ``prepare``
+    share its result, made once and written, which ``fit`` then gets in place of the samples."""
 
     fit: Callable[[DataFrame], DataFrame]
     score: ScoreFn
+    prepare: Callable[[DataFrame], DataFrame] | None = None
+
+
+def ridge_candidates(
+    alphas: Mapping[str, float], keys: Sequence[str], seq: int, lags: int = 4
+) -> dict[str, Candidate]:
+    """Ridge models of several penalties, all solved from one set of sums."""
+
+    def prepare(samples: DataFrame) -> DataFrame:
+        return ridge_sums(samples, keys, seq, lags)
+
+    return {
+        name: Candidate(lambda sums, a=alpha: solve_ridge(sums, keys, lags, a), ridge_score(lags), prepare)
+        for name, alpha in alphas.items()
+    }
 
 
 def evaluate(
@@ -275,16 +385,66 @@ def evaluate(
     )
 
 
+def _losses(
+    samples: DataFrame, tables: DataFrame, scores: Mapping[str, ScoreFn], keys: Sequence[str], pred: int
+) -> DataFrame:
+    """Per key and model the mean squared error over ``samples``, all models scored in one pass. Cells without a
+    value, and rows that a model cannot score, do not count."""
+    flat = samples.select(
+        *keys, F.flatten("x").alias("_x"), F.size("x").alias("_rows"), F.flatten(F.slice("y", 1, pred)).alias("_y"))
+    usable = tables.filter(F.col("params").isNotNull())
+    wide = usable.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("model", "params"))).alias("_models"))
+    joined = lookup_join(flat, wide, keys, how="inner")
+    schema = T.StructType([*[samples.schema[k] for k in keys], T.StructField("model", T.StringType()),
+                           T.StructField("_sum", T.DoubleType()), T.StructField("_cells", T.LongType())])
+
+    def squares(rows: pd.DataFrame, name: str) -> list[tuple[float, int]]:
+        try:
+            x = np.stack(rows["_x"]).reshape(len(rows), int(rows["_rows"].iloc[0]), -1)
+            params = [dict(m)[name] for m in rows["_models"]]
+            forecast = np.asarray(scores[name]({"x": x}, params, pred), dtype=float).reshape(len(rows), -1)
+            delta = forecast - np.stack([np.asarray(y, dtype=float) for y in rows["_y"]])
+            known = ~np.isnan(delta)
+            return list(zip(np.where(known, delta * delta, 0.0).sum(axis=1), known.sum(axis=1)))
+        except Exception:  # some row fails: find out which
+            if len(rows) == 1:
+                return [(0.0, 0)]
+            return [s for k in range(len(rows)) for s in squares(rows.iloc[k:k + 1], name)]
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name in scores:
+                own = batch[[name in dict(m) for m in batch["_models"]]]
+                if own.empty:
+                    continue
+                shapes = [own["_x"].map(len), own["_y"].map(len), own["_models"].map(lambda m: len(dict(m)[name]))]
+                for _, alike in own.groupby(shapes, sort=False):
+                    out = alike[list(keys)].copy()
+                    out["model"] = name
+                    found = squares(alike, name)
+                    out["_sum"], out["_cells"] = [float(s) for s, _ in found], [int(n) for _, n in found]
+                    yield out
+
+    sums = joined.mapInPandas(score, schema).groupBy(*keys, "model").agg(F.sum("_sum").alias("_sum"), F.sum("_cells").alias("_cells"))
+    return sums.select(*keys, "model", F.try_divide("_sum", "_cells").alias("val_loss"))
+
+
 def train_best(
     train: DataFrame, val: DataFrame, candidates: Mapping[str, Candidate], keys: Sequence[str], pred: int
 ) -> DataFrame:
     """The candidate with the smallest validation loss per key: (keys, model, n, params, error,
-    val_loss). A candidate that failed for a key loses to any that did not."""
+    val_loss) (runs jobs). A candidate that failed for a key loses to any that did not; a loss without validation
+    samples is 0.0. What candidates share is made once, and the validation samples are read once for all."""
+    prepared: dict[Callable, DataFrame] = {}
     tables = None
     for name, candidate in candidates.items():
-        losses = evaluate(val, candidate.fit(train), candidate.score, keys, pred)
-        named = losses.withColumn("model", F.lit(name))
-        tables = named if tables is None else tables.unionByName(named)
+        if candidate.prepare is not None and candidate.prepare not in prepared:
+            prepared[candidate.prepare] = settle(candidate.prepare(train))
+        fitted = candidate.fit(prepared[candidate.prepare] if candidate.prepare else train).withColumn("model", F.lit(name))
+        tables = fitted if tables is None else tables.unionByName(fitted)
+    tables = settle(tables)
+    losses = _losses(val, tables, {name: c.score for name, c in candidates.items()}, keys, pred)
+    known = null_safe_join(tables, losses, [*keys, "model"], "left").withColumn("val_loss", F.coalesce("val_loss", F.lit(0.0)))
     rank = F.struct(F.col("params").isNull(), "val_loss", "model")
     row = F.struct("model", "n", "params", "error", "val_loss")
-    return tables.groupBy(*keys).agg(F.min_by(row, rank).alias("_best")).select(*keys, "_best.*")
+    return known.groupBy(*keys).agg(F.min_by(row, rank).alias("_best")).select(*keys, "_best.*")

@@ -482,11 +482,7 @@ _HEAVY = 25.0
 def ridge_choice_lag1(spark, sf_dir):
     """The better of a light and a heavy penalty for each symbol, by validation loss."""
     samples = _splits(spark, sf_dir)
-    candidates = {
-        name: mod.Candidate(
-            lambda s, a=alpha: mod.fit_ridge(s, ["symbol"], _FEW_SEQ, lags=1, alpha=a), mod.ridge_score(1))
-        for name, alpha in (("light", _ALPHA), ("heavy", _HEAVY))
-    }
+    candidates = mod.ridge_candidates({"light": _ALPHA, "heavy": _HEAVY}, ["symbol"], _FEW_SEQ, lags=1)
     best = mod.train_best(samples.filter("split = 'train'"), samples.filter("split = 'val'"), candidates, ["symbol"], _FEW_PRED)
     return best.select("symbol", "model", F.round("val_loss", 6).alias("val_loss"))
 
@@ -495,12 +491,7 @@ def ridge_choice_lag1(spark, sf_dir):
 def ridge_training(spark, sf_dir):
     samples = _splits(spark, sf_dir)
     train, val = samples.filter("split = 'train'"), samples.filter("split = 'val'")
-    candidates = {
-        f"ridge_{alpha}": mod.Candidate(
-            lambda s, a=alpha: mod.fit_ridge(s, ["symbol"], _FEW_SEQ, lags=3, alpha=a), mod.ridge_score(3)
-        )
-        for alpha in (0.01, 1.0)
-    }
+    candidates = mod.ridge_candidates({f"ridge_{a}": a for a in (0.01, 1.0)}, ["symbol"], _FEW_SEQ, lags=3)
     return mod.train_best(train, val, candidates, ["symbol"], _FEW_PRED)
 
 
@@ -518,6 +509,40 @@ def ridge_forecast(spark, sf_dir):
     return spark.read.parquet(publish_forecast(forecast, root, points_path=f"{root}/points"))
 
 
+_STEPS = [f"f{i}.a + f{i}.b * x{i}" for i in range(len(TICK))]
+_FORECAST = [f"CASE WHEN h = 1 THEN {p} ELSE f{i}.a + f{i}.b * ({p}) END * ({c}_hi - {c}_lo) + {c}_lo"
+             for i, (c, p) in enumerate(zip(TICK, _STEPS))]
+_ENDS = ", ".join(
+    f"CASE WHEN {c}_hi <> {c}_lo THEN CAST(CAST(({c} - {c}_lo) / CAST({c}_hi - {c}_lo AS DOUBLE) AS FLOAT) AS DOUBLE) "
+    f"ELSE 0 END AS x{i}" for i, c in enumerate(TICK))
+
+
+@query(
+    "forecast_published_lag1",
+    f"""WITH {_CELLS}, ends AS (SELECT *, {_ENDS} FROM (SELECT *, {_BOUNDS} FROM placed) WHERE position = series_length - 1
+    AND series_length >= {_FEW_SEQ})
+    SELECT ends.symbol, event_time + h * INTERVAL 1 SECOND AS event_time,
+    {', '.join(f'ROUND({p}, 6) AS {c}' if c != 'trade_count' else f'CAST(TRUNC({p}) AS BIGINT) AS {c}' for c, p in zip(TICK, _FORECAST))},
+    {_FEW_PRED} AS n_points FROM ends
+    {' '.join(f'JOIN fit f{i} ON f{i}.symbol = ends.symbol AND f{i}.feature = {i}' for i in range(len(TICK)))},
+    generate_series(1, {_FEW_PRED}) g(h)""",
+)
+def forecast_published_lag1(spark, sf_dir):
+    """Train, forecast the next steps of every symbol, publish; the table and the number of points read back."""
+    tickers = fr.tickers(spark, sf_dir, "user_id")
+    _, model = _lag_one(spark, sf_dir)
+    forecast = fc.forecast_table(
+        tickers, _FEW_SEQ, _FEW_PRED,
+        lambda s: mod.predict_per_symbol(s, model, mod.ridge_score(1), ["symbol"], _FEW_PRED),
+    )
+    root = scratch_path(spark, "forecast")
+    stored = spark.read.parquet(publish_forecast(forecast, root, points_path=f"{root}/points"))
+    points = spark.read.text(f"{root}/points").groupBy(F.regexp_extract("value", "symbol=([^ ,]+)", 1).alias("symbol")).agg(
+        F.count(F.lit(1)).cast("int").alias("n_points"))
+    return stored.join(points, "symbol", "left").select(
+        "symbol", "event_time", *[F.round(c, 6).alias(c) if c != "trade_count" else F.col(c) for c in TICK], "n_points")
+
+
 @query("ridge_backtest")
 def ridge_backtest(spark, sf_dir):
     samples = _splits(spark, sf_dir)
