@@ -25,11 +25,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import Batches, give_back, identified, only_rows, text_of
 from tidemark.llm.components import components
+from tidemark.operators.joins import lookup_join
 from tidemark.session import scratch_path, settle, settle_sized
 
 BITS = 48  # of a shingle's hash
 ORDER_BITS = 21  # counters of the global order: 2**21, 8 MB
 SLICES = 64  # the counters travel in so many parts
+SUM_GROUPS = 256  # and are summed in so many groups first
 FRAGMENTS = 4
 PARITY = 1024  # bits of a set's parity map
 BROADCAST_BYTES = 32 << 20
@@ -139,7 +141,7 @@ def _enter(width: int):
         count()
         if counts.any():
             parts = counts.reshape(SLICES, -1)
-            yield _batch([("order", k, None, None, None, None, zlib.compress(parts[k].astype("<u4").tobytes(), 1))
+            yield _batch([("order", k, None, None, None, None, zlib.compress(parts[k].astype("<u8").tobytes(), 1))
                           for k in range(SLICES)], _ENTRY)
         del counts, seen
         _words.clear()
@@ -149,18 +151,22 @@ def _enter(width: int):
 
 
 def _sum_counts(frame: pd.DataFrame) -> pd.DataFrame:
-    total = sum(np.frombuffer(zlib.decompress(data), "<u4").astype(np.uint64) for data in frame["data"])
-    return pd.DataFrame({"uid": [frame["uid"].iloc[0]], "data": [total.astype("<u8").tobytes()]})
+    total = np.zeros((1 << ORDER_BITS) // SLICES, np.uint64)
+    for data in frame["data"]:
+        total += np.frombuffer(zlib.decompress(data), "<u8")
+    return pd.DataFrame({"uid": [frame["uid"].iloc[0]], "data": [zlib.compress(total.astype("<u8").tobytes(), 1)]})
 
 
 def global_order(entries: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Rank of each hash class, rare first, and the ranks at which the order is cut into fragments of equal
-    weight. The driver gets the counters, 16 MB at any size of the input."""
-    parts = entries.where("kind = 'order'").select("uid", "data").groupBy("uid").applyInPandas(
-        _sum_counts, "uid long, data binary").collect()
+    weight. Tasks' counters are summed in two levels, so no group holds those of all tasks; the driver gets
+    the sums, 16 MB at any size of the input."""
+    sent = entries.where("kind = 'order'").select("uid", "data", F.pmod(F.spark_partition_id(), F.lit(SUM_GROUPS)).alias("group"))
+    some = sent.groupBy("uid", "group").applyInPandas(_sum_counts, "uid long, data binary")
+    parts = some.groupBy("uid").applyInPandas(_sum_counts, "uid long, data binary").collect()
     counts = np.zeros((SLICES, (1 << ORDER_BITS) // SLICES), np.uint64)
     for uid, data in parts:
-        counts[uid] = np.frombuffer(data, "<u8")
+        counts[uid] = np.frombuffer(zlib.decompress(data), "<u8")
     counts = counts.reshape(-1)
     order = np.argsort(counts, kind="stable")
     rank = np.empty(len(order), np.uint32)
@@ -444,7 +450,8 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     placed = settle(join.documents.join(roots, "rep", "left").select(
         "uid", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "rep").alias("component")))
     smallest = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return placed.join(smallest, "component").select("uid", "doc_id", "n_shingles", "component", "component_id")
+    # sized, and salted if large: one component may hold a third of all rows
+    return lookup_join(placed, smallest, ["component"]).select("uid", "doc_id", "n_shingles", "component", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **threshold: int) -> DataFrame:
