@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import selection as sel
-from tidemark.operators.joins import lookup_join
+from tidemark.operators.joins import _with_salts, hot_keys, lookup_join
 from tidemark.operators.windows import aggregate_window, epoch_micros, interval_micros
 from tidemark.plans import dashboards as d, views as v
 
@@ -170,6 +170,27 @@ def test_copies_of_one_row_spread_over_the_salts(spark):
     assert "_salt" in plan and "SPARK_PARTITION_ID" in plan
 
 
+def test_only_hot_keys_are_repeated(spark):
+    n = 30_000  # a third of the rows has one key, a tenth none, the rest are keys of their own
+    key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 10 == 1, None).otherwise(F.col("id"))
+    left = spark.range(n, numPartitions=6).select(key.cast("long").alias("k"), F.col("id").alias("v"))
+    table = spark.range(n).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w")).union(
+        spark.createDataFrame([(None, -1)], "k long, w long"))
+    hot, found = hot_keys(left, ["k"], 100)
+    salts = {r["_hash"]: r["_salts"] for r in hot.collect()}
+    wanted = {r["k"]: r["h"] for r in spark.createDataFrame([(0,), (None,)], "k long").select("k", F.xxhash64("k").alias("h")).collect()}
+    assert found == 2 and set(salts) == set(wanted.values())
+    assert salts[wanted[0]] in (33, 34) and 5 <= salts[wanted[None]] <= 8
+    joined = lookup_join(left, table, ["k"], broadcast_bytes=0, slices=100)
+    assert joined.count() == n
+    assert joined.filter(~F.col("w").eqNullSafe(F.coalesce(F.col("k") * 2, F.lit(-1)))).count() == 0
+    exploded = _with_salts(table, ["k"], hot).select(F.sum(F.coalesce("_salts", F.lit(1)))).first()[0]
+    assert exploded == n + 1 + sum(salts.values()) - 2
+    even = lookup_join(table, table.withColumnRenamed("w", "u"), ["k"], broadcast_bytes=0, slices=100)
+    assert "_salt" not in even._jdf.queryExecution().optimizedPlan().toString() and even.count() == n + 1
+    assert lookup_join(left.limit(0), table, ["k"], broadcast_bytes=0).count() == 0
+
+
 def test_measured_size(spark):
     from tidemark.session import settle_sized
 
