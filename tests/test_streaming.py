@@ -1,4 +1,7 @@
 import json
+import os
+import pathlib
+import shutil
 from datetime import datetime, timedelta
 
 import pytest
@@ -151,6 +154,49 @@ def test_selection_lists_folders_and_starts_no_job(spark, folder):
     assert archive.read_archive(spark, folder, "ticker", 1000).count() == 0
 
 
+def test_an_index_lists_few_folders_of_a_long_archive(spark, folder, monkeypatch):
+    day = 86_400
+    write_batches(spark, folder, [d * day + h for d in range(100, 110) for h in (0, 7)])
+    base, marks = f"{folder}/trade", {f"q~{b}": e for b, e in enumerate(d * day + h for d in range(100, 110) for h in (0, 7))}
+    shutil.rmtree(f"{base}/_days")  # an archive from before there was an index
+    cases = [lambda: archive.newest_batches(spark, folder, "trade", 109 * day + 9, 1, 3),
+             lambda: sorted(r.ingest_epoch for r in archive.read_since(spark, folder, "trade", 108 * day + 5, 0).collect()),
+             lambda: sorted(r.ingest_epoch for r in archive.read_batches(spark, folder, "trade", [103 * day, 104 * day + 7]).collect()),
+             lambda: archive.newest_batches(spark, folder, "trade", 500 * day, 0, 1000)]
+    before = [case() for case in cases]
+    assert before[0] == [108 * day + 7, 108 * day, 107 * day + 7] and len(before[3]) == 20
+    archive.index_archive(spark, folder, "trade")
+    found = {p.name.partition("~")[2]: int(p.name.partition("~")[0]) for p in pathlib.Path(base, "_days").glob("*/[0-9]*")}
+    assert found == marks
+    for year in range(1000, 1365):  # days without a batch that is wanted
+        os.makedirs(f"{base}/_days/{year}")
+    asked = []
+    monkeypatch.setattr(archive, "names", lambda s, path: asked.append(path) or files.names(s, path))
+    monkeypatch.setattr(archive, "_listed", None)
+    counts = []
+    for case, wanted in zip(cases[:3], before):
+        asked.clear()
+        assert case() == wanted
+        counts.append(len(asked))
+    assert counts[0] == 3 and counts[2] == 3  # the days, and two of them
+    monkeypatch.undo()
+    kept = spark.read.parquet(f"{base}/query_id=q/batch_id=19").drop("ingest_epoch")
+    rows = spark.createDataFrame(kept.collect(), kept.schema)
+    sinks.archive_batch(rows, f"{base}/query_id=q", 19, 120 * day)  # a second attempt, days later
+    assert archive.newest_batches(spark, folder, "trade", 500 * day, 0, 2) == [120 * day, 109 * day]
+    sinks.archive_batch(rows.limit(0), f"{base}/query_id=q", 19, 121 * day)
+    assert archive.newest_batches(spark, folder, "trade", 500 * day, 0, 1) == [109 * day]
+    assert archive.open_archive(spark, folder, "trade").count() == 19
+
+
+def test_plain_folders_get_no_index(spark, folder):
+    write_batches(spark, folder, [100])
+    os.rename(f"{folder}/trade/query_id=q/batch_id=0/ingest_epoch=100", f"{folder}/trade/400")
+    archive.index_archive(spark, folder, "trade")
+    assert not os.path.exists(f"{folder}/trade/_days/_ready")
+    assert archive.newest_batches(spark, folder, "trade", 1000, 0) == [400]
+
+
 def test_a_registered_stream_has_a_table_and_lines(spark, folder):
     from tidemark.operators.points import to_line_protocol
     from tidemark.schemas import stream_spec, table_ddl

@@ -74,18 +74,35 @@ def get_file(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def subfolders(spark: SparkSession, path: str, prefix: str) -> dict[int, str]:
-    """The folders named ``{prefix}{number}`` in a folder, by number."""
+def file_exists(spark: SparkSession, path: str) -> bool:
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return file.getFileSystem(spark._jsc.hadoopConfiguration()).exists(file)
+
+
+def paths_of(spark: SparkSession, statuses) -> list[str]:
+    """The paths of a listing, in a few calls of the JVM however long it is."""
+    jvm = spark._jvm
+    found = jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(statuses)
+    if found is None or not len(found):
+        return []
+    plain = spark.sparkContext._gateway.new_array(jvm.java.lang.Object, len(found))
+    jvm.java.lang.System.arraycopy(found, 0, plain, 0, len(found))
+    return jvm.org.apache.commons.lang3.StringUtils.join(plain, "\n").split("\n")
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, none if there is no such folder; one listing."""
     base = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = base.getFileSystem(spark._jsc.hadoopConfiguration())
     if not system.exists(base):
-        return {}
-    found = {}
-    for status in system.listStatus(base):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(prefix) and name.removeprefix(prefix).isdigit():
-            found[int(name.removeprefix(prefix))] = status.getPath().toString()
-    return dict(sorted(found.items()))
+        return []
+    return [found.rpartition("/")[2] for found in paths_of(spark, system.listStatus(base))]
+
+
+def subfolders(spark: SparkSession, path: str, prefix: str) -> dict[int, str]:
+    """The folders named ``{prefix}{number}`` in a folder, by number."""
+    tails = ((n.removeprefix(prefix), n) for n in names(spark, path) if n.startswith(prefix))
+    return dict(sorted((int(tail), f"{path}/{n}") for tail, n in tails if tail.isdigit()))
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:

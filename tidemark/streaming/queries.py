@@ -15,7 +15,7 @@ from tidemark.operators.cleaning import normalize_messages
 from tidemark.operators.selection import latest
 from tidemark.operators.windows import aggregate_window
 from tidemark.sources.files import drop_folder, get_file, put_file, subfolders
-from tidemark.streaming.sinks import _start, write_archive, write_points
+from tidemark.streaming.sinks import _start, write_archive, write_both, write_points
 
 
 def live_windows(
@@ -233,6 +233,15 @@ def start_stream(
     return StreamQueries(points, archive)
 
 
+def start_stream_once(
+    messages: DataFrame, stream: str, archive_root: str, checkpoint_root: str, *, strict: bool = False,
+    symbols: Sequence[str] | None = None, trigger: str | None = "60 seconds", event_time: str | None = None, **targets,
+) -> StreamingQuery:
+    """Like ``start_stream`` with one query for both sinks, which reads and parses a message once (see ``write_both``)."""
+    rows = normalize_messages(messages, stream, strict, symbols, event_time)
+    return write_both(rows, stream, archive_root, f"{checkpoint_root}/{stream}/both", trigger=trigger, **targets)
+
+
 def await_any(spark: SparkSession, timeout: float | None = None) -> bool | None:
     """Block until any query ends; a failure in any of them is raised here at once."""
     if timeout is None:

@@ -8,7 +8,6 @@ import urllib.request
 from collections.abc import Callable, Iterator
 from itertools import islice
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,9 +15,9 @@ from tidemark.functions.encoding import has_fields, line_protocol
 from tidemark.operators.points import to_line_protocol
 from tidemark.schemas import TABLE_SCHEMAS, StreamSpec, stream_spec
 from tidemark.session import settle
-from tidemark.sources.files import subfolders
-
-LinesWriter = Callable[[Iterator[str]], None]
+from tidemark.sources.archive import index_archive, mark_batch, unmark_batch
+from tidemark.sources.files import file_exists, subfolders
+from tidemark.streaming.store import LinesWriter, deliver, line_store
 
 
 def trigger_options(trigger: str | None) -> dict:
@@ -50,7 +49,9 @@ def write_archive(
     ``table`` names a catalogue table over the archive (see ``register_tables``): each batch becomes one of
     its partitions once its files are there, so the next query of the table sees it.
     """
-    folder = f"{root}/{stream_spec(stream).name}"
+    name = stream_spec(stream).name
+    folder = f"{root}/{name}"
+    index_archive(stream_df.sparkSession, root, name)
 
     def save(batch: DataFrame, batch_id: int) -> None:
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
@@ -64,7 +65,13 @@ def write_archive(
 
 
 def archive_batch(batch: DataFrame, folder: str, batch_id: int, epoch: int) -> None:
-    """Write one batch, replacing an earlier attempt of the same batch."""
+    """Write one batch, replacing an earlier attempt of the same batch.
+
+    ``folder`` is ``{root}/{stream}/query_id=Q``. The batch enters the archive's index once its files are there; an
+    earlier attempt leaves it before its files go, so the index never names a folder that is not there.
+    """
+    stream, _, query = folder.rpartition("/query_id=")
+    unmark_batch(batch.sparkSession, stream, query, batch_id)
     (
         batch.withColumn("ingest_epoch", F.lit(epoch))
         .write.mode("overwrite")
@@ -72,6 +79,8 @@ def archive_batch(batch: DataFrame, folder: str, batch_id: int, epoch: int) -> N
         .partitionBy("ingest_epoch")
         .parquet(f"{folder}/batch_id={batch_id}")
     )
+    for written in subfolders(batch.sparkSession, f"{folder}/batch_id={batch_id}", "ingest_epoch="):
+        mark_batch(batch.sparkSession, stream, query, batch_id, written)  # none of a batch without rows
 
 
 def commit_partition(spark: SparkSession, table: str, folder: str, query: str, batch_id: int) -> None:
@@ -111,14 +120,31 @@ def http_lines_writer(url: str, token: str, batch_lines: int = 5_000, attempts:
     return send
 
 
-def send_lines(lines: DataFrame, writer: LinesWriter) -> None:
-    """Hand each partition's lines to ``writer`` on the executors, in Arrow batches."""
+def send_lines(lines: DataFrame, writer: LinesWriter, ledger: str | None = None, batch: str | None = None) -> bool:
+    """Hand each partition's lines to ``writer`` on the executors (an action).
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        writer(line for batch in batches for line in batch.column(0).to_pylist())
-        yield from ()
+    A task that is tried again sends its own lines only. With a ``ledger`` folder the write of ``batch`` is recorded
+    there once all tasks are through, and is not done again; the result is whether it was done.
+    """
+    return deliver(lines, line_store(ledger, writer), batch)
 
-    lines.select("line").mapInArrow(send, "line string").write.format("noop").mode("overwrite").save()
+
+def _points_saver(
+    stream: str | StreamSpec, path: str | None, writer: LinesWriter | None, ledger: str | None, store: str | None
+) -> Callable[[DataFrame, int], None]:
+    if sum(target is not None for target in (path, writer, store)) != 1:
+        raise ValueError("give one of path, writer and store")
+    target = None if path is not None else line_store(store or ledger, writer)
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        lines = to_line_protocol(batch, stream)
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if target is not None:
+            deliver(lines, target, f"{query}-{batch_id}")
+        else:
+            lines.write.mode("overwrite").text(f"{path}/query_id={query}/batch_id={batch_id}")
+
+    return save
 
 
 def write_points(
@@ -128,23 +154,58 @@ def write_points(
     *,
     path: str | None = None,
     writer: LinesWriter | None = None,
+    ledger: str | None = None,
+    store: str | None = None,
     trigger: str | None = None,
 ) -> StreamingQuery:
-    """Encode each micro-batch as line protocol and write it to ``path`` or through ``writer``.
+    """Encode each micro-batch as line protocol and write it to ``path``, to a folder ``store`` or through ``writer``.
 
-    With ``path`` a repeated batch replaces its folder. A store overwrites equal points, so
-    resending a batch through ``writer`` is harmless too.
+    With ``path`` a repeated batch replaces its folder. A ``store`` (see ``read_points``) commits a batch once all its tasks
+    are through, and a committed batch is not written again; the same goes for ``writer`` with a
+    ``ledger`` folder. A store overwrites equal points, so resending a batch without a ledger is harmless too.
     """
-    if (path is None) == (writer is None):
-        raise ValueError("give either path or writer")
+    save = _points_saver(stream, path, writer, ledger, store)
+    query = stream_df.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
+    return _start(query, trigger)
+
+
+def write_both(
+    stream_df: DataFrame,
+    stream: str | StreamSpec,
+    root: str,
+    checkpoint: str,
+    *,
+    path: str | None = None,
+    writer: LinesWriter | None = None,
+    ledger: str | None = None,
+    store: str | None = None,
+    trigger: str | None = None,
+    clock: Callable[[], float] = time.time,
+    table: str | None = None,
+) -> StreamingQuery:
+    """Archive and points from one query: a batch is read and parsed once, archived, and its points are made from the
+    archived rows.
+
+    Both writes go under one batch id. A batch that failed between them is not archived again when the query
+    restarts, only its points are; see ``write_archive`` and ``write_points`` for the targets.
+    """
+    name = stream_spec(stream).name
+    folder = f"{root}/{name}"
+    points = _points_saver(stream, path, writer, ledger, store)
+    index_archive(stream_df.sparkSession, root, name)
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        lines = to_line_protocol(batch, stream)
-        if writer is not None:
-            send_lines(lines, writer)
-        else:
-            query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-            lines.write.mode("overwrite").text(f"{path}/query_id={query}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        written = f"{folder}/query_id={query}/batch_id={batch_id}"
+        if not file_exists(spark, f"{written}/_SUCCESS"):
+            archive_batch(batch, f"{folder}/query_id={query}", batch_id, int(clock()))
+        else:  # whole, but perhaps not entered any more
+            for epoch in subfolders(spark, written, "ingest_epoch="):
+                mark_batch(spark, folder, query, batch_id, epoch)
+        if table is not None:
+            commit_partition(spark, table, folder, query, batch_id)
+        points(spark.read.schema(batch.schema).parquet(written).select(*batch.columns), batch_id)
 
     query = stream_df.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
     return _start(query, trigger)

@@ -13,6 +13,7 @@ from tidemark.sources.log import ENVELOPE
 from tidemark.sources.messages import decode_json, publish, read_stream
 from tidemark.streaming import queries as live
 from tidemark.streaming.sinks import write_archive, write_points
+from tidemark.streaming.store import read_points
 from tidemark.workload import frames as fr
 from tidemark.workload.registry import query
 
@@ -228,3 +229,22 @@ def stream_points(spark, sf_dir):
     rows = normalize_trade(fr.raw_trades_of(fr.stream_events(spark, sf_dir)), strict=True)
     live.drain(write_points(rows, "trade", f"{path}/checkpoint", path=f"{path}/points", trigger="available"))
     return spark.read.option("recursiveFileLookup", "true").text(f"{path}/points").toDF("line")
+
+
+@query(
+    "stream_both_sinks",
+    f"""WITH c AS ({_CLEAN} AND event_id % 89 <> 0) SELECT 'trade,symbol=' || symbol || ' price=' || price ||
+    ',quantity=' || quantity || ' ' || (epoch_us(trade_time) * 1000) AS line, COUNT(*) OVER (PARTITION BY symbol) AS archived FROM c""",
+)
+def stream_both_sinks(spark, sf_dir):
+    """One query feeds the archive and a folder store, with a restart; committed lines with their symbol's archived rows."""
+    path = scratch_path(spark, "both")
+    early = F.col("ts") < F.lit(_CUTS[1]).cast("timestamp")
+    for part in (early, ~early):
+        fr.events(spark, sf_dir).where(part).coalesce(1).write.mode("append").parquet(f"{path}/in")
+        messages = fr.raw_trades_of(spark.readStream.schema(fr.EVENTS_SCHEMA).parquet(f"{path}/in"))
+        live.drain(live.start_stream_once(
+            messages, "trade", f"{path}/archive", f"{path}/checkpoints", strict=True, trigger="available", store=f"{path}/store"))
+    counts = open_archive(spark, f"{path}/archive", "trade").groupBy("symbol").agg(F.count(F.lit(1)).alias("archived"))
+    lines = read_points(spark, f"{path}/store").select("line", F.regexp_extract("line", "symbol=([^ ,]+)", 1).alias("symbol"))
+    return lines.join(counts, "symbol").select("line", "archived")
