@@ -49,6 +49,24 @@ def test_position_totals(series):
         ("long", 79800.0), ("short", 435.0), ("tiny", 10.0)}
 
 
+def test_tasks_are_sized_by_their_windows(spark):
+    """Span 720 over one long and two short series: no task writes more than the stated size."""
+    rows = spark.range(9_000).select(
+        F.when(F.col("id") < 6_000, "hot").when(F.col("id") < 8_000, "b").otherwise("c").alias("symbol"),
+        (F.col("id") - F.when(F.col("id") < 6_000, 0).when(F.col("id") < 8_000, 6_000).otherwise(8_000)).alias("position"),
+        F.col("id").cast("double").alias("v"))
+    samples = seqs.make_windows(rows, ["symbol"], ["v"], ["v"], 600, 120, task_bytes=32 << 20)
+    size = 4 * ((600 + 480 + 240) + (600 + 480 + 120))
+    assert seqs.window_tasks(rows, size, 1, 32 << 20) == -(-9_000 * size // (8 << 20)) > 4
+    one = samples.select(sum(F.size(F.flatten(c) if c != "y" else F.flatten("y")) for c in ("x", "x_mark", "x_dec", "x_mark_dec", "y")))
+    assert one.distinct().collect() == [(size // 4,)]
+    held = samples.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in held) == 5_281 + 1_281 + 281
+    assert max(r["count"] for r in held) * size <= 32 << 20
+    assert seqs.window_tasks(rows, size, 10**6) == 4  # not fewer than the session's
+    assert seqs.block_size(720, size) == 4_096 and seqs.block_size(720, 10**6) == 720
+
+
 @pytest.mark.parametrize("block", [None, 14, 13, 50])
 @pytest.mark.parametrize("stride", [1, 4])
 def test_windows_against_brute_force(placed, block, stride):

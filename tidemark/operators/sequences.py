@@ -3,12 +3,13 @@
 A series is cut into blocks of ``block`` start positions. Each block also receives the rows its
 last windows reach into, so it can be windowed alone: a row is copied at most once, a group never
 holds more than two blocks of rows, and one long series spreads over as many tasks as it has
-blocks.
+blocks. Blocks and tasks are sized by the windows that they write.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -16,6 +17,8 @@ from tidemark.functions import calendar
 from tidemark.operators.joins import lookup_join
 
 MIN_BLOCK = 4_096
+TASK_BYTES = 1 << 30  # of windows that a task is to write at most
+BLOCK_SHARE = 16  # a block writes at most this part of it, unless that were fewer rows than one window
 
 
 def windows_index(
@@ -30,19 +33,35 @@ def windows_index(
     )
 
 
+def block_size(span: int, window_bytes: int, task_bytes: int = TASK_BYTES) -> int:
+    """Start positions of a block, so that tasks can be filled evenly with whole blocks."""
+    return max(span, min(MIN_BLOCK, task_bytes // BLOCK_SHARE // max(window_bytes, 1)))
+
+
+def window_tasks(df: DataFrame, window_bytes: int, stride: int = 1, task_bytes: int = TASK_BYTES) -> int:
+    """Tasks for the windows of ``df``, at least the session's shuffle partitions (counts the rows, an action).
+
+    The windows of all rows are dealt out in parts of a quarter of ``task_bytes``, since blocks go to tasks by a hash
+    and a task may get some times the mean.
+    """
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, ceil(df.count() / stride * window_bytes / (task_bytes / 4)))
+
+
 def block_windows(
     df: DataFrame, keys: Sequence[str], lanes: Mapping[str, Column], span: int,
     stride: int = 1, position: str = "position", block: int | None = None,
-    partitions: int | None = None,
+    partitions: int | None = None, window_bytes: int | None = None, task_bytes: int = TASK_BYTES,
 ) -> DataFrame:
     """One row per window of ``span`` rows: keys, sample_id, start_pos, and the lane arrays of the
     whole block with ``_at``, the 1-based place in them where the window starts.
 
-    The output is up to ``span`` times the input, so tasks must not be sized by their input: the
-    blocks go to a fixed number of ``partitions`` (default: the session's shuffle partitions),
-    which adaptive execution does not merge.
+    The output is up to ``span`` times the input, so tasks must not be sized by their input: the blocks
+    go to ``partitions`` tasks, which adaptive execution does not merge. Without that number it follows from
+    the rows, which are counted, and the size of one window (default: twice ``span`` rows of doubles).
     """
-    size = block or max(span, MIN_BLOCK)
+    window_bytes = window_bytes or 16 * span * len(lanes)
+    size = block or block_size(span, window_bytes, task_bytes)
     if size < span - 1:
         raise ValueError("block must be at least span - 1")
     p = F.col(position)
@@ -54,7 +73,7 @@ def block_windows(
         *[column.alias(name) for name, column in lanes.items()],
         F.explode(F.when(reached, F.array(own, own - 1)).otherwise(F.array(own))).alias("_block"),
     )
-    count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    count = partitions or window_tasks(df, window_bytes, stride, task_bytes)
     grouped = rows.repartition(count, *keys, "_block").groupBy(*keys, "_block").agg(
         F.sort_array(F.collect_list(F.struct("_pos", *lanes))).alias("_rows")
     )
@@ -101,15 +120,19 @@ def make_windows(
     position: str = "position",
     block: int | None = None,
     partitions: int | None = None,
+    task_bytes: int = TASK_BYTES,
 ) -> DataFrame:
     """Encoder/decoder samples: keys, sample_id, start_pos, x, x_mark, x_dec, x_mark_dec, y.
 
     ``x`` is ``seq`` rows, ``y`` the next ``pred``. The decoder sees the last ``label`` rows
     (default seq - pred) and ``pred`` padding rows. ``position`` must count 0, 1, 2, ... per key.
+    No task writes much more than ``task_bytes`` of samples (the rows are counted for that, an action, unless
+    ``partitions`` names the number of tasks).
     """
     label = seq - pred if label is None else label
+    wide = 4 * ((seq + label + 2 * pred) * len(features) + (seq + label + pred) * len(marks))
     lanes = {"_f": float_array(features), "_m": float_array(marks)}
-    windows = block_windows(df, keys, lanes, seq + pred, stride, position, block, partitions)
+    windows = block_windows(df, keys, lanes, seq + pred, stride, position, block, partitions, wide, task_bytes)
     at = F.col("_at")
     known = F.slice("_f", at + (seq - label), F.lit(label))
     return windows.select(
@@ -138,15 +161,18 @@ def windows_overlap(
     position: str = "position",
     block: int | None = None,
     partitions: int | None = None,
+    task_bytes: int = TASK_BYTES,
 ) -> DataFrame:
     """Samples whose target overlaps the input by ``label`` rows.
 
-    ``inverse`` takes the horizon part of the target from the unscaled columns ``raw``.
+    ``inverse`` takes the horizon part of the target from the unscaled columns ``raw``. Tasks are sized as in
+    ``make_windows``.
     """
+    wide = 4 * (seq + label + pred) * (len(scaled) + len(marks))
     lanes = {"_f": float_array(scaled), "_m": float_array(marks)}
     if inverse:
         lanes["_r"] = float_array(raw)
-    windows = block_windows(df, keys, lanes, seq + pred, stride, position, block, partitions)
+    windows = block_windows(df, keys, lanes, seq + pred, stride, position, block, partitions, wide, task_bytes)
     at = F.col("_at")
     overlap = F.slice("_f", at + (seq - label), F.lit(label))
     horizon = F.slice("_r" if inverse else "_f", at + seq, F.lit(pred))
