@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import calendar as cal
 from tidemark.operators import metrics as met, models as mod, positions as pos, scaling as sc, sequences as seqs
+from tidemark.operators.selection import dedup
 from tidemark.plans import forecasting as fc
+from tidemark.schemas import FeatureSpec
+from tidemark.session import settle
 
 T0 = datetime(2024, 2, 27, 23, 59, 50)
 
@@ -43,6 +46,35 @@ def test_positions_with_null_key_and_equal_times(spark):
     assert placed.count() == 40 and placed.filter("position <> tie").count() == 0
 
 
+def repeated(spark):
+    rows = [(s, None if i == 3 else T0 + timedelta(seconds=i), None if c == 1 else float(c), i * 10 + c)
+            for s in ("a", None) for i in range(40) for c in (3, 1, 2, 2)]
+    return spark.createDataFrame(rows, "symbol string, event_time timestamp, v double, i long").orderBy(F.rand(3))
+
+
+def test_positions_without_copies(spark):
+    rows, by = repeated(spark), ["symbol", "event_time"]
+    one = pos.with_position(rows, ["symbol"], ["event_time"], length="n", partitions=5, unique=True)
+    two = pos.with_position(dedup(rows, by), ["symbol"], ["event_time"], length="n", partitions=3)
+    key = lambda r: str(tuple(r))
+    assert sorted(one.collect(), key=key) == sorted(two.collect(), key=key)
+    assert {r.n for r in one.collect()} == {40} and one.count() == 80
+
+
+def test_copies_fall_out_in_the_range_shuffle(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(pos, "settle", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or settle(df))
+    rows, spec = repeated(spark), FeatureSpec(keys=("symbol",), time_column="event_time", features=("v", "i"))
+    placed = fc.placed_features(rows, spec)
+    assert plans[0].count("Exchange rangepartitioning") == 1 and plans[0].count("Exchange ") == 1
+    assert plans[0].count("Sort [") == 1 and "Aggregate" not in plans[0]
+    monkeypatch.setattr(fc, "HOT_COPIES", 1)
+    combined = fc.placed_features(rows, spec)
+    assert "SortAggregate" in plans[1] or "HashAggregate" in plans[1]
+    key = lambda r: str(tuple(r))
+    assert sorted(placed.collect(), key=key) == sorted(combined.collect(), key=key)
+
+
 def test_position_totals(series):
     placed = pos.with_position(series, ["symbol"], ["event_time"], totals={"hi": ("v", "max"), "s": ("i", "sum")})
     assert {(r.symbol, r.s) for r in placed.select("symbol", "s").distinct().collect()} == {

@@ -18,6 +18,7 @@ def with_position(
     length: str | None = None,
     totals: Mapping[str, tuple[str, str]] | None = None,
     partitions: int | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """0-based position of each row within its key's order (runs jobs).
 
@@ -28,13 +29,24 @@ def with_position(
 
     ``length`` adds the series length. ``totals`` adds per-key aggregates ``name -> (column,
     "min" | "max" | "sum")`` from the same per-partition summary.
+
+    ``unique`` keeps one row per (keys, order), the smallest of the remaining columns in column order. Such rows stand next to
+    each other in one range, so nothing is shuffled or sorted for it; rows that share one (keys, order) by
+    the million should be deduplicated before, as ``dedup`` does.
     """
     totals = dict(totals or {})
     by = [*keys, *order]
     ranged = (
         df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
     )
-    ranged = ranged.sortWithinPartitions(*by).withColumn("_row", F.monotonically_increasing_id())
+    if unique:
+        rest = [c for c in df.columns if c not in by]
+        copies = Window.partitionBy(*by).orderBy(*(rest or by))
+        ranged = ranged.sortWithinPartitions(*by, *rest).withColumn("_copy", F.row_number().over(copies))
+        ranged = ranged.filter("_copy = 1").drop("_copy")
+    else:
+        ranged = ranged.sortWithinPartitions(*by)
+    ranged = ranged.withColumn("_row", F.monotonically_increasing_id())
     ranged = settle(ranged).withColumn("_part", F.shiftright("_row", 33))
 
     combine = {"min": F.min, "max": F.max, "sum": F.sum}

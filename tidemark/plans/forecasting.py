@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.calendar import cyclic_time, time_features, time_marks
+from tidemark.operators.joins import hot_keys
 from tidemark.operators.metrics import forecast_metrics, window_errors
 from tidemark.operators.models import ScoreFn, predict_naive, predict_per_symbol
 from tidemark.operators.positions import split_calendar, split_custom, split_ratio, with_position
@@ -21,6 +22,9 @@ from tidemark.operators.sequences import (
 from tidemark.schemas import TICKER_FEATURES, FeatureSpec
 
 
+HOT_COPIES = 100_000  # rows of one key and time, beyond a thousandth of all, that are combined before a shuffle
+
+
 def select_features(df: DataFrame, spec: FeatureSpec = TICKER_FEATURES) -> DataFrame:
     return df.select(spec.time_column, *spec.keys, *spec.features)
 
@@ -34,26 +38,34 @@ def placed_features(
     df: DataFrame, spec: FeatureSpec = TICKER_FEATURES, with_stats: bool = True
 ) -> DataFrame:
     """One row per key and time with its position, the series length and, unless switched off,
-    each feature's minimum and maximum over the series (runs jobs)."""
-    unique = dedup(select_features(df, spec), [*spec.keys, spec.time_column])
+    each feature's minimum and maximum over the series (runs jobs).
+
+    Repeated rows fall out while the rows are numbered, in the same shuffle. Only if some key and time is
+    found to hold a great share of all rows are the copies combined before it.
+    """
+    rows, by = select_features(df, spec), [*spec.keys, spec.time_column]
+    hot = hot_keys(rows, by, least=HOT_COPIES)[1] > 0
+    unique = dedup(rows, by) if hot else rows
     sides = ("min", "max") if with_stats else ()
     totals = {f"{f}_{side}": (f, side) for f in spec.features for side in sides}
-    return with_position(unique, spec.keys, [spec.time_column], length="series_length", totals=totals)
+    return with_position(unique, spec.keys, [spec.time_column], length="series_length", totals=totals, unique=not hot)
 
 
 def feature_frame(
-    df: DataFrame, spec: FeatureSpec = TICKER_FEATURES, fit_on: str = "all", train: float = 0.7
+    df: DataFrame, spec: FeatureSpec = TICKER_FEATURES, fit_on: str = "all", train: float = 0.7,
+    placed: DataFrame | None = None,
 ) -> DataFrame:
     """Deduplicated, positioned, min-max scaled features with cyclic time columns (runs jobs).
 
     ``fit_on="all"`` scales by the whole series; its minima and maxima come from the summary that
-    numbers the rows, so no further pass is needed. ``"train"`` uses the training rows only.
+    numbers the rows, so no further pass is needed. ``"train"`` uses the training rows only. ``placed`` is the
+    ``placed_features`` of ``df``, for callers that have it already.
     """
     features = list(spec.features)
     if fit_on == "all":
-        scaled = scale_attached(placed_features(df, spec), features)
+        scaled = scale_attached(placed or placed_features(df, spec), features)
     elif fit_on == "train":
-        placed = placed_features(df, spec, with_stats=False)
+        placed = placed or placed_features(df, spec, with_stats=False)
         head = placed.filter(F.col("position") < F.floor(F.col("series_length") * F.lit(train)))
         stats = fit_minmax(head, spec.keys, features)
         scaled = minmax_transform(placed, stats, spec.keys, features)
@@ -65,10 +77,10 @@ def feature_frame(
 def prepare_training(
     df: DataFrame, seq: int, pred: int, spec: FeatureSpec = TICKER_FEATURES, fit_on: str = "all",
     train: float = 0.7, val: float = 0.2, label: int | None = None, stride: int = 1,
-    partitions: int | None = None,
+    partitions: int | None = None, placed: DataFrame | None = None,
 ) -> DataFrame:
     """Samples per key and split (train, val, test). A split shorter than seq + pred has none."""
-    frame = split_ratio(feature_frame(df, spec, fit_on, train), train, val)
+    frame = split_ratio(feature_frame(df, spec, fit_on, train, placed), train, val)
     return make_windows(
         frame, [*spec.keys, "split"], spec.features, spec.time_features, seq, pred, label, stride,
         position="split_position", partitions=partitions,
@@ -124,13 +136,13 @@ def forecast_input(
 
 def forecast_table(
     df: DataFrame, seq: int, pred: int, predict: Callable[[DataFrame], DataFrame],
-    spec: FeatureSpec = TICKER_FEATURES, step: str = "1 second",
+    spec: FeatureSpec = TICKER_FEATURES, step: str = "1 second", placed: DataFrame | None = None,
 ) -> DataFrame:
     """Forecast the next ``pred`` steps of every key, in original units (runs jobs).
 
     ``predict`` adds a ``horizon`` column to the samples of ``forecast_input``.
     """
-    placed = placed_features(df, spec)
+    placed = placed or placed_features(df, spec)
     frame = encode_time(scale_attached(placed, spec.features), spec)
     horizons = predict(forecast_input(frame, seq, pred, spec)).select(*spec.keys, "horizon")
     ends = placed.filter(F.col("position") == F.col("series_length") - 1)

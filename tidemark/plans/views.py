@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.functions.scaling import minmax_scale
 from tidemark.operators.selection import latest, temporal_range
 from tidemark.plans.dashboards import first_rows
+from tidemark.session import settle
 
 
 def heatmap_ticker(tickers: DataFrame) -> DataFrame:
@@ -35,11 +36,11 @@ def heatmap_metric(heatmap: DataFrame, lo=None, hi=None, row_limit: int | None =
 def heatmap_normalized(heatmap: DataFrame, lo=None, hi=None, row_limit: int | None = None) -> DataFrame:
     """Cell values scaled to [0, 1] across the whole heat map, whatever the limit; 0.0 if all are equal.
 
-    The smallest and largest value are scalar subqueries over the combined cells, so no task
-    holds all of them.
+    The combined cells are written once (an action) and both their limits and the rows are read from there; the
+    limits are scalar subqueries, so no task holds all cells.
     """
     value = F.col("avg_change")
-    cells = heatmap_metric(heatmap, lo, hi)
+    cells = settle(heatmap_metric(heatmap, lo, hi))
     low, high = (cells.select(edge(value)).scalar() for edge in (F.min, F.max))
     scaled = cells.withColumn("normalized", minmax_scale(value, low, high))
     return first_rows(scaled, row_limit, "symbol", "constant")

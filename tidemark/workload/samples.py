@@ -352,8 +352,8 @@ def metric_pearson(spark, sf_dir):
 # --- models -----------------------------------------------------------------------------------
 
 
-def _splits(spark, sf_dir, seq=_FEW_SEQ, pred=_FEW_PRED):
-    return fc.prepare_training(fr.tickers(spark, sf_dir, "user_id"), seq, pred)
+def _splits(spark, sf_dir, seq=_FEW_SEQ, pred=_FEW_PRED, placed=None):
+    return fc.prepare_training(fr.tickers(spark, sf_dir, "user_id"), seq, pred, placed=placed)
 
 
 _NAIVE_ERRORS = f"""{SPLIT_SQL}, enc AS (SELECT symbol, split, split_position, split_length, {_SCALE_TICK}
@@ -499,11 +499,12 @@ def ridge_training(spark, sf_dir):
 def ridge_forecast(spark, sf_dir):
     """Train on the training split, forecast the next steps of every symbol, publish the table."""
     tickers = fr.tickers(spark, sf_dir, "user_id")
-    train = _splits(spark, sf_dir).filter("split = 'train'")
+    placed = fc.placed_features(tickers)
+    train = _splits(spark, sf_dir, placed=placed).filter("split = 'train'")
     model = mod.fit_ridge(train, ["symbol"], _FEW_SEQ, lags=3, alpha=0.01)
     forecast = fc.forecast_table(
         tickers, _FEW_SEQ, _FEW_PRED,
-        lambda s: mod.predict_per_symbol(s, model, mod.ridge_score(3), ["symbol"], _FEW_PRED),
+        lambda s: mod.predict_per_symbol(s, model, mod.ridge_score(3), ["symbol"], _FEW_PRED), placed=placed,
     )
     root = scratch_path(spark, "forecast")
     return spark.read.parquet(publish_forecast(forecast, root, points_path=f"{root}/points"))
