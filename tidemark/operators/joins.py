@@ -24,9 +24,9 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], slices: int = SLICES, least: int = 0) -> tuple[DataFrame, int]:
-    """The keys that hold more than a ``slices``-th of the rows and ``least`` rows, as ``_hash`` and the number of ``_salts`` each
-    needs so that a salt has at most about that share; and the number of such keys (an action).
+def measured_keys(df: DataFrame, keys: Sequence[str], slices: int = SLICES, least: int = 0) -> DataFrame:
+    """The keys that hold more than a ``slices``-th of the rows and at least ``least`` rows, as ``_hash`` and the number
+    of ``_salts`` each needs so that a salt has at most about that share.
 
     One frequent-items sketch over the hashes of the keys, merged from all tasks; it reads the key columns only
     and finds every key beyond that share. Estimates may be a little low, and two keys with one hash count together:
@@ -37,7 +37,12 @@ def hot_keys(df: DataFrame, keys: Sequence[str], slices: int = SLICES, least: in
         F.expr(f"approx_top_k(_hash, {slices}, {10 * slices})").alias("_found"), F.count(F.lit(1)).alias("_rows"))
     found = sketch.select(F.explode("_found").alias("_item"), "_rows").filter(F.col("_item.count") >= least).select(
         F.col("_item.item").alias("_hash"), F.ceil(F.col("_item.count") * slices / F.col("_rows")).cast("int").alias("_salts"))
-    hot, size = settle_sized(found.filter("_salts > 1"))
+    return found.filter("_salts > 1")
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], slices: int = SLICES) -> tuple[DataFrame, int]:
+    """``measured_keys`` as a written table, and the number of its rows (an action)."""
+    hot, size = settle_sized(measured_keys(df, keys, slices))
     return hot, size // ROW_BYTES
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.calendar import cyclic_time, time_features, time_marks
-from tidemark.operators.joins import hot_keys
+from tidemark.operators.joins import measured_keys
 from tidemark.operators.metrics import forecast_metrics, window_errors
 from tidemark.operators.models import ScoreFn, predict_naive, predict_per_symbol
 from tidemark.operators.positions import split_calendar, split_custom, split_ratio, with_position
@@ -44,7 +44,7 @@ def placed_features(
     found to hold a great share of all rows are the copies combined before it.
     """
     rows, by = select_features(df, spec), [*spec.keys, spec.time_column]
-    hot = hot_keys(rows, by, least=HOT_COPIES)[1] > 0
+    hot = not measured_keys(rows, by, least=HOT_COPIES).isEmpty()
     unique = dedup(rows, by) if hot else rows
     sides = ("min", "max") if with_stats else ()
     totals = {f"{f}_{side}": (f, side) for f in spec.features for side in sides}
