@@ -18,6 +18,7 @@ from tidemark.llm.spellings import spelling_variants
 from tidemark.llm.surrogates import with_surrogates
 from tidemark.llm.templates import main_text
 from tidemark.llm.toxicity import toxicity, train_on
+from tidemark.llm.twins import CONVERSATIONS, JACCARD, QUALITY, SPELLINGS
 from tidemark.llm.warc import read_warc, write_warc
 from tidemark.session import scratch_path
 
@@ -77,7 +78,7 @@ def op3_power_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset", "bucket")
 
 
-@query("op10_quality_rules")
+@query("op10_quality_rules", QUALITY)
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document under the base rules and the cutoffs proven on the labelled ones."""
     return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
@@ -107,7 +108,7 @@ def op7_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 
-@query("op9_jaccard_join")
+@query("op9_jaccard_join", JACCARD)
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class under links of 3-word shingles at a similarity of 0.9."""
     found = jaccard_components(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
@@ -164,13 +165,13 @@ def damaged(rows: DataFrame) -> DataFrame:
         (fault == 0).alias("gone"), F.explode(F.array_repeat(F.lit(0), F.when(fault == 3, 2).otherwise(1))).alias("copy"))
 
 
-@query("op13_audited_conversations")
+@query("op13_audited_conversations", CONVERSATIONS)
 def op13_audited_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, damaged and repaired by its cheapest edits."""
     return repair_conversations(damaged(table(spark, sf_dir, "conversations")), gone=F.col("gone")).drop("messages")
 
 
-@query("op12_spelling_variants")
+@query("op12_spelling_variants", SPELLINGS)
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word of the documents with the spelling that it is a variant of."""
     return spelling_variants(table(spark, sf_dir, "documents"))
