@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tests.llm.cases import documents, texts
+from tests.llm.cases import documents, texts, written
 from tidemark.llm.resharding import reshard, solve_transfers, whole_blocks
 
 
@@ -67,5 +67,40 @@ def test_a_large_group_that_the_flow_splits_is_dealt_by_row(spark, folder):
     assert len(found) == len(rows) and loads.max() < 1.03 * loads.min()
 
 
+def test_shards_do_not_depend_on_the_files(spark, folder):
+    rows = [(k, f"text {k} " + "x" * (k % 50)) for k in range(1500)] + [(9000 + k, "hot " * 20) for k in range(1000)]
+    found = [reshard(written(spark, folder, rows[::step], "doc_id long, text string", files), F.lit(0), [1.0] * 4, f"{folder}/{files}").select(
+        "doc_id", "shard", "slot").collect() for files, step in ((1, 1), (5, -1))]
+    assert len(found[0]) == len(rows) and sorted(found[0]) == sorted(found[1])
+
+
+def test_a_crowd_of_equal_rows_fills_all_shards(spark, folder):
+    rows = [(k, f"text {k} " + "x" * (k % 50)) for k in range(600)] + [(None, "hot " * 20)] * 300 + [(7, "hot " * 20)] * 300
+    found = reshard(documents(spark, folder, rows), F.lit(0), [1.0] * 4, f"{folder}/even").toPandas()
+    loads = found.groupby("shard")["size"].sum()
+    assert len(found) == len(rows) and loads.max() < 1.15 * loads.min()
+    assert (found.groupby("shard")["slot"].max() + 1 == found.groupby("shard").size()).all()
+
+
+@pytest.mark.parametrize("shards", [2, 3])
+def test_rounded_moves_against_all_assignments(spark, folder, shards):
+    """Of few whole blocks: the rows land where the flow says, and no placement as even moves fewer bytes."""
+    rng = np.random.default_rng(shards)
+    rows = [(k, "y" * int(n)) for k, n in enumerate(rng.permutation(np.arange(20, 160, 20)))]
+    sizes, old = np.array([len(t) + 1 for _, t in rows], float), np.arange(len(rows)) % shards
+    docs = documents(spark, folder, rows)
+    found = reshard(docs, F.pmod("doc_id", F.lit(shards)), [1.0] * shards, f"{folder}/new", blocks=1 << 20).toPandas()
+    shard = found.set_index("doc_id")["shard"].reindex(range(len(rows))).to_numpy()
+    worst = np.bincount(shard, sizes, shards).max()
+    moved = sizes[shard != old].sum()
+    resident = np.zeros((len(rows), shards))
+    resident[np.arange(len(rows)), old] = sizes
+    flow = solve_transfers(resident, sizes, np.full(shards, sizes.sum() / shards))
+    assert (flow[np.arange(len(rows)), shard] > 0).all() or worst <= np.ceil(sizes.sum() / shards) + sizes.max()
+    least = min(sum(sizes[b] for b, s in enumerate(choice) if s != old[b]) for choice in itertools.product(range(shards), repeat=len(rows))
+                if np.bincount(choice, sizes, shards).max() <= worst)
+    assert moved <= least + sizes.max()
+
+
 def test_empty_table(spark, folder):
     assert reshard(documents(spark, folder, []), F.lit(0), [1.0, 1.0], f"{folder}/none").count() == 0

@@ -2,7 +2,7 @@
 
 Rows fall into a bounded number of blocks by a hash of their text, so equal texts share a block; a
 block too heavy for that (one text may fill a third of the table), or large and split by the flow, is dealt
-again by row. From the
+again by identifier and text. From the
 bytes that each block has in each old shard, a minimum-cost flow finds the new shard of every block
 such that the capacities hold and the fewest bytes move. Only the shards that lose or gain rows are
 written again.
@@ -16,6 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm.common import fresh, identified, text_of
+from tidemark.operators.joins import measured_keys
 from tidemark.operators.positions import with_position
 from tidemark.session import settle
 
@@ -89,22 +90,28 @@ def whole_blocks(flow: np.ndarray, sizes: np.ndarray, capacities: np.ndarray) ->
     return shard
 
 
-def _hashed(docs: DataFrame, old: Column, text: str, blocks: int) -> dict[str, Column]:
+def _hashed(docs: DataFrame, old: Column, text: str, doc_id: str, blocks: int) -> dict[str, Column]:
     body = text_of(text)
     return {"size": (F.octet_length(body) + 1).cast("long"), "old": old.cast("int"),
-            "block": F.pmod(F.xxhash64(body), F.lit(blocks)).cast("int")}
+            "block": F.pmod(F.xxhash64(body), F.lit(blocks)).cast("int"),
+            "deal": F.xxhash64(F.col(f"`{doc_id}`").cast("long"), body)}
 
 
-def _sub(splits: DataFrame, rows: DataFrame) -> DataFrame:
-    """Adds ``sub``: 0, or for a heavy block the part that the row's own hash picks."""
-    joined = rows.join(F.broadcast(splits), "block", "left")
-    return joined.withColumn("sub", F.coalesce(F.pmod(F.xxhash64("row"), F.col("parts")), F.lit(0)).cast("int")).drop("parts")
+def _sub(splits: DataFrame, crowds: DataFrame, rows: DataFrame, block: str = "block", deal: str = "deal", row: str = "row",
+         sub: str = "sub") -> DataFrame:
+    """Adds ``sub``: 0, or for a heavy block the part that a hash of the row's identifier and text picks, whatever file holds
+    the row. Only the equal ones of a crowd (over 64 rows and a thousandth of all) are told apart by their place."""
+    parts, crowd = fresh(rows, "_parts"), fresh(rows, "_crowd")
+    joined = rows.join(F.broadcast(splits.toDF(block, parts)), block, "left").join(
+        F.broadcast(crowds.select(F.col("_hash").alias(crowd))), F.xxhash64(deal) == F.col(crowd), "left")
+    own = F.when(F.col(crowd).isNotNull(), F.xxhash64(deal, row)).otherwise(F.col(deal))
+    return joined.withColumn(sub, F.coalesce(F.pmod(own, F.col(parts)), F.lit(0)).cast("int")).drop(parts, crowd)
 
 
-def plan_transfers(spark: SparkSession, rows: DataFrame, shares: Sequence[float]) -> tuple[DataFrame, DataFrame, dict]:
+def plan_transfers(spark: SparkSession, rows: DataFrame, shares: Sequence[float], crowds: DataFrame) -> tuple[DataFrame, DataFrame, dict]:
     """New shards of all blocks, the heavy blocks' parts, and the bytes moved and loads.
 
-    ``rows`` has row, size, old, block. What comes to the driver is bounded by blocks x old shards.
+    ``rows`` has row, size, old, block, deal. What comes to the driver is bounded by blocks x old shards.
     """
     k = len(shares)
 
@@ -124,7 +131,7 @@ def plan_transfers(spark: SparkSession, rows: DataFrame, shares: Sequence[float]
         splits = spark.createDataFrame([(b, int(np.ceil(128 * by_block[b] / least))) for b in sorted(heavy)],
                                        "block int, parts int")
         parts: dict[tuple[int, int], int] = {}
-        found = sorted(tuple(r) for r in weights(_sub(splits, rows)))
+        found = sorted(tuple(r) for r in weights(_sub(splits, crowds, rows)))
         for block, sub, _, _ in found:
             parts.setdefault((block, sub), len(parts))
         resident, sizes = np.zeros((len(parts), k)), np.zeros(len(parts))
@@ -162,19 +169,19 @@ def reshard(docs: DataFrame, old: Column, shares: Sequence[float], path: str, te
     name.
     """
     spark = docs.sparkSession
-    row = _hashed(docs, old, text, blocks)
+    row = _hashed(docs, old, text, doc_id, blocks)
     rows = settle(identified(docs, row, "row"))
-    moves, splits, _ = plan_transfers(spark, rows, shares)
-    placed = _sub(splits, rows).join(F.broadcast(moves), ["block", "sub"])
+    crowds = settle(measured_keys(rows, ["deal"], least=MANY_ROWS))
+    moves, splits, _ = plan_transfers(spark, rows, shares, crowds)
+    placed = _sub(splits, crowds, rows).join(F.broadcast(moves), ["block", "sub"])
     left = placed.where(~F.col("old").eqNullSafe(F.col("shard")))
     touched = {s for pair in left.select("old", "shard").distinct().collect() for s in pair if s is not None}
 
     # the same rows with all their columns; the helper columns get names of their own
     names = {n: fresh(docs, f"_{n}") for n in ["row", *row]}
     full = identified(docs, {**{c: F.col(f"`{c}`") for c in docs.columns}, **{names[n]: c for n, c in row.items()}}, names["row"])
-    part, shard, parts = fresh(docs, "_sub"), fresh(docs, "_shard"), fresh(docs, "_parts")
-    full = full.join(F.broadcast(splits.toDF(names["block"], parts)), names["block"], "left")
-    full = full.withColumn(part, F.coalesce(F.pmod(F.xxhash64(names["row"]), F.col(parts)), F.lit(0)).cast("int"))
+    part, shard = fresh(docs, "_sub"), fresh(docs, "_shard")
+    full = _sub(splits, crowds, full, names["block"], names["deal"], names["row"], part)
     full = full.join(F.broadcast(moves.toDF(names["block"], part, shard)), [names["block"], part])
     affected = F.col(shard).isin(sorted(touched))
     full.where(affected).select(*[F.col(f"`{c}`") for c in docs.columns], names["row"], names["old"], shard).write.partitionBy(
