@@ -119,7 +119,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document under a chain: abuse in English, abuse in another language, abuse at all."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    languages = docs.select("doc_id", "lang").dropDuplicates(["doc_id"])
+    languages = docs.groupBy("doc_id").agg(F.min("lang").alias("lang"))
     toxic, english = F.col("toxic") > 0, F.coalesce(F.col("lang"), F.lit("")) == "en"
     marked = labels.join(languages, "doc_id").select(
         "doc_id", (toxic & english).cast("int").alias("toxic_english"),
